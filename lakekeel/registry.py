@@ -326,22 +326,35 @@ def dq_constraints(spark, sf):
 # Changes and upserts
 
 
+def _topic(spark: SparkSession, messages: DataFrame, path: str, batches: int = 2) -> FolderTopic:
+    """A folder topic that a stream reads in about ``batches`` micro-batches."""
+    parts = max(4, spark.sparkContext.defaultParallelism)
+    topic = FolderTopic(path, max_files=math.ceil(parts / batches))
+    topic.send(messages.repartition(parts, F.xxhash64("value")))
+    return topic
+
+
 @query
 def cdc_parse(spark, sf):
-    parsed = changes.parse_changes(s.employee_messages(spark, sf), schemas.EMPLOYEES)
+    topic = _topic(spark, s.employee_messages(spark, sf), f"{workspace(spark, 'cdc')}/employees")
+    parsed = changes.parse_changes(topic.read(spark), schemas.EMPLOYEES)
     return changes.accepted(parsed).drop("_deleted").withColumnRenamed("_seq", "seq")
 
 
 @query
 def cdc_rejected(spark, sf):
-    people = changes.rejected(changes.parse_changes(s.employee_messages(spark, sf), schemas.EMPLOYEES))
-    workouts = changes.rejected(changes.parse_changes(s.activity_messages(spark, sf), schemas.ACTIVITIES))
+    root = workspace(spark, "cdc")
+    employees = _topic(spark, s.employee_messages(spark, sf), f"{root}/employees").read(spark)
+    activities = _topic(spark, s.activity_messages(spark, sf), f"{root}/activities").read(spark)
+    people = changes.rejected(changes.parse_changes(employees, schemas.EMPLOYEES))
+    workouts = changes.rejected(changes.parse_changes(activities, schemas.ACTIVITIES))
     return people.unionByName(workouts).groupBy("reason").agg(F.count("*").alias("messages"))
 
 
 @query
 def cdc_latest(spark, sf):
-    rows = changes.accepted(changes.parse_changes(s.activity_messages(spark, sf), schemas.ACTIVITIES))
+    topic = _topic(spark, s.activity_messages(spark, sf), f"{workspace(spark, 'cdc')}/activities")
+    rows = changes.accepted(changes.parse_changes(topic.read(spark), schemas.ACTIVITIES))
     newest = latest_per_key(rows.drop("_deleted", "op"), ["activity_id"], ["_seq"])
     return newest.withColumnRenamed("_seq", "seq")
 
@@ -393,14 +406,6 @@ def keyed_table(spark, sf):
 # Streams
 
 
-def _topic(spark: SparkSession, messages: DataFrame, path: str, batches: int = 2) -> FolderTopic:
-    """A folder topic that a stream reads in about ``batches`` micro-batches."""
-    parts = max(4, spark.sparkContext.defaultParallelism)
-    topic = FolderTopic(path, max_files=math.ceil(parts / batches))
-    topic.send(messages.repartition(parts, F.xxhash64("value")))
-    return topic
-
-
 @query
 def stream_cdc_upsert(spark, sf):
     root = workspace(spark, "stream")
@@ -417,23 +422,29 @@ def stream_cdc_upsert(spark, sf):
     return table.snapshot()
 
 
-def _cycle(spark: SparkSession, sf: str, root: str) -> IncrementalCycle:
+_MESSAGES = {"employees": s.employee_messages, "sports": s.sport_messages, "activities": s.activity_messages}
+
+
+def _cycle(spark: SparkSession, sf: str, *fed: str) -> IncrementalCycle:
+    """A lake that only knows some distances, and its change topics; ``fed`` ones hold messages."""
+    root = workspace(spark, "cycle")
     lake = Lake(spark, f"{root}/lake")
     lake.distances.replace(s.distances(spark, sf))
-    requests = FolderTopic(f"{root}/topics/requests")
+    topics = {
+        name: _topic(spark, messages(spark, sf), f"{root}/topics/{name}", batches=1 if name == "sports" else 2)
+        if name in fed else FolderTopic(f"{root}/topics/{name}")
+        for name, messages in _MESSAGES.items()
+    }
     return IncrementalCycle(
-        lake, f"{root}/checkpoints", s.DESTINATION,
-        employees=_topic(spark, s.employee_messages(spark, sf), f"{root}/topics/employees"),
-        sports=_topic(spark, s.sport_messages(spark, sf), f"{root}/topics/sports", batches=1),
-        activities=_topic(spark, s.activity_messages(spark, sf), f"{root}/topics/activities"),
-        requests=requests, provider=s.answer(spark, sf), as_of=s.AS_OF,
+        lake, f"{root}/checkpoints", s.DESTINATION, **topics,
+        requests=FolderTopic(f"{root}/topics/requests"), provider=s.answer(spark, sf), as_of=s.AS_OF,
     )
 
 
 @query
 def stream_cycle(spark, sf):
     """All change topics through one full cycle; what the gold tables and profiles say afterwards."""
-    cycle = _cycle(spark, sf, workspace(spark, "cycle"))
+    cycle = _cycle(spark, sf, *_MESSAGES)
     cycle.run()
     lake = cycle.lake
     counts = lake.wellbeing.snapshot().drop("year")
@@ -446,7 +457,7 @@ def stream_cycle(spark, sf):
 
 @query
 def stream_wellbeing_recompute(spark, sf):
-    cycle = _cycle(spark, sf, workspace(spark, "cycle"))
+    cycle = _cycle(spark, sf, "activities")
     cycle.process_activities()
     cycle.process_wellbeing()
     return cycle.lake.wellbeing.snapshot()
@@ -467,7 +478,7 @@ def stream_wellbeing_complete(spark, sf):
 @query
 def stream_distance_requests(spark, sf):
     """Requests sent for addresses employees live at after all changes."""
-    cycle = _cycle(spark, sf, workspace(spark, "cycle"))
+    cycle = _cycle(spark, sf, "employees")
     cycle.process_employees()
     current = cycle.lake.commute.snapshot().select(F.col("adresse_complete").alias("origin_address"))
     return distance.parse_requests(cycle.requests.read(spark)).join(current, "origin_address", "left_semi")
@@ -475,7 +486,7 @@ def stream_distance_requests(spark, sf):
 
 @query
 def stream_distance_answers(spark, sf):
-    cycle = _cycle(spark, sf, workspace(spark, "cycle"))
+    cycle = _cycle(spark, sf)
     wanted = distance.missing_requests(silver.commute(s.employees(spark, sf)), s.distances(spark, sf), s.DESTINATION)
     cycle.requests.send(distance.request_messages(wanted), "once")
     cycle.requests.send(distance.request_messages(wanted), "again")

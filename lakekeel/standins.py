@@ -168,8 +168,10 @@ def _epoch_days(column: str) -> Column:
 
 
 def _message(op: Column, after: Column, seq: Column, bare: Column) -> Column:
-    record = F.struct(op.alias("op"), after.alias("after"), F.struct(seq.alias("lsn")).alias("source"))
-    return F.when(bare, F.to_json(record)).otherwise(F.to_json(F.struct(record.alias("payload"))))
+    """Change envelope; the record stands bare or under ``payload``."""
+    record = F.to_json(F.struct(op.alias("op"), after.alias("after"), F.struct(seq.alias("lsn")).alias("source")))
+    opening, closing = F.when(bare, "").otherwise('{"payload":'), F.when(bare, "").otherwise("}")
+    return F.concat(opening, record, closing)
 
 
 def employee_log(spark: SparkSession, sf_dir: str) -> DataFrame:
