@@ -15,7 +15,6 @@ DELETE_OP = "d"
 
 # Columns added to every parsed change.
 OP, SEQ, DELETED = "op", "_seq", "_deleted"
-SYSTEM_COLUMNS = f"{SEQ} bigint, {DELETED} boolean"
 
 
 def _wire_type(dtype: T.DataType) -> str:
@@ -39,9 +38,10 @@ def parse_changes(raw: DataFrame, table_schema: str) -> DataFrame:
     """Typed rows of a topic's ``value`` column, batch or streaming.
 
     The record may sit under ``payload`` or stand bare; the JSON is parsed once.
-    Adds ``op``, ``_seq`` (source log position, else event time), ``_deleted``
-    and ``_reason``, which is NULL for a readable message. Deletes take their
-    row from ``before``. Messages without a value are skipped.
+    Adds ``op``, ``_seq``, ``_deleted`` and ``_reason``, which is NULL for a readable
+    message. ``_seq`` is the source log position, else the event time, else the
+    topic's ``position`` where it has one. Deletes take their row from ``before``.
+    Messages without a value are skipped.
     """
     fields = T.StructType.fromDDL(table_schema).fields
     row = ", ".join(f"{f.name} {_wire_type(f.dataType)}" for f in fields)
@@ -51,15 +51,16 @@ def parse_changes(raw: DataFrame, table_schema: str) -> DataFrame:
     )
     # A one-row inline keeps later filters from repeating the JSON parse.
     text = F.col("value").cast("string")
+    arrival = F.col("position") if "position" in raw.columns else F.lit(None).cast("bigint")
     parsed = raw.filter(F.col("value").isNotNull()).select(
-        text.alias("_value"), F.inline(F.array(F.from_json(text, f"payload struct<{record}>, {record}")))
+        text.alias("_value"), arrival.alias("_arrival"), F.inline(F.array(F.from_json(text, f"payload struct<{record}>, {record}")))
     )
 
     def part(name: str) -> Column:
         return F.when(F.col("payload").isNotNull(), F.col(f"payload.{name}")).otherwise(F.col(name))
 
     image = F.when(part("op") == DELETE_OP, part("before")).otherwise(part("after"))
-    position = F.coalesce(part("source")["lsn"], part("ts_ms"))
+    position = F.coalesce(part("source")["lsn"], part("ts_ms"), F.col("_arrival"))
     messages = parsed.select(
         "_value",
         F.inline(F.array(F.struct(part("op").alias(OP), image.alias("_row"), position.alias(SEQ)))),

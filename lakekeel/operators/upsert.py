@@ -60,21 +60,21 @@ def upsert(
     """
     keys = list(keys)
     source = source.select(*target.columns)
-    old = target.select(*keys, F.struct(*target.columns).alias("_old"))
-    new = source.select(*keys, F.struct(*target.columns).alias("_new"))
-    takes_new = F.col("_new").isNotNull()
+    values = [c for c in target.columns if c not in keys]
+    old = target.withColumn("_in_target", F.lit(True))
+    new = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values], F.lit(True).alias("_in_source"))
+    takes_new = F.col("_in_source").isNotNull()
     if order_by:
-        rank = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in order_by])
-        takes_new &= rank("_new") >= rank("_old")
+        takes_new &= F.struct(*[F.col(f"_new_{c}") for c in order_by]) >= F.struct(*order_by)
     starts_earlier = F.lit(False)
     if first_by:
-        starts_earlier = F.coalesce(F.col(f"_new.{first_by}") < F.col(f"_old.{first_by}"), F.lit(False))
+        starts_earlier = F.coalesce(F.col(f"_new_{first_by}") < F.col(first_by), F.lit(False))
 
     def merged(column: str) -> Column:
         if column in keys:
             return F.col(column)
-        wins = F.col("_old").isNull() | (starts_earlier if column in insert_only else takes_new)
-        return F.when(wins, F.col(f"_new.{column}")).otherwise(F.col(f"_old.{column}")).alias(column)
+        wins = F.col("_in_target").isNull() | (starts_earlier if column in insert_only else takes_new)
+        return F.when(wins, F.col(f"_new_{column}")).otherwise(F.col(column)).alias(column)
 
     columns = [merged(c) for c in target.columns]
     if not fits_broadcast(source):

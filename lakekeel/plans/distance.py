@@ -10,6 +10,7 @@ from lakekeel.schemas import PROVIDER_ANSWER
 # Default provider of a cache row and the status of a usable one.
 DEFAULT_PROVIDER = "google_maps"
 OK = "OK"
+MEASURES = ("distance_domicile_travail_m", "duree_domicile_travail_s")
 CACHE_KEYS = ("origin_address", "destination_address", "provider")
 
 
@@ -25,8 +26,8 @@ def enriched_commute(
         (F.col("destination_address") == destination) & (F.col("provider") == provider) & (F.col("status") == OK)
     ).select(
         F.col("origin_address").alias("adresse_complete"),
-        F.col("distance_m").alias("distance_domicile_travail_m"),
-        F.col("duration_s").alias("duree_domicile_travail_s"),
+        F.col("distance_m").alias(MEASURES[0]),
+        F.col("duration_s").alias(MEASURES[1]),
     )
     return _in_order(lookup_join(commutes, known, ["adresse_complete"]), commutes)
 
@@ -44,8 +45,8 @@ def stamped_commute(
         (F.col("destination_address") == destination) & (F.col("provider") == provider)
     ).select(
         F.col("origin_address").alias("adresse_complete"),
-        F.when(usable, F.col("distance_m")).alias("distance_domicile_travail_m"),
-        F.when(usable, F.col("duration_s")).alias("duree_domicile_travail_s"),
+        F.when(usable, F.col("distance_m")).alias(MEASURES[0]),
+        F.when(usable, F.col("duration_s")).alias(MEASURES[1]),
         F.col("_seq").alias("_cache_seq"),
     )
     joined = _in_order(lookup_join(commutes, known, ["adresse_complete"]), commutes)

@@ -70,17 +70,17 @@ def with_sport_type(df: DataFrame, live: bool = False) -> DataFrame:
     """Adds ``type`` and ``sport_type`` for the declared practice.
 
     An unknown practice is a workout; live records then name the practice itself
-    as the sport type. The look-up table has 15 fixed rows, hence the broadcast.
+    as the sport type.
     """
     mapping = LIVE_SPORTS if live else HISTORIC_SPORTS
-    table = df.sparkSession.createDataFrame(
-        [(name, *types) for name, types in mapping.items()],
-        "pratique_sport string, _type string, _sport_type string",
-    )
+    entries = []
+    for practice, (kind, sport) in mapping.items():
+        entries += [F.lit(practice), F.struct(F.lit(kind).alias("type"), F.lit(sport).alias("sport_type"))]
+    known = F.try_element_at(F.create_map(*entries), F.col("pratique_sport"))
     practice = F.nullif(F.col("pratique_sport"), F.lit(""))
     other = F.coalesce(practice, F.lit(OTHER_SPORT)) if live else F.lit(OTHER_SPORT)
-    return df.join(F.broadcast(table), "pratique_sport", "left").select(
-        *df.columns,
-        F.coalesce("_type", F.lit(OTHER_SPORT)).alias("type"),
-        F.coalesce("_sport_type", other).alias("sport_type"),
+    return df.select(
+        "*",
+        F.coalesce(known["type"], F.lit(OTHER_SPORT)).alias("type"),
+        F.coalesce(known["sport_type"], other).alias("sport_type"),
     )

@@ -12,11 +12,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on (UTC) and switch adaptive execution on."""
+    """Pin what results depend on (UTC), adapt plans at run time, keep stream state off the heap."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark

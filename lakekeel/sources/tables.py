@@ -23,7 +23,9 @@ class LakeTable:
     A batch is written to its own folder and never rewrites the table, so its cost
     is that of the batch; readers merge base and batches by key, newest first. A
     batch sent twice replaces itself, and a folder counts once its job committed,
-    so a lost executor or a restarted driver leaves no half-applied batch.
+    so a lost executor or a restarted driver leaves no half-applied batch. ``fmt``
+    is any file format whose commit leaves ``_SUCCESS`` (Parquet, ORC). One driver
+    writes a table at a time. Formats with their own MERGE use ``merge_into``.
     """
 
     def __init__(
@@ -77,10 +79,11 @@ class LakeTable:
             writer = writer.partitionBy(*self.partition_by)
         writer.save(f"{self.path}/base-{generation:010d}")
 
-    def _stored(self, rows: DataFrame, **defaults) -> DataFrame:
+    def _stored(self, rows: DataFrame) -> DataFrame:
+        """Rows in the stored layout; those without an order are older than any change."""
         for column in self.order_by:
             if column not in rows.columns:
-                rows = rows.withColumn(column, F.lit(defaults.get(column, -1)))
+                rows = rows.withColumn(column, F.lit(-1))
         if self.insert_only and FIRST not in rows.columns:
             rows = rows.withColumn(FIRST, F.col(self.order_by[0]))
         if DELETED not in rows.columns:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 @dataclass(frozen=True)
 class KafkaTopic:
+    """Offsets come along as ``position``: messages of one key share a partition."""
+
     name: str
     bootstrap: str
     starting: str = "earliest"
@@ -23,7 +25,7 @@ class KafkaTopic:
         })
         if self.max_offsets:
             reader = reader.option("maxOffsetsPerTrigger", self.max_offsets)
-        return reader.load().select(F.col("value").cast("string").alias("value"))
+        return reader.load().select(F.col("value").cast("string").alias("value"), F.col("offset").alias("position"))
 
     def send(self, messages: DataFrame, batch: str | None = None) -> None:
         messages.select("value").write.format("kafka").options(**{

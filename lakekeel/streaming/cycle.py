@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakekeel import schemas
 from lakekeel.functions.temporal import reference_day
-from lakekeel.operators.changes import DELETED, SEQ, accepted, parse_changes, rejected
+from lakekeel.operators.changes import DELETED, SEQ, accepted, inserts, parse_changes, rejected
 from lakekeel.plans import distance, gold, silver
 from lakekeel.plans.lake import Lake, keyed_wellbeing
 from lakekeel.plans.notify import NOTIFIED, notification_messages, notifications
-from lakekeel.operators.changes import inserts
 from lakekeel.sources.tables import LakeTable
 
 
@@ -98,15 +97,18 @@ class IncrementalCycle:
 
         drain(topic.stream(self.lake.spark), handler, f"{self.checkpoints}/{name}")
 
-    def _bronze(self, batch: DataFrame, table: LakeTable, schema: str, name: str) -> DataFrame:
-        """Write the batch's newest row per key to bronze and set unreadable messages aside."""
-        parsed = parse_changes(batch, schema)
+    def _bronze(self, batch: DataFrame, table: LakeTable, schema: str, name: str, batch_id: int) -> DataFrame:
+        """Write the batch's newest row per key to bronze and set unreadable messages aside.
+
+        Messages that say nothing about their order count in order of arrival.
+        """
+        parsed = parse_changes(batch, schema).withColumn(SEQ, F.coalesce(SEQ, F.lit(batch_id)))
         rejected(parsed).write.mode("overwrite").json(f"{self.lake.root}/quarantine/{name}")
         return table.apply(accepted(parsed, self.apply_deletes), name)
 
     def _apply_employees(self, batch: DataFrame, name: str, batch_id: int) -> None:
         lake = self.lake
-        rows = self._bronze(batch, lake.employees, schemas.EMPLOYEES, name)
+        rows = self._bronze(batch, lake.employees, schemas.EMPLOYEES, name, batch_id)
         people = lake.employee.apply(silver.employee(rows, self.as_of), name, resolved=True)
         ways, cache = silver.commute(rows), lake.distances.versioned()
         wanted = distance.missing_requests(ways.filter(~F.col(DELETED)), cache, self.destination)
@@ -125,22 +127,19 @@ class IncrementalCycle:
         answered = distance.answers(self.provider(wanted))
         stamped = answered.withColumns({SEQ: F.lit(batch_id), "last_updated": F.current_timestamp()})
         cached = lake.distances.apply(stamped, name)
-        bare = [c for c in schemas.column_names(schemas.SILVER_COMMUTE) if not c.endswith("_travail_m")
-                and not c.endswith("_travail_s")]
-        ways = distance.stamped_commute(
-            lake.commute.versioned().select(*bare, SEQ), cached, self.destination
-        ).filter(F.col("_cache_seq") == batch_id)
+        ways = lake.commute.versioned().drop(*distance.MEASURES, "_cache_seq")
+        ways = distance.stamped_commute(ways, cached, self.destination).filter(F.col("_cache_seq") == batch_id)
         ways = lake.commute.apply(ways, name, resolved=True)
         lake.bonus_input.apply(
             gold.bonus_input(lake.employee.snapshot(), ways, self.as_of), name, resolved=True
         )
 
     def _apply_sports(self, batch: DataFrame, name: str, batch_id: int) -> None:
-        rows = self._bronze(batch, self.lake.sports, schemas.SPORTS, name)
+        rows = self._bronze(batch, self.lake.sports, schemas.SPORTS, name, batch_id)
         self.lake.sport_profile.apply(silver.sport_profile(rows), name, resolved=True)
 
     def _apply_activities(self, batch: DataFrame, name: str, batch_id: int) -> None:
-        rows = self._bronze(batch, self.lake.activities, schemas.ACTIVITIES, name)
+        rows = self._bronze(batch, self.lake.activities, schemas.ACTIVITIES, name, batch_id)
         self.lake.activity.apply(silver.activity(rows), name, resolved=True)
 
     def _apply_wellbeing(self, batch: DataFrame, batch_id: int) -> None:
@@ -174,9 +173,10 @@ def run_wellbeing_totals(
     """Stateful alternative for insert-only activities: running totals, rewritten each batch.
 
     Activities that come again are counted once. State grows with the number of
-    activities; where rows change later, :class:`IncrementalCycle` recounts instead.
+    activities of the year; where rows change later, :class:`IncrementalCycle` recounts instead.
     """
-    totals = gold.wellbeing_counts(changes.dropDuplicates(["activity_id"]), as_of)
+    current = changes.filter(F.col("activity_year") == F.year(reference_day(as_of)))
+    totals = gold.wellbeing_counts(current.dropDuplicates(["activity_id"]), as_of)
 
     def overwrite(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
