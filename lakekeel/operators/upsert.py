@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakekeel.operators.joins import any_null, fits_broadcast
+from lakekeel.operators.joins import fits_broadcast
 
 
 def latest_per_key(
@@ -15,29 +15,24 @@ def latest_per_key(
     order_by: Sequence[str],
     insert_only: Sequence[str] = (),
     first_by: str | None = None,
-    null_key_group: Column | None = None,
 ) -> DataFrame:
     """The newest row per key by ``order_by``; the remaining columns break exact ties.
 
     ``insert_only`` columns come from the oldest row by ``first_by`` instead. One
     aggregate with map-side combine: a key with very many changes leaves each map
-    task as one row. NULL keys form one group, as in a de-duplication, or one per
-    ``null_key_group``.
+    task as one row. NULL keys form one group, as in a de-duplication.
     """
     rest = [c for c in changes.columns if c not in keys and c not in order_by]
     aggregates = [F.max(F.struct(*order_by, *rest)).alias("_newest")]
     if insert_only:
         aggregates.append(F.min(F.struct(first_by, *[c for c in insert_only if c != first_by])).alias("_oldest"))
-    grouping = [F.col(k) for k in keys]
-    if null_key_group is not None:
-        grouping.append(F.when(any_null(list(keys)), null_key_group).alias("_null_group"))
 
     def value(column: str) -> Column:
         if column in keys:
             return F.col(column)
         return F.col(f"{'_oldest' if column in insert_only else '_newest'}.{column}").alias(column)
 
-    return changes.groupBy(*grouping).agg(*aggregates).select(*[value(c) for c in changes.columns])
+    return changes.groupBy(*keys).agg(*aggregates).select(*[value(c) for c in changes.columns])
 
 
 def upsert(

@@ -8,13 +8,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakekeel.operators.changes import DELETED, SEQ
+from lakekeel.operators.joins import any_null
 from lakekeel.operators.project import conformed
 from lakekeel.operators.upsert import latest_per_key, upsert
 from lakekeel.schemas import column_names
-from lakekeel.sources.files import children, path_exists, remove
+from lakekeel.sources.files import children, path_exists, remove, size_of
 
 FIRST = "_first_seq"
-_FOLDER = re.compile(r"(base|change)-(\d+)(?:-(.+))?")
+_FOLDER = re.compile(r"(base|merge|change)-(\d+)(?:-(.+))?")
 
 
 class LakeTable:
@@ -49,21 +50,23 @@ class LakeTable:
 
     def _folders(self) -> list[tuple[str, int, str | None, str]]:
         """(kind, generation, batch, name) of every folder, committed or not."""
-        found = []
-        for name in children(self.spark, self.path):
-            if match := _FOLDER.fullmatch(name):
-                found.append((match[1], int(match[2]), match[3], name))
-        return found
-
-    def _committed(self) -> tuple[str | None, int, list[str]]:
-        """Newest base folder, its generation, and the change folders after it."""
-        done = [f for f in self._folders() if path_exists(self.spark, f"{self.path}/{f[3]}/_SUCCESS")]
-        bases = [f for f in done if f[0] == "base"]
-        base, generation = (bases[-1][3], bases[-1][1]) if bases else (None, -1)
-        return base, generation, [f[3] for f in done if f[0] == "change" and f[1] > generation]
+        names = [_FOLDER.fullmatch(name) for name in children(self.spark, self.path)]
+        return [(m[1], int(m[2]), m[3], m[0]) for m in names if m]
+
+    def _done(self) -> list[tuple[str, int, str | None, str]]:
+        return [f for f in self._folders() if path_exists(self.spark, f"{self.path}/{f[3]}/_SUCCESS")]
+
+    def _committed(self) -> tuple[str | None, list[str]]:
+        """The newest base folder and the folders of changes it does not contain."""
+        done = self._done()
+        base = max((f for f in done if f[0] == "base"), key=lambda f: f[1], default=None)
+        since = base[1] if base else -1
+        merged = max((f for f in done if f[0] == "merge" and f[1] > since), key=lambda f: f[1], default=None)
+        pending = [f for f in done if f[0] == "change" and f[1] > (merged[1] if merged else since)]
+        return base and base[3], [f[3] for f in ([merged] if merged else []) + pending]
 
     def exists(self) -> bool:
-        base, _, changes = self._committed()
+        base, changes = self._committed()
         return bool(base or changes)
 
     def _read(self, names: list[str]) -> DataFrame:
@@ -73,11 +76,14 @@ class LakeTable:
         reader = self.spark.read.schema(self.stored_schema).format(self.fmt)
         return reader.load([f"{self.path}/{name}" for name in names])
 
-    def _write_base(self, rows: DataFrame, generation: int) -> None:
-        writer = rows.write.format(self.fmt).mode("overwrite")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.save(f"{self.path}/base-{generation:010d}")
+    def _write(self, rows: DataFrame, kind: str, generation: int) -> None:
+        if kind == "base" and self.partition_by:
+            # Files of one size per partition value, however unevenly rows spread over the values.
+            rows = rows.hint("rebalance", *map(F.col, self.partition_by))
+            writer = rows.write.partitionBy(*self.partition_by)
+        else:
+            writer = rows.write
+        writer.format(self.fmt).mode("overwrite").save(f"{self.path}/{kind}-{generation:010d}")
 
     def _stored(self, rows: DataFrame) -> DataFrame:
         """Rows in the stored layout; those without an order are older than any change."""
@@ -90,25 +96,22 @@ class LakeTable:
             rows = rows.withColumn(DELETED, F.lit(False))
         return conformed(rows, self.stored_schema)
 
-    def _latest(self, rows: DataFrame, null_key_group=None) -> DataFrame:
-        return latest_per_key(
-            rows, self.keys, self.order_by, self.insert_only, FIRST if self.insert_only else None, null_key_group
-        )
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        first_by = FIRST if self.insert_only else None
+        return latest_per_key(rows, self.keys, self.order_by, self.insert_only, first_by)
 
     def apply(self, changes: DataFrame, batch: str, resolved: bool = False) -> DataFrame:
         """Write one batch of changes and return its rows as written, one per key.
 
         ``resolved`` says the changes already hold one row per key.
         """
-        folders = self._folders()
-        compacted = max([f[1] for f in folders if f[0] == "base"], default=-1)
-        generation = next(
-            (f[1] for f in folders if f[0] == "change" and f[2] == batch),
-            max([f[1] for f in folders], default=0) + 1,
-        )
+        done = self._done()
+        compacted = max([f[1] for f in done if f[0] != "change"], default=-1)
+        sent = next((f[1] for f in done if f[0] == "change" and f[2] == batch), None)
+        generation = sent or max([f[1] for f in self._folders()], default=0) + 1
         rows = self._stored(changes)
         rows = rows if resolved else self._latest(rows)
-        if generation <= compacted:
+        if sent and sent <= compacted:
             return rows
         folder = f"change-{generation:010d}-{batch}"
         rows.write.format(self.fmt).mode("overwrite").save(f"{self.path}/{folder}")
@@ -116,20 +119,22 @@ class LakeTable:
 
     def history(self) -> DataFrame:
         """Every stored version since the last compaction, deletes included."""
-        base, _, changes = self._committed()
+        base, changes = self._committed()
         columns = column_names(self.stored_schema)
         return self._read([base] if base else []).select(*columns).unionByName(self._read(changes))
 
+    def _newest(self, folders: list[str]) -> DataFrame:
+        """One row per key over folders of changes. NULL keys never meet, so those rows all stay."""
+        rows = self._read(folders)
+        if len(folders) == 1:
+            return rows
+        return self._latest(rows.filter(~any_null(self.keys))).unionByName(rows.filter(any_null(self.keys)))
+
     def _merged(self) -> DataFrame:
-        base, _, changes = self._committed()
+        base, changes = self._committed()
         if not changes:
             return self._read([base] if base else [])
-        if len(changes) == 1:
-            newest = self._read(changes)
-        else:
-            batch = F.regexp_extract(F.col("_metadata.file_path"), r"change-(\d+)", 1)
-            versions = self._read(changes)
-            newest = self._latest(versions.withColumn("_batch", batch), F.col("_batch")).drop("_batch")
+        newest = self._newest(changes)
         if not base:
             return newest
         first_by = FIRST if self.insert_only else None
@@ -146,22 +151,30 @@ class LakeTable:
 
     def replace(self, rows: DataFrame) -> None:
         """Full refresh: the given rows become the table."""
-        generation = max([f[1] for f in self._folders()], default=0) + 1
-        self._write_base(self._stored(rows), generation)
+        self._write(self._stored(rows), "base", max([f[1] for f in self._folders()], default=0) + 1)
 
-    def compact(self, after: int = 0) -> bool:
-        """Fold the change batches into a new base once there are more than ``after``.
+    def compact(self, after: int = 0, share: float = 0.25) -> bool:
+        """Fold the changes together once they lie in more than ``after`` folders.
 
-        What the previous base had already replaced is removed; what this one
+        They become a new base when they are at least ``share`` of its size, and one
+        merged folder before that, so that the base is not rewritten for little.
+        What an earlier compaction had already replaced is removed; what this one
         replaces stays until the next time, for readers still on it.
         """
-        base, previous, changes = self._committed()
+        base, changes = self._committed()
         if len(changes) <= after:
             return False
         newest = int(_FOLDER.fullmatch(changes[-1])[2])
-        self._write_base(self._merged(), newest)
+        replaced = max([f[1] for f in self._done() if f[0] != "change"], default=-1)
+        pending = sum(size_of(self.spark, f"{self.path}/{name}") for name in changes)
+        if base and pending < share * size_of(self.spark, f"{self.path}/{base}"):
+            if len(changes) == 1:
+                return False
+            self._write(self._newest(changes), "merge", newest)
+        else:
+            self._write(self._merged(), "base", newest)
         for kind, generation, _, name in self._folders():
-            if generation < previous or (kind == "change" and generation <= previous):
+            if name != base and name not in changes and generation <= replaced:
                 remove(self.spark, f"{self.path}/{name}")
         return True
 

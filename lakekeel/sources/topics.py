@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 @dataclass(frozen=True)
 class KafkaTopic:
-    """Offsets come along as ``position``: messages of one key share a partition."""
+    """Offsets come along as ``position``: messages of one key share a partition.
+
+    ``max_offsets`` bounds one micro-batch, so that the first drain of a long topic
+    runs as many batches of a size the cluster holds.
+    """
 
     name: str
     bootstrap: str
     starting: str = "earliest"
-    max_offsets: int | None = None
+    max_offsets: int = 50_000_000
 
     def stream(self, spark: SparkSession) -> DataFrame:
         reader = spark.readStream.format("kafka").options(**{
@@ -22,9 +26,8 @@ class KafkaTopic:
             "subscribe": self.name,
             "startingOffsets": self.starting,
             "failOnDataLoss": "false",
+            "maxOffsetsPerTrigger": str(self.max_offsets),
         })
-        if self.max_offsets:
-            reader = reader.option("maxOffsetsPerTrigger", self.max_offsets)
         return reader.load().select(F.col("value").cast("string").alias("value"), F.col("offset").alias("position"))
 
     def send(self, messages: DataFrame, batch: str | None = None) -> None:
@@ -38,13 +41,11 @@ class FolderTopic:
     """A topic kept as text files, one message per line, one sub-folder per sent batch."""
 
     path: str
-    max_files: int | None = None
+    max_files: int = 1000
 
     def stream(self, spark: SparkSession) -> DataFrame:
         reader = spark.readStream.format("text").option("recursiveFileLookup", True)
-        if self.max_files:
-            reader = reader.option("maxFilesPerTrigger", self.max_files)
-        return reader.load(self.path)
+        return reader.option("maxFilesPerTrigger", self.max_files).load(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.option("recursiveFileLookup", True).text(self.path)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakekeel.operators.upsert import latest_per_key, merge_statement, upsert
+from lakekeel.sources.files import remove
 from lakekeel.sources.tables import LakeTable
 
 
@@ -94,8 +95,8 @@ def test_any_split_replay_and_compaction_give_the_same_table(spark, folder, seed
         table.apply(part, f"b{batch}")
         if rng.random() < 0.5:
             table.apply(part, f"b{batch}")
-        if rng.random() < 0.4:
-            table.compact()
+        if rng.random() < 0.5:
+            table.compact(share=rng.choice([0, 100]))
         if rng.random() < 0.3:
             table.apply(part, f"b{batch}")
         start, batch = start + size, batch + 1
@@ -109,8 +110,15 @@ def test_null_keys_are_inserted_by_every_batch_and_replays_are_not(spark, folder
     for batch, value in (("a", "x"), ("b", "y"), ("b", "y")):
         table.apply(spark.createDataFrame([(None, value, 1), (1, value, 1)], "k int, v string, _seq int"), batch)
     assert rows(table.snapshot()) == [(1, "y"), (None, "x"), (None, "y")]
-    table.compact()
-    table.compact()
+    assert not table.compact(after=2)
+    table.compact(share=100)
+    table.apply(spark.createDataFrame([(None, "z", 1), (1, "z", 2)], "k int, v string, _seq int"), "c")
+    table.replace(table.snapshot().filter("false"))
+    table.apply(spark.createDataFrame([(None, "x", 1), (1, "x", 1)], "k int, v string, _seq int"), "d")
+    table.apply(spark.createDataFrame([(None, "y", 1), (1, "y", 1)], "k int, v string, _seq int"), "e")
+    table.compact(share=100)
+    table.compact(share=0)
+    table.compact(share=0)
     assert rows(table.snapshot()) == [(1, "y"), (None, "x"), (None, "y")]
 
 
@@ -119,3 +127,26 @@ def test_replace_supersedes_changes(spark, folder):
     table.apply(spark.createDataFrame([(1, "old", 3)], "k int, v string, _seq int"), "a")
     table.replace(spark.createDataFrame([(2, "new")], "k int, v string"))
     assert rows(table.snapshot()) == [(2, "new")]
+
+
+def test_a_batch_that_crashed_is_written_again(spark, folder):
+    table = LakeTable(spark, f"{folder}/c", "k int, v string", ["k"])
+    df = spark.createDataFrame([(1, "a", 1)], "k int, v string, _seq int")
+    table.apply(df, "a")
+    remove(spark, f"{folder}/c/change-0000000001-a/_SUCCESS")
+    assert not table.exists()
+    table.apply(spark.createDataFrame([(2, "b", 1)], "k int, v string, _seq int"), "b")
+    table.compact()
+    table.apply(df, "a")
+    assert rows(table.snapshot()) == [(1, "a"), (2, "b")]
+
+
+def test_little_change_does_not_rewrite_the_base(spark, folder):
+    table = LakeTable(spark, f"{folder}/m", "k int, v string", ["k"])
+    table.replace(spark.range(50_000).selectExpr("cast(id AS int) AS k", "cast(id * 7919 AS string) AS v"))
+    for batch in range(4):
+        table.apply(spark.createDataFrame([(batch, "x", batch)], "k int, v string, _seq int"), f"b{batch}")
+    assert table.compact(after=3)
+    base, changes = table._committed()
+    assert base == "base-0000000001" and changes == ["merge-0000000005"]
+    assert table.snapshot().filter("v = 'x'").count() == 4 and table.snapshot().count() == 50_000
