@@ -12,6 +12,7 @@ from lakekeel.operators.quality import validate
 from lakekeel.plans import distance, gold, silver
 from lakekeel.sources.files import overwrite_lake, read_lake
 from lakekeel.sources.tables import LakeTable
+from lakekeel.sources.topics import Topic
 
 SNAPSHOT_TABLES = ("rh_employees", "sport_activities", "strava_activities")
 
@@ -75,12 +76,14 @@ def full_load(
     destination: str,
     as_of: dt.date | str | None = None,
     strict: bool = False,
+    requests: Topic | None = None,
 ) -> list[str]:
     """Rebuild every table from operational snapshots; returns the names of failed checks.
 
     ``read_table`` gives the operational tables and ``distance_cache`` by name.
     Each layer reads what the previous one wrote. With ``strict`` a failed check
-    stops the load before its table is written.
+    stops the load before silver is written. Address pairs the cache does not hold
+    go to ``requests``.
     """
     lake.employees.replace(read_table("rh_employees"))
     lake.sports.replace(read_table("sport_activities"))
@@ -99,6 +102,9 @@ def full_load(
     )
     failed = validate(checks, raise_error=strict)
     lake.employee.replace(people)
+    if requests:
+        wanted = distance.missing_requests(ways, lake.distances.snapshot(), destination)
+        requests.send(distance.request_messages(wanted), "full-load")
     lake.commute.replace(distance.enriched_commute(ways, lake.distances.snapshot(), destination))
     lake.sport_profile.replace(profiles)
     lake.activity.replace(workouts)

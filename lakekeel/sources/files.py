@@ -36,6 +36,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a folder; empty when the folder does not exist."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

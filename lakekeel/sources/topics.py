@@ -4,8 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from typing import Protocol
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakekeel.sources.files import make_folder
+
+
+class Topic(Protocol):
+    def stream(self, spark: SparkSession) -> DataFrame: ...
+
+    def send(self, messages: DataFrame, batch: str) -> None: ...
+
 
 @dataclass(frozen=True)
 class KafkaTopic:
@@ -30,7 +40,7 @@ class KafkaTopic:
         })
         return reader.load().select(F.col("value").cast("string").alias("value"), F.col("offset").alias("position"))
 
-    def send(self, messages: DataFrame, batch: str | None = None) -> None:
+    def send(self, messages: DataFrame, batch: str = "all") -> None:
         messages.select("value").write.format("kafka").options(**{
             "kafka.bootstrap.servers": self.bootstrap, "topic": self.name,
         }).save()
@@ -44,6 +54,7 @@ class FolderTopic:
     max_files: int = 1000
 
     def stream(self, spark: SparkSession) -> DataFrame:
+        make_folder(spark, self.path)
         reader = spark.readStream.format("text").option("recursiveFileLookup", True)
         return reader.option("maxFilesPerTrigger", self.max_files).load(self.path)
 

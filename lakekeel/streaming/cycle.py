@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
-from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,12 +15,7 @@ from lakekeel.plans import distance, gold, silver
 from lakekeel.plans.lake import Lake, keyed_wellbeing
 from lakekeel.plans.notify import NOTIFIED, notification_messages, notifications
 from lakekeel.sources.tables import LakeTable
-
-
-class Topic(Protocol):
-    def stream(self, spark: SparkSession) -> DataFrame: ...
-
-    def send(self, messages: DataFrame, batch: str) -> None: ...
+from lakekeel.sources.topics import Topic
 
 
 Handler = Callable[[DataFrame, int], None]
