@@ -1,4 +1,4 @@
-"""Keeping the lake current from change topics, one drained micro-batch stream after another."""
+"""Keeping the lake current from change topics, by micro-batch streams that drain and stop."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from lakekeel import schemas
 from lakekeel.functions.temporal import reference_day
@@ -17,20 +19,35 @@ from lakekeel.plans.notify import NOTIFIED, notification_messages, notifications
 from lakekeel.sources.tables import LakeTable
 from lakekeel.sources.topics import Topic
 
-
 Handler = Callable[[DataFrame, int], None]
 
 
-def drain(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "append") -> None:
-    """Process everything available, then stop. A restart continues from the checkpoint."""
-    query = (
+def start(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Start processing everything available. A restart continues from the checkpoint."""
+    return (
         stream.writeStream.outputMode(mode)
         .foreachBatch(handler)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+
+
+def finish(*queries: StreamingQuery | None) -> None:
+    """Wait for all queries, then raise what the first failed one raised."""
+    failure = None
+    for query in queries:
+        try:
+            if query:
+                query.awaitTermination()
+        except StreamingQueryException as error:
+            failure = failure or error
+    if failure:
+        raise failure
+
+
+def drain(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "append") -> None:
+    finish(start(stream, handler, checkpoint, mode))
 
 
 @dataclass
@@ -55,32 +72,46 @@ class IncrementalCycle:
     compact_after: int = 16
 
     def run(self) -> None:
-        """One pass over all streams in dependency order."""
-        self.process_employees()
-        if self.provider:
-            self.process_requests()
-        self.process_sports()
-        self.process_activities()
-        self.process_wellbeing()
+        """One pass over all streams. Those that share no table run at the same time."""
+        finish(self.start_employees(), self.start_sports(), self.start_activities())
+        finish(self.start_requests() if self.provider else None, self.start_wellbeing())
         self.lake.compact(self.compact_after)
 
+    def start_employees(self) -> StreamingQuery:
+        return self._start(self.employees, "rh_employees", self._apply_employees)
+
+    def start_sports(self) -> StreamingQuery:
+        return self._start(self.sports, "sport_activities", self._apply_sports)
+
+    def start_activities(self) -> StreamingQuery:
+        return self._start(self.activities, "strava_activities", self._apply_activities)
+
+    def start_requests(self) -> StreamingQuery:
+        return self._start(self.requests, "distance_requests", self._apply_answers)
+
+    def start_wellbeing(self) -> StreamingQuery | None:
+        if not self.lake.activity.exists():
+            return None
+        return start(self.lake.activity.change_stream(), self._apply_wellbeing, f"{self.checkpoints}/wellbeing")
+
     def process_employees(self) -> None:
-        self._drain(self.employees, "rh_employees", self._apply_employees)
+        finish(self.start_employees())
 
     def process_sports(self) -> None:
-        self._drain(self.sports, "sport_activities", self._apply_sports)
+        finish(self.start_sports())
 
     def process_activities(self) -> None:
-        self._drain(self.activities, "strava_activities", self._apply_activities)
+        finish(self.start_activities())
 
     def process_requests(self) -> None:
-        self._drain(self.requests, "distance_requests", self._apply_answers)
+        finish(self.start_requests())
 
     def process_wellbeing(self) -> None:
-        if self.lake.activity.exists():
-            drain(self.lake.activity.change_stream(), self._apply_wellbeing, f"{self.checkpoints}/wellbeing")
+        finish(self.start_wellbeing())
 
-    def _drain(self, topic: Topic, name: str, apply: Callable[[DataFrame, str, int], None]) -> None:
+    def _start(
+        self, topic: Topic, name: str, apply: Callable[[DataFrame, str, int], None]
+    ) -> StreamingQuery:
         def handler(batch: DataFrame, batch_id: int) -> None:
             batch = batch.persist()
             try:
@@ -89,7 +120,7 @@ class IncrementalCycle:
             finally:
                 batch.unpersist()
 
-        drain(topic.stream(self.lake.spark), handler, f"{self.checkpoints}/{name}")
+        return start(topic.stream(self.lake.spark), handler, f"{self.checkpoints}/{name}")
 
     def _bronze(self, batch: DataFrame, table: LakeTable, schema: str, name: str, batch_id: int) -> DataFrame:
         """Write the batch's newest row per key to bronze and set unreadable messages aside.
