@@ -5,7 +5,7 @@ from __future__ import annotations
 # The stand-in tables of standins.py.
 TABLES = r"""
 street AS (
-  SELECT *, concat(c_custkey % 400, ' Rue du Port, ', 30000 + c_nationkey * 17, ' Ville ', c_nationkey) AS address
+  SELECT *, concat(c_custkey % 400, ' Quai Bleu, ', 30000 + c_nationkey * 17, ' Ville ', c_nationkey) AS address
   FROM customer
 ),
 employees AS (
@@ -16,7 +16,7 @@ employees AS (
     CAST(20000 + floor(abs(c_acctbal)) * 5 AS DOUBLE) AS salaire_brut,
     CASE WHEN c_custkey % 10 = 0 THEN 'CDD' ELSE 'CDI' END AS contrat,
     CAST(25 + c_custkey % 5 AS INTEGER) AS nb_conges_payes,
-    CASE WHEN c_custkey % 97 = 5 THEN NULL WHEN c_custkey % 50 = 7 THEN 'Av. de la Mer, Montpellier'
+    CASE WHEN c_custkey % 97 = 5 THEN NULL WHEN c_custkey % 50 = 7 THEN 'Chemin des Dunes, Mireval'
          ELSE address END AS adresse_complete,
     [' Marche/running ', 'VÉLO/Trottinette/Autres', 'Transports en commun',
      'véhicule thermique/électrique'][1 + c_custkey % 4] AS moyen_deplacement
@@ -76,7 +76,7 @@ employee_log AS (
   SELECT 'r' AS op, id * 10 AS seq, * FROM employees
   UNION ALL
   SELECT 'u', id * 10 + 5, * REPLACE (
-      concat((id + 1) % 400, ' Rue du Port, ', 30000 + id % 25 * 17, ' Ville ', id % 25) AS adresse_complete,
+      concat((id + 1) % 400, ' Quai Bleu, ', 30000 + id % 25 * 17, ' Ville ', id % 25) AS adresse_complete,
       [' Marche/running ', 'VÉLO/Trottinette/Autres', 'Transports en commun',
        'véhicule thermique/électrique'][1 + (id + 1) % 4] AS moyen_deplacement)
   FROM employees WHERE id % 3 = 0

@@ -197,19 +197,30 @@ def save_external(
     fmt: str = "parquet",
     bucket_by: tuple[int, str] | None = None,
 ) -> DataFrame:
-    """Overwrite an external catalog table and return it.
+    """Replace the content of an external catalog table and return the table.
 
+    Each time writes a new folder under ``path`` and then points the table to it, so
+    queries see the old or the new rows; the folder before the last one is removed.
     Tables bucketed on the same key and count join on it without a shuffle.
     """
-    writer = df.write.format(fmt).mode("overwrite").option("path", path)
+    spark = df.sparkSession
+    earlier = [name for name in children(spark, path) if name.startswith("v-")]
+    number = int(earlier[-1][2:]) + 1 if earlier else 0
+    folder = f"{path}/v-{number:010d}"
     if bucket_by:
         count, key = bucket_by
-        writer = (
-            df.repartition(count, key).write.format(fmt).mode("overwrite").option("path", path)
-            .bucketBy(count, key).sortBy(key)
-        )
-    writer.saveAsTable(table)
-    return df.sparkSession.table(table)
+        writer = df.repartition(count, key).write.format(fmt).mode("overwrite").option("path", folder)
+        writer.bucketBy(count, key).sortBy(key).saveAsTable(table)
+    else:
+        df.write.format(fmt).mode("overwrite").save(folder)
+        if spark.catalog.tableExists(table) and spark.table(table).dtypes == df.dtypes:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            register_external(spark, table, folder, fmt)
+    for name in earlier[:-1]:
+        remove(spark, f"{path}/{name}")
+    return spark.table(table)
 
 
 def register_external(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> None:

@@ -12,7 +12,7 @@ AS_OF = "2024-06-30"
 DESTINATION = "1 Place du Marché, 34000 Montpellier"
 OTHER_DESTINATION = "2 Quai Nord, 34200 Sète"
 OTHER_PROVIDER = "other_maps"
-NO_POSTCODE = "Av. de la Mer, Montpellier"
+NO_POSTCODE = "Chemin des Dunes, Mireval"
 MODES = (
     " Marche/running ",
     "VÉLO/Trottinette/Autres",
@@ -35,7 +35,7 @@ def _choice(options: tuple[str, ...], index: Column) -> Column:
 
 def _street(key: Column, nation: Column) -> Column:
     return F.concat(
-        (key % 400).cast("string"), F.lit(" Rue du Port, "), (30000 + nation * 17).cast("string"),
+        (key % 400).cast("string"), F.lit(" Quai Bleu, "), (30000 + nation * 17).cast("string"),
         F.lit(" Ville "), nation.cast("string"),
     )
 

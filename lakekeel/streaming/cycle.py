@@ -55,8 +55,9 @@ class IncrementalCycle:
     """Change topics to bronze, silver and gold.
 
     ``provider`` turns requests (origin_address, destination_address) into answers
-    (the same plus ``body``); without one, requests stay in their topic. All
-    writes are keyed by batch, so replaying a batch changes nothing.
+    (the same plus ``body``); without one, requests stay in their topic. Table
+    writes are keyed by batch, so replaying a batch changes nothing; a request may
+    be sent to Kafka again and is then answered from the cache.
     """
 
     lake: Lake

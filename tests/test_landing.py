@@ -20,15 +20,15 @@ def write(folder, name, text):
 
 
 HEADER = ",".join(schemas.EMPLOYEE_HEADERS)
-ROW = '7,Colin,Audrey,6/7/1990,Marketing,14/12/2020,30940,CDI,29,"128 Rue du Port, 34000 ""Frontignan""",Transports en commun'
+ROW = '7,Morel,Zoé,6/7/1990,Design,1/12/2020,31000,CDI,28,"9 Quai Bleu, 34110 ""Mireval""",Transports en commun'
 
 
 def test_employee_csv(spark, folder):
     write(f"{folder}/in", "rh.csv", "\r\n".join([HEADER, ROW, '8,"","",31/02/1990,BU,x,,CDD,,,']) + "\r\n")
     landing.prepare_csv(spark, f"{folder}/in", f"{folder}/ready", schemas.EMPLOYEE_HEADERS)
     rows = {r.id: r for r in landing.employees(landing.employee_rows(spark, f"{folder}/ready")).collect()}
-    assert rows[7].adresse_complete == '128 Rue du Port, 34000 "Frontignan"'
-    assert (rows[7].date_naissance, rows[7].salaire_brut) == (dt.date(1990, 7, 6), 30940.0)
+    assert rows[7].adresse_complete == '9 Quai Bleu, 34110 "Mireval"'
+    assert (rows[7].date_naissance, rows[7].salaire_brut) == (dt.date(1990, 7, 6), 31000.0)
     assert (rows[8].nom, rows[8].date_naissance, rows[8].date_embauche, rows[8].salaire_brut) == (None,) * 4
 
 

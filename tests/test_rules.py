@@ -21,9 +21,9 @@ def test_age_uses_mean_year_length(spark):
 
 
 @pytest.mark.parametrize("address, code, town", [
-    ("Av. de la Mer, Montpellier", "", ""),
+    ("Chemin des Dunes, Mireval", "", ""),
     (None, None, None),
-    ("128 Rue du Port, 34000 Frontignan", "34000", "Frontignan"),
+    ("9 Quai Bleu, 34110 Mireval", "34110", "Mireval"),
     ("12345 rue X, 34000 Nimes ", "12345", "rue X, 34000 Nimes"),
 ])
 def test_address_parts(spark, address, code, town):
@@ -112,9 +112,9 @@ def test_sport_types(spark):
 
 def test_notifications_name_unknown_employees(spark):
     acts = spark.createDataFrame([(1, 7, "run", 350), (2, 8, None, None)], notify.NOTIFIED)
-    people = spark.createDataFrame([(7, "Colin", "Audrey")], "id int, nom string, prenom string")
+    people = spark.createDataFrame([(7, "Morel", "Zoé")], "id int, nom string, prenom string")
     payloads = notify.notifications(acts, people)
-    assert {r.employee_fullname for r in payloads.collect()} == {"Audrey Colin", "Employé 8"}
+    assert {r.employee_fullname for r in payloads.collect()} == {"Zoé Morel", "Employé 8"}
     texts = sorted(r.value for r in notify.notification_messages(payloads).collect())
     assert texts[1] == (
         '{"employee_id":8,"employee_fullname":"Employé 8","employee_firstname":null,"employee_lastname":null,'

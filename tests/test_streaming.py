@@ -184,8 +184,8 @@ def test_any_split_equals_batch(spark, folder, seed):
 def test_notifications_only_for_new_activities(spark, folder):
     inbox, outbox = FolderTopic(f"{folder}/in"), FolderTopic(f"{folder}/out")
     send(spark, inbox, "one", [workout(1, 1, op="c"), workout(2, 2, op="u"), "{broken", workout(3, 3, employee=9, op="c")])
-    people = spark.createDataFrame([(1, "Colin", "Audrey")], "id int, nom string, prenom string")
+    people = spark.createDataFrame([(1, "Morel", "Zoé")], "id int, nom string, prenom string")
     run_notifications(inbox, outbox, lambda: people, spark, f"{folder}/checkpoint")
     run_notifications(inbox, outbox, lambda: people, spark, f"{folder}/checkpoint")
     sent = sorted(json.loads(r.value)["employee_fullname"] for r in outbox.read(spark).collect())
-    assert sent == ["Audrey Colin", "Employé 9"]
+    assert sent == ["Employé 9", "Zoé Morel"]

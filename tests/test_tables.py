@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lakekeel.plans import gold, serving
 from lakekeel.plans.lake import Lake, full_load
 from lakekeel.session import workspace
+from lakekeel.sources.files import children
 from lakekeel.sources.relational import Database
 from lakekeel.sources.tables import create_database, save_external
 
@@ -55,6 +56,11 @@ def test_views_follow_overwritten_tables(spark, folder):
     assert dict(view.dtypes)["first_activity_date"] == "timestamp"
     serving.publish_wellbeing(counts.withColumn("nb_activities_year", F.lit(9).cast("bigint")), folder, "gold_views")
     assert spark.table("gold_views.v_wellbeing").first().nb_activities_year == 9
+    save_external(counts.drop("first_activity_date"), "gold_views.other", f"{folder}/other")
+    save_external(counts, "gold_views.other", f"{folder}/other")
+    save_external(counts, "gold_views.other", f"{folder}/other")
+    assert spark.table("gold_views.other").columns == counts.columns
+    assert children(spark, f"{folder}/other") == ["v-0000000001", "v-0000000002"]
 
 
 def test_full_load_can_stop_on_failed_checks(spark, folder):
