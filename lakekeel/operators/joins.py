@@ -19,14 +19,15 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate is within the broadcast threshold.
+def fits_broadcast(df: DataFrame, size: int | None = None) -> bool:
+    """Whether the size in bytes is within the broadcast threshold.
 
-    Without column statistics the estimate ignores filters and multiplies join
-    sides, so it errs towards 'too large'.
+    Where the caller knows no size the optimizer's estimate counts. It ignores
+    filters and multiplies join sides, so it errs towards 'too large'.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= broadcast_limit(df)
+    if size is None:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= broadcast_limit(df)
 
 
 def any_null(keys: list[str]) -> Column:
@@ -44,7 +45,11 @@ def hot_keys(facts: DataFrame, keys: list[str], share: int = HOT_SHARE) -> DataF
 
 
 def lookup_join(
-    facts: DataFrame, dimension: DataFrame, keys: list[str], share: int = HOT_SHARE
+    facts: DataFrame,
+    dimension: DataFrame,
+    keys: list[str],
+    share: int = HOT_SHARE,
+    dimension_size: int | None = None,
 ) -> DataFrame:
     """Left join of facts with a dimension that is unique on ``keys``.
 
@@ -53,7 +58,7 @@ def lookup_join(
     they need (at most ``share``) and are never shuffled; the rest is an ordinary
     shuffled join whose largest key is bounded.
     """
-    if fits_broadcast(dimension):
+    if fits_broadcast(dimension, dimension_size):
         return facts.join(F.broadcast(dimension), keys, "left")
     hot = hot_keys(facts, keys, share)
     needed = dimension.join(F.broadcast(hot), keys, "left_semi")

@@ -33,12 +33,17 @@ def enriched_commute(
 
 
 def stamped_commute(
-    commutes: DataFrame, cache: DataFrame, destination: str, provider: str = DEFAULT_PROVIDER
+    commutes: DataFrame,
+    cache: DataFrame,
+    destination: str,
+    provider: str = DEFAULT_PROVIDER,
+    cache_size: int | None = None,
 ) -> DataFrame:
     """As :func:`enriched_commute`, plus ``_cache_seq``: the version of the cache row looked at.
 
     Rows that are not OK count as looked at, so that a failure which replaces a
-    success takes effect. -1 where the cache has no row.
+    success takes effect. -1 where the cache has no row. ``cache_size`` is the
+    size of the cache in bytes where the caller knows it.
     """
     usable = F.col("status") == OK
     known = cache.filter(
@@ -49,7 +54,8 @@ def stamped_commute(
         F.when(usable, F.col("duration_s")).alias(MEASURES[1]),
         F.col("_seq").alias("_cache_seq"),
     )
-    joined = _in_order(lookup_join(commutes, known, ["adresse_complete"]), commutes)
+    looked_up = lookup_join(commutes, known, ["adresse_complete"], dimension_size=cache_size)
+    joined = _in_order(looked_up, commutes)
     return joined.withColumn("_cache_seq", F.coalesce("_cache_seq", F.lit(-1)))
 
 

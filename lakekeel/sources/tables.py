@@ -69,6 +69,11 @@ class LakeTable:
         base, changes = self._committed()
         return bool(base or changes)
 
+    def size(self) -> int:
+        """Bytes of the files a reader looks at."""
+        base, changes = self._committed()
+        return sum(size_of(self.spark, f"{self.path}/{name}") for name in [*([base] if base else []), *changes])
+
     def _read(self, names: list[str]) -> DataFrame:
         """Change folders together, or one base folder."""
         if not names:

@@ -139,7 +139,8 @@ class IncrementalCycle:
         ways, cache = silver.commute(rows), lake.distances.versioned()
         wanted = distance.missing_requests(ways.filter(~F.col(DELETED)), cache, self.destination)
         self.requests.send(distance.request_messages(wanted), name)
-        ways = lake.commute.apply(distance.stamped_commute(ways, cache, self.destination), name, resolved=True)
+        ways = distance.stamped_commute(ways, cache, self.destination, cache_size=lake.distances.size())
+        ways = lake.commute.apply(ways, name, resolved=True)
         lake.bonus_input.apply(gold.bonus_input(people, ways, self.as_of), name, resolved=True)
 
     def _apply_answers(self, batch: DataFrame, name: str, batch_id: int) -> None:

@@ -4,7 +4,6 @@ import random
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from lakekeel.operators.joins import fits_broadcast, hot_keys, lookup_join, orphans
 
