@@ -114,6 +114,7 @@ class _Job:
         run_notifications(
             self._changes("strava_activities", "latest"), self._topic("notifications"),
             self.lake.employees.snapshot, self.spark, f"{self.options.root}/checkpoints/notifications",
+            self.lake.employees.size,
         )
 
 

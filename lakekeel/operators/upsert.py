@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakekeel.operators.joins import fits_broadcast
+from lakekeel.operators.joins import any_null, fits_broadcast
 
 
 def latest_per_key(
@@ -73,7 +73,10 @@ def upsert(
 
     columns = [merged(c) for c in target.columns]
     if not fits_broadcast(source):
-        return old.join(new, keys, "full_outer").select(*columns)
+        # Rows with a NULL key meet nothing, so they need not travel to one task.
+        keyed = ~any_null(keys)
+        merged_rows = old.filter(keyed).join(new.filter(keyed), keys, "full_outer").select(*columns)
+        return merged_rows.unionByName(target.filter(~keyed)).unionByName(source.filter(~keyed))
     updated = old.join(F.broadcast(new), keys, "left").select(*columns)
     matched = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
     return updated.unionByName(source.join(matched, keys, "left_anti"))

@@ -38,11 +38,13 @@ LIVE_SPORTS = {
 OTHER_SPORT = "Workout"
 
 
-def notifications(activities: DataFrame, employees: DataFrame) -> DataFrame:
+def notifications(
+    activities: DataFrame, employees: DataFrame, employees_size: int | None = None
+) -> DataFrame:
     """One payload row per activity; an unknown employee shows as a numbered fallback."""
     people = employees.select(F.col("id").alias("employee_id"), "prenom", "nom")
     fallback = F.concat(F.lit("Employé "), F.coalesce(F.col("employee_id").cast("string"), F.lit("None")))
-    return lookup_join(activities, people, ["employee_id"]).select(
+    return lookup_join(activities, people, ["employee_id"], dimension_size=employees_size).select(
         "activity_id",
         "employee_id",
         full_name(F.col("prenom"), F.col("nom"), fallback).alias("employee_fullname"),

@@ -213,13 +213,21 @@ def run_wellbeing_totals(
 
 
 def run_notifications(
-    topic: Topic, outbox: Topic, employees: Callable[[], DataFrame], spark: SparkSession, checkpoint: str
+    topic: Topic,
+    outbox: Topic,
+    employees: Callable[[], DataFrame],
+    spark: SparkSession,
+    checkpoint: str,
+    employees_size: Callable[[], int | None] = lambda: None,
 ) -> None:
-    """New activities to notification messages; employees are read anew for every batch."""
+    """New activities to notification messages; employees are read anew for every batch.
+
+    ``employees_size`` tells their size in bytes where it is known.
+    """
 
     def send(batch: DataFrame, batch_id: int) -> None:
         created = inserts(parse_changes(batch, NOTIFIED))
-        payloads = notifications(created, employees())
+        payloads = notifications(created, employees(), employees_size())
         outbox.send(notification_messages(payloads), f"batch-{batch_id}")
 
     drain(topic.stream(spark), send, checkpoint)
