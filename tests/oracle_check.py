@@ -1,4 +1,7 @@
-"""Compare every query with its SQL oracle: ``python tests/oracle_check.py [sf] [name ...]``."""
+"""Compare every query with its SQL oracle: ``python tests/oracle_check.py [sf] [name ...]``.
+
+With ``NO_BROADCAST=1`` every join side counts as too large to broadcast.
+"""
 
 from __future__ import annotations
 
@@ -67,6 +70,8 @@ def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     wanted = sys.argv[2:]
     spark = local_session()
+    if os.environ.get("NO_BROADCAST"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     queries, oracles = entry.queries(), entry.oracle_sql()
     failed = []
     for name, run in queries.items():
