@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakekeel import schemas
 from lakekeel.operators.quality import validate
 from lakekeel.plans import distance, gold, silver
+from lakekeel.session import together
 from lakekeel.sources.files import overwrite_lake, read_lake
 from lakekeel.sources.tables import LakeTable
 from lakekeel.sources.topics import Topic
@@ -58,12 +60,12 @@ def bronze_snapshot(
     read_table: Callable[[str], DataFrame], root: str, tables: tuple[str, ...] = SNAPSHOT_TABLES
 ) -> dict[str, DataFrame]:
     """Overwrite one plain lake folder per operational table and read each back."""
-    result = {}
-    for name in tables:
+    def snapshot(name: str) -> DataFrame:
         rows = read_table(name)
         overwrite_lake(rows, f"{root}/{name}")
-        result[name] = read_lake(rows.sparkSession, f"{root}/{name}")
-    return result
+        return read_lake(rows.sparkSession, f"{root}/{name}")
+
+    return dict(zip(tables, together(*[partial(snapshot, name) for name in tables])))
 
 
 def keyed_wellbeing(counts: DataFrame) -> DataFrame:
@@ -85,15 +87,17 @@ def full_load(
     stops the load before silver is written. Address pairs the cache does not hold
     go to ``requests``.
     """
-    lake.employees.replace(read_table("rh_employees"))
-    lake.sports.replace(read_table("sport_activities"))
-    lake.activities.replace(read_table("strava_activities"))
-    lake.distances.replace(read_table("distance_cache"))
+    bronze = {
+        "rh_employees": lake.employees, "sport_activities": lake.sports,
+        "strava_activities": lake.activities, "distance_cache": lake.distances,
+    }
+    together(*[partial(_refresh, table, read_table, name) for name, table in bronze.items()])
 
     people = silver.employee(lake.employees.snapshot(), as_of)
     ways = silver.commute(lake.employees.snapshot())
     profiles = silver.sport_profile(lake.sports.snapshot())
     workouts = silver.activity(lake.activities.snapshot())
+    known = lake.distances.snapshot()
     checks = (
         silver.employee_quality(people, as_of)
         .unionByName(silver.commute_quality(ways))
@@ -101,14 +105,22 @@ def full_load(
         .unionByName(silver.activity_quality(workouts))
     )
     failed = validate(checks, raise_error=strict)
-    lake.employee.replace(people)
+    writes = [
+        partial(lake.employee.replace, people),
+        partial(lake.commute.replace, distance.enriched_commute(ways, known, destination)),
+        partial(lake.sport_profile.replace, profiles),
+        partial(lake.activity.replace, workouts),
+    ]
     if requests:
-        wanted = distance.missing_requests(ways, lake.distances.snapshot(), destination)
-        requests.send(distance.request_messages(wanted), "full-load")
-    lake.commute.replace(distance.enriched_commute(ways, lake.distances.snapshot(), destination))
-    lake.sport_profile.replace(profiles)
-    lake.activity.replace(workouts)
-
-    lake.bonus_input.replace(gold.bonus_input(lake.employee.snapshot(), lake.commute.snapshot(), as_of))
-    lake.wellbeing.replace(keyed_wellbeing(gold.wellbeing_counts(lake.activity.snapshot(), as_of)))
+        wanted = distance.missing_requests(ways, known, destination)
+        writes.append(partial(requests.send, distance.request_messages(wanted), "full-load"))
+    together(*writes)
+
+    bonuses = gold.bonus_input(lake.employee.snapshot(), lake.commute.snapshot(), as_of)
+    counts = keyed_wellbeing(gold.wellbeing_counts(lake.activity.snapshot(), as_of))
+    together(partial(lake.bonus_input.replace, bonuses), partial(lake.wellbeing.replace, counts))
     return failed
+
+
+def _refresh(table: LakeTable, read_table: Callable[[str], DataFrame], name: str) -> None:
+    table.replace(read_table(name))

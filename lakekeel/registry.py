@@ -426,10 +426,11 @@ _MESSAGES = {"employees": s.employee_messages, "sports": s.sport_messages, "acti
 
 
 def _cycle(spark: SparkSession, sf: str, *fed: str) -> IncrementalCycle:
-    """A lake that only knows some distances, and its change topics; ``fed`` ones hold messages."""
+    """A new lake and its change topics; ``fed`` names the topics that hold messages, and the distances."""
     root = workspace(spark, "cycle")
     lake = Lake(spark, f"{root}/lake")
-    lake.distances.replace(s.distances(spark, sf))
+    if "distances" in fed:
+        lake.distances.replace(s.distances(spark, sf))
     topics = {
         name: _topic(spark, messages(spark, sf), f"{root}/topics/{name}", batches=1 if name == "sports" else 2)
         if name in fed else FolderTopic(f"{root}/topics/{name}")
@@ -444,7 +445,7 @@ def _cycle(spark: SparkSession, sf: str, *fed: str) -> IncrementalCycle:
 @query
 def stream_cycle(spark, sf):
     """All change topics through one full cycle; what the gold tables and profiles say afterwards."""
-    cycle = _cycle(spark, sf, *_MESSAGES)
+    cycle = _cycle(spark, sf, "distances", *_MESSAGES)
     cycle.run()
     lake = cycle.lake
     counts = lake.wellbeing.snapshot().drop("year")
@@ -478,7 +479,7 @@ def stream_wellbeing_complete(spark, sf):
 @query
 def stream_distance_requests(spark, sf):
     """Requests sent for addresses employees live at after all changes."""
-    cycle = _cycle(spark, sf, "employees")
+    cycle = _cycle(spark, sf, "distances", "employees")
     cycle.process_employees()
     current = cycle.lake.commute.snapshot().select(F.col("adresse_complete").alias("origin_address"))
     return distance.parse_requests(cycle.requests.read(spark)).join(current, "origin_address", "left_semi")
@@ -486,7 +487,7 @@ def stream_distance_requests(spark, sf):
 
 @query
 def stream_distance_answers(spark, sf):
-    cycle = _cycle(spark, sf)
+    cycle = _cycle(spark, sf, "distances")
     wanted = distance.missing_requests(silver.commute(s.employees(spark, sf)), s.distances(spark, sf), s.DESTINATION)
     cycle.requests.send(distance.request_messages(wanted), "once")
     cycle.requests.send(distance.request_messages(wanted), "again")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +46,9 @@ def workspace(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/lakekeel/{purpose}-{uuid.uuid4().hex}"
+
+
+def together(*actions: Callable[[], object]) -> list:
+    """Run independent actions side by side, so that small jobs do not wait behind large ones."""
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        return [running.result() for running in [pool.submit(action) for action in actions]]
