@@ -52,8 +52,7 @@ class Lake:
         return [t for t in vars(self).values() if isinstance(t, LakeTable)]
 
     def compact(self, after: int = 16) -> None:
-        for table in self.tables:
-            table.compact(after)
+        together(*[partial(table.compact, after) for table in self.tables])
 
 
 def bronze_snapshot(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,6 +17,7 @@ from lakekeel.operators.changes import DELETED, SEQ, accepted, inserts, parse_ch
 from lakekeel.plans import distance, gold, silver
 from lakekeel.plans.lake import Lake, keyed_wellbeing
 from lakekeel.plans.notify import NOTIFIED, notification_messages, notifications
+from lakekeel.session import together
 from lakekeel.sources.tables import LakeTable
 from lakekeel.sources.topics import Topic
 
@@ -129,18 +131,23 @@ class IncrementalCycle:
         Messages that say nothing about their order count in order of arrival.
         """
         parsed = parse_changes(batch, schema).withColumn(SEQ, F.coalesce(SEQ, F.lit(batch_id)))
-        rejected(parsed).write.mode("overwrite").json(f"{self.lake.root}/quarantine/{name}")
-        return table.apply(accepted(parsed, self.apply_deletes), name)
+        aside = rejected(parsed).write.mode("overwrite")
+        return together(
+            partial(table.apply, accepted(parsed, self.apply_deletes), name),
+            partial(aside.json, f"{self.lake.root}/quarantine/{name}"),
+        )[0]
 
     def _apply_employees(self, batch: DataFrame, name: str, batch_id: int) -> None:
         lake = self.lake
         rows = self._bronze(batch, lake.employees, schemas.EMPLOYEES, name, batch_id)
-        people = lake.employee.apply(silver.employee(rows, self.as_of), name, resolved=True)
         ways, cache = silver.commute(rows), lake.distances.versioned()
         wanted = distance.missing_requests(ways.filter(~F.col(DELETED)), cache, self.destination)
-        self.requests.send(distance.request_messages(wanted), name)
-        ways = distance.stamped_commute(ways, cache, self.destination, cache_size=lake.distances.size())
-        ways = lake.commute.apply(ways, name, resolved=True)
+        stamped = distance.stamped_commute(ways, cache, self.destination, cache_size=lake.distances.size())
+        people, ways, _ = together(
+            partial(lake.employee.apply, silver.employee(rows, self.as_of), name, resolved=True),
+            partial(lake.commute.apply, stamped, name, resolved=True),
+            partial(self.requests.send, distance.request_messages(wanted), name),
+        )
         lake.bonus_input.apply(gold.bonus_input(people, ways, self.as_of), name, resolved=True)
 
     def _apply_answers(self, batch: DataFrame, name: str, batch_id: int) -> None:
