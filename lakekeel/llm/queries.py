@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lakekeel.llm.best_fit import pack_pieces
 from lakekeel.llm.ngram_jaccard import ngram_jaccard
+from lakekeel.llm.stream_dedup import stream_dedup
+from lakekeel.llm.tokens import token_pieces
+from lakekeel.llm.toxicity import toxicity
+
+#: Tokens of a training sequence, and the id that ends a document.
+SEQUENCE_TOKENS, END_ID = 1024, 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +26,32 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(spark, _table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = token_pieces(_table(spark, sf_dir, "documents"), path, SEQUENCE_TOKENS, END_ID)
+    return pack_pieces(spark, pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), SEQUENCE_TOKENS)
+
+
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stream_dedup(spark, _table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_ngram_jaccard": op1_ngram_jaccard}
+    return {name: query for name, query in globals().items() if name.startswith("op")}
+
+
+#: Spark derives the same rows from a stream with state; this says what they are.
+EXACT_DEDUP_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op8_exact_dedup": EXACT_DEDUP_SQL}
