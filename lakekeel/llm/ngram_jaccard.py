@@ -26,28 +26,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekeel.llm.components import connected_components
+from lakekeel.llm.payload import KEY_BITS, PAYLOAD, PAYLOAD_SCHEMA, mix, packed, unpacked
 from lakekeel.llm.shared import power_of_two, stored, text_bytes, whole_texts
 
 #: Text bytes and documents that a task gathers into one block of postings.
 BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 1 << 16
 #: N-grams that one fragment counts at a time; the number of fragments follows from the data.
 FRAGMENT_NGRAMS = 2_000_000
-#: Bits of an n-gram's hash kept beside its fragment's.
-KEY_BITS = 40
 #: Fragments into which overlaps are split for counting.
 OVERLAP_FRAGMENTS = 8
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_PAYLOAD = "part long, block long, payload binary"
 _VERTICES = "vertex long, n long, doc_ids array<long>, prefix array<long>, segments array<array<long>>"
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def ngram_hashes(text: bytes, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word n-grams; fewer words than ``size`` are one n-gram."""
     words = text.lower().split()
@@ -58,7 +50,7 @@ def ngram_hashes(text: bytes, size: int) -> np.ndarray:
     grams = np.zeros(len(words) - width + 1, np.uint64)
     for i in range(width):
         grams = grams * _FACTOR + hashed[i : i + len(grams)]
-    return np.unique(_mix(grams + np.uint64(width)))
+    return np.unique(mix(grams + np.uint64(width)))
 
 
 def need(n, percent: int):
@@ -88,7 +80,7 @@ def _postings(size: int, bits: int):
         start = 0
         for part, end in enumerate(ends.tolist()):
             if end > start:
-                yield {"part": part, "block": block, "payload": _packed(keys[start:end], owner[start:end])}
+                yield {"part": part, "block": block, "payload": packed(keys[start:end], owner[start:end])}
             start = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,40 +94,20 @@ def _postings(size: int, bits: int):
                 held += len(text)
                 if held >= BLOCK_BYTES or len(ids) == BLOCK_DOCS:
                     for row in block_rows(first + block, ids, sets):
-                        yield pa.RecordBatch.from_pylist([row], _payload_schema())
+                        yield pa.RecordBatch.from_pylist([row], PAYLOAD_SCHEMA)
                     block, held, ids, sets = block + 1, 0, [], []
         if ids:
             for row in block_rows(first + block, ids, sets):
-                yield pa.RecordBatch.from_pylist([row], _payload_schema())
+                yield pa.RecordBatch.from_pylist([row], PAYLOAD_SCHEMA)
 
     return run
 
 
-def _payload_schema() -> pa.Schema:
-    return pa.schema([("part", pa.int64()), ("block", pa.int64()), ("payload", pa.binary())])
-
-
-def _packed(keys: np.ndarray, owner: np.ndarray) -> bytes:
-    """Sorted keys as first key and differences, byte plane by byte plane so that high bytes compress away."""
-    steps = np.diff(keys, prepend=keys[:1]) if len(keys) else keys
-    width = 4 if not len(steps) or steps.max() < 1 << 32 else 8
-    planes = steps.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
-    head = np.array([len(keys), width, keys[0] if len(keys) else 0], np.uint64)
-    return head.tobytes() + np.ascontiguousarray(planes).tobytes() + owner.astype("<u2").tobytes()
-
-
-def _unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, width, first = (int(x) for x in np.frombuffer(payload, np.uint64, 3))
-    planes = np.frombuffer(payload, np.uint8, n * width, 24).reshape(width, n)
-    steps = np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.uint64)
-    return np.cumsum(steps) + np.uint64(first), np.frombuffer(payload, "<u2", n, 24 + n * width)
-
-
 def _shared_in_fragment(table: pa.Table) -> pa.Table:
     """Of one fragment, each block's n-grams that occur in two documents or more, with that number; headers pass."""
     if table.column("part")[0].as_py() < 0:
         return table
-    lists = [_unpacked(p.as_py()) for p in table.column("payload")]
+    lists = [unpacked(p.as_py()) for p in table.column("payload")]
     blocks = table.column("block").to_numpy()
     keys = np.concatenate([k for k, _ in lists])
     origin = np.repeat(np.arange(len(lists), dtype=np.int32), [len(k) for k, _ in lists])
@@ -153,10 +125,10 @@ def _shared_in_fragment(table: pa.Table) -> pa.Table:
     rows, start = [], 0
     for i, end in enumerate(ends.tolist()):
         if end > start:
-            body = _packed(keys[start:end], owner[start:end])
+            body = packed(keys[start:end], owner[start:end])
             rows.append({"part": 0, "block": int(blocks[i]), "payload": body + df[start:end].astype("<u4").tobytes()})
         start = end
-    return pa.Table.from_pylist(rows, _payload_schema())
+    return pa.Table.from_pylist(rows, PAYLOAD_SCHEMA)
 
 
 def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
@@ -175,7 +147,7 @@ def _vertices(percent: int, fragments: int, bits: int):
             if part < 0:
                 header = pa.ipc.open_stream(payload).read_all()
                 continue
-            k, o = _unpacked(payload)
+            k, o = unpacked(payload)
             keys.append(k)
             owner.append(o)
             df.append(np.frombuffer(payload, "<u4", len(k), len(payload) - 4 * len(k)))
@@ -237,8 +209,8 @@ def ngram_jaccard(
     bits = power_of_two(text_bytes(docs, text_col) / 6 / FRAGMENT_NGRAMS, 16).bit_length() - 1
     texts = whole_texts(docs, id_col, text_col)
     counted = (
-        texts.mapInArrow(_postings(size, bits), _PAYLOAD)
-        .groupBy("part").applyInArrow(_shared_in_fragment, _PAYLOAD)
+        texts.mapInArrow(_postings(size, bits), PAYLOAD)
+        .groupBy("part").applyInArrow(_shared_in_fragment, PAYLOAD)
         .groupBy("block").applyInArrow(_vertices(percent, OVERLAP_FRAGMENTS, bits), _VERTICES)
     )
     vertices = stored(spark, counted, "ngram-vertices")

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekeel.llm.best_fit import pack_pieces
+from lakekeel.llm.bwt_dedup import bwt_dedup
+from lakekeel.llm.language import language_id
 from lakekeel.llm.ngram_jaccard import ngram_jaccard
+from lakekeel.llm.piece_codec import piece_decode, piece_encode
 from lakekeel.llm.stream_dedup import stream_dedup
 from lakekeel.llm.tokens import token_pieces
 from lakekeel.llm.toxicity import toxicity
@@ -32,6 +35,24 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(spark, pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), SEQUENCE_TOKENS)
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bwt_dedup(spark, _table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = piece_decode(piece_encode(_table(spark, sf_dir, "documents"), path), path)
+    return rows.select(
+        "doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(spark, _table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream_dedup(spark, _table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))

@@ -21,6 +21,11 @@ from lakekeel.session import ROCKSDB, STATE_STORE, workspace
 BROADCAST_DIGESTS = 1_000_000
 #: Bytes of digest records that one micro-batch takes.
 TRIGGER_BYTES = 1 << 30
+#: State goes to the checkpoint as changes, and no file takes room before it has content.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -40,15 +45,18 @@ def drain(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.max(F.struct("doc_id", "locator")).alias("last"), F.count("*").alias("group_size"))
         .select("digest", F.col("last.doc_id").alias("keep_id"), F.col("last.locator").alias("keep_locator"), "group_size")
     )
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKSDB)
+    settings = {STATE_STORE: ROCKSDB} | STATE_SETTINGS
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         stream = state.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
         stream.foreachBatch(
             lambda rows, batch: rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{folder}/changes/batch={batch}")
         ).start().awaitTermination()
     finally:
-        spark.conf.set(STATE_STORE, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     changes = spark.read.schema("digest binary, keep_id long, keep_locator long, group_size long, batch long").parquet(f"{folder}/changes")
     # Counts and the largest row only grow, so the newest change of a digest holds the largest of each.
     return changes.groupBy("digest").agg(
