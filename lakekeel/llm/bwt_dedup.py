@@ -30,11 +30,11 @@ from lakekeel.llm.shared import power_of_two, stored, text_bytes
 #: Length of the strings that count, and of the hashes that anchor them.
 WIDTH, ANCHOR = 50, 24
 #: Text bytes of a block, and of a shard's transform.
-BLOCK_BYTES, SHARD_BYTES = 8 << 20, 2 << 20
+BLOCK_BYTES, SHARD_BYTES = 8 << 20, 1 << 20
 #: Text bytes that are hashed together.
 CHUNK_BYTES = 128 << 10
 #: Anchors that one part compares at a time; the number of parts follows from the data.
-PART_ANCHORS = 1_000_000
+PART_ANCHORS = 250_000
 #: Ends a window; no byte of UTF-8.
 SEPARATOR = 0xFF
 _BASE = 0x9E3779B97F4A7C15
@@ -258,13 +258,13 @@ class Transform:
     def __init__(self, text: np.ndarray):
         n = len(text)
         ahead = np.r_[text, np.full(64, SEPARATOR, np.uint8)].astype(np.uint64)
-        word = np.zeros(n + 56, np.uint64)
+        word = np.zeros(n + 56, np.uint64)  # the next 8 bytes at each place
         for i in range(8):
             word = (word << np.uint64(8)) | ahead[i : i + n + 56]
-        order = np.argsort(word[:n], kind="stable")
+        order = np.argsort(word[:n], kind="stable").astype(np.int32)
         sorted_ = word[order]
         new = np.r_[True, sorted_[1:] != sorted_[:-1]]
-        rank = np.cumsum(new) - 1
+        rank = np.cumsum(new, dtype=np.int32)
         for depth in range(8, WIDTH, 5):  # ties by the next 5 bytes, where there are any
             tied = np.flatnonzero(~(new & np.r_[new[1:], True]))
             if not len(tied):
@@ -274,7 +274,7 @@ class Transform:
             order[tied] = order[tied][inner]
             key = key[inner]
             new[tied] |= np.r_[True, key[1:] != key[:-1]]
-            rank = np.cumsum(new) - 1
+            rank = np.cumsum(new, dtype=np.int32)
         self.row = np.empty(n, np.int32)
         self.row[order] = np.arange(n, dtype=np.int32)
         before = order - 1
@@ -286,16 +286,19 @@ def merge(transforms: list[Transform], rows: list[np.ndarray], depth: int) -> tu
 
     Returns for each given row, shard after shard, its place in the merged
     order and the number of its interval: rows of one interval have the same
-    ``depth`` symbols before them. ``depth`` is even: two symbols a step.
+    ``depth`` symbols before them. ``depth`` is even: two symbols a step. The
+    list of transforms is used up.
     """
     base = np.cumsum([0, *(len(t.row) for t in transforms)])[:-1]
     symbol = np.concatenate([t.symbol for t in transforms])
-    back = np.concatenate([t.back.astype(np.int64) + b for t, b in zip(transforms, base, strict=True)])
+    wide = np.int32 if len(symbol) < 1 << 31 else np.int64
+    back = np.concatenate([t.back.astype(wide) + wide(b) for t, b in zip(transforms, base, strict=True)])
+    transforms.clear()
     pair = (symbol[back].astype(np.uint16) << 8) | symbol
-    back = back[back].astype(np.int32) if len(back) < 1 << 31 else back[back]
-    start = [np.argsort(r, kind="stable") for r in rows]
-    member = np.concatenate([s + b for s, b in zip(start, np.cumsum([0, *map(len, rows)])[:-1], strict=True)])
-    row = np.concatenate([r[s] + b for r, s, b in zip(rows, start, base, strict=True)]).astype(back.dtype)
+    back = back[back]
+    start = [np.argsort(r, kind="stable").astype(np.int32) for r in rows]
+    member = np.concatenate([s + wide(b) for s, b in zip(start, np.cumsum([0, *map(len, rows)])[:-1], strict=True)])
+    row = np.concatenate([r[s] + wide(b) for r, s, b in zip(rows, start, base, strict=True)])
     interval = np.zeros(len(row), np.int32)
     for _ in range(depth // 2):
         before = pair[row]

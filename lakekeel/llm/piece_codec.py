@@ -148,7 +148,9 @@ class _Units(dict):
         return ids
 
 
-model = functools.cache(Model)
+@functools.cache
+def model(path: str) -> Model:
+    return Model(path)
 
 
 def piece_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
