@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lakekeel.llm.components import connected_components
 from lakekeel.llm.payload import KEY_BITS, PAYLOAD, PAYLOAD_SCHEMA, mix, packed, unpacked
-from lakekeel.llm.shared import power_of_two, stored, text_bytes, whole_texts
+from lakekeel.llm.shared import Tables, power_of_two, stored, text_bytes, whole_texts
 
 #: Text bytes and documents that a task gathers into one block of postings.
 BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 1 << 16
@@ -213,7 +213,8 @@ def ngram_jaccard(
         .groupBy("part").applyInArrow(_shared_in_fragment, PAYLOAD)
         .groupBy("block").applyInArrow(_vertices(percent, OVERLAP_FRAGMENTS, bits), _VERTICES)
     )
-    vertices = stored(spark, counted, "ngram-vertices")
+    tables = Tables(spark, "ngram")
+    vertices = tables.keep(counted)
     able = vertices.where("size(prefix) > 0")
     rare = able.select("vertex", "n", F.explode("prefix").alias("gram"))
 
@@ -221,14 +222,11 @@ def ngram_jaccard(
     centres = rare.groupBy("gram").agg(F.min("vertex").alias("centre"))
     votes = rare.join(centres, "gram").where("centre <> vertex").groupBy("vertex", "centre").count()
     stars = votes.groupBy("vertex").agg(F.max_by("centre", F.struct("count", -F.col("centre"))).alias("v"))
-    first = stored(spark, _linked(stars.select(F.col("vertex").alias("u"), "v"), able, percent), "ngram-links")
+    first = tables.keep(_linked(stars.select(F.col("vertex").alias("u"), "v"), able, percent))
     named = connected_components(spark, first)
 
     # Then all pairs under a common rare n-gram that are not connected yet.
-    labelled = stored(
-        spark, rare.join(named, "vertex", "left").withColumn("label", F.coalesce("component", "vertex")).drop("component"),
-        "ngram-rare",
-    )
+    labelled = tables.keep(rare.join(named, "vertex", "left").withColumn("label", F.coalesce("component", "vertex")).drop("component"))
     split = labelled.groupBy("gram").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("gram")
     open_rows = labelled.join(split, "gram")
     left = open_rows.select("gram", F.col("vertex").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"))
@@ -246,7 +244,10 @@ def ngram_jaccard(
     )
     least = named_rows.where("n > 0").groupBy("component").agg(F.min(F.array_min("doc_ids")).alias("component_id"))
     rows = named_rows.join(least, "component", "left").select(F.explode("doc_ids").alias("doc_id"), "n", "component_id")
-    return rows.select(
+    named_docs = rows.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+    result = stored(spark, named_docs, "ngram-components")
+    tables.drop()
+    return result

@@ -66,6 +66,7 @@ class Model:
         self.unknown, self.end = model.unk_id(), model.eos_id()
         self.content = {i: piece.encode() for piece, i in self.ids.items()} | {i: bytes([b]) for b, i in self.bytes.items()}
         self.content |= {i: b"" for i in ids if model.is_control(i)} | {self.unknown: " ⁇ ".encode()}
+        self.content = {b"%d" % i: text for i, text in self.content.items()}
         self.pairs = _Pairs(self.scores)
         self.automaton = ahocorasick.Automaton()
         for piece in self.ids:
@@ -73,7 +74,8 @@ class Model:
         self.automaton.make_automaton()
         # Whether a text can be cut before each run of blanks and around line ends: no piece lies across.
         self.cuts = not any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in self.ids)
-        self.first, self.later = _Units(self, ""), _Units(self, SPACE)
+        self.beside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.first, self.later, self.parts = _Units(self, ""), _Units(self, SPACE), {}
 
     def pieces(self, unit: str) -> list[str]:
         """The pieces of a unit by its prefix table."""
@@ -97,6 +99,20 @@ class Model:
         return True
 
     def text_ids(self, unit: str) -> bytes:
+        """Ids of a unit, cut further between characters that no piece has side by side."""
+        if len(self.parts) >= REMEMBERED_WORDS:
+            self.parts.clear()
+        cuts = [0, *(i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in self.beside), len(unit)]
+        out = []
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            part = unit[start:stop]
+            ids = self.parts.get(part)
+            if ids is None:
+                ids = self.parts[part] = self._part_ids(part)
+            out.append(ids)
+        return b"".join(out)
+
+    def _part_ids(self, unit: str) -> bytes:
         out = []
         for piece in self.pieces(unit):
             number = self.ids.get(piece)
@@ -130,7 +146,7 @@ class Model:
         return ids[1:] + b" %d" % self.end
 
     def decode(self, ids: bytes) -> str:
-        whole = b"".join(map(self.content.__getitem__, map(int, ids.split())))
+        whole = b"".join(map(self.content.__getitem__, ids.split()))
         text = whole.decode("utf-8", "replace")
         return text.removeprefix(SPACE).replace(SPACE, " ")
 

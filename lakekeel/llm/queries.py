@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 
 from lakekeel.llm.best_fit import pack_pieces
 from lakekeel.llm.bwt_dedup import bwt_dedup
+from lakekeel.llm.html_text import html_extraction
+from lakekeel.llm.iblt import iblt_fingerprints
 from lakekeel.llm.language import language_id
 from lakekeel.llm.ngram_jaccard import ngram_jaccard
 from lakekeel.llm.piece_codec import piece_decode, piece_encode
 from lakekeel.llm.stream_dedup import stream_dedup
 from lakekeel.llm.tokens import token_pieces
 from lakekeel.llm.toxicity import toxicity
+from lakekeel.llm.training_order import training_order
 
-#: Tokens of a training sequence, and the id that ends a document.
-SEQUENCE_TOKENS, END_ID = 1024, 2
+#: Tokens of a training sequence, the id that ends a document, and the key of the training order.
+SEQUENCE_TOKENS, END_ID, ORDER_KEY = 1024, 2, 20_240_229
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +38,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(spark, pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), SEQUENCE_TOKENS)
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction(_table(spark, sf_dir, "pages"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bwt_dedup(spark, _table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -53,11 +60,20 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(spark, _table(spark, sf_dir, "documents"))
 
 
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return training_order(spark, _table(spark, sf_dir, "documents"), path, ORDER_KEY, END_ID)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream_dedup(spark, _table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt_fingerprints(spark, _table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 

@@ -15,6 +15,24 @@ def stored(spark: SparkSession, frame: DataFrame, purpose: str, codec: str = "zs
     return spark.read.schema(frame.schema).parquet(path)
 
 
+class Tables:
+    """Intermediate tables of one call, deleted together once its result is stored elsewhere."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.folder, self.made = spark, workspace(spark, purpose), 0
+
+    def keep(self, frame: DataFrame, codec: str = "zstd") -> DataFrame:
+        self.made += 1
+        path = f"{self.folder}/{self.made}"
+        frame.write.option("compression", codec).parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def drop(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator needs as ``doc_id`` and ``text`` (bytes, NULL as empty), whatever else the table has."""
     return docs.select(

@@ -175,12 +175,12 @@ def _fired(voters: list[str]):
 
 
 def score(docs: DataFrame, voters: list[str], weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, score)`` of every row, and the columns named in ``keep`` after them.
+    """``(doc_id, score)`` of every row, and the columns named in ``keep`` (``doc_id`` may be one of them).
 
     The score depends on the text alone. NULL and empty texts, and texts
     without any voter, get the score of a document no voter fires on.
     """
-    names = [*keep]
+    names = [f"keep_{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes = _Votes(voters)
@@ -191,11 +191,15 @@ def score(docs: DataFrame, voters: list[str], weights: np.ndarray, id_col: str =
                 [batch.column("_id"), pa.array(scores), *(batch.column(2 + i) for i in range(len(names)))], names=["doc_id", "score", *names],
             )
 
-    schema = "doc_id long, score double" + "".join(f", `{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
     rows = docs.select(
-        docs[id_col].cast("long").alias("_id"), F.coalesce(docs[text_col].cast("binary"), F.lit(b"")).alias("_text"), *names
+        docs[id_col].cast("long").alias("_id"), F.coalesce(docs[text_col].cast("binary"), F.lit(b"")).alias("_text"),
+        *(docs[c].alias(n) for c, n in zip(keep, names, strict=True)),
+    )
+    schema = "doc_id long, score double" + "".join(f", {n} {rows.schema[n].dataType.simpleString()}" for n in names)
+    scored = rows.mapInArrow(run, schema)
+    return scored.select(
+        *(["doc_id"] if "doc_id" not in keep else []), "score", *(F.col(n).alias(c) for c, n in zip(keep, names, strict=True))
     )
-    return rows.mapInArrow(run, schema)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
