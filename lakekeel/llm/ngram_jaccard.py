@@ -9,9 +9,9 @@ are candidates through the rarest of their shared n-grams. A candidate pair's
 overlap is counted fragment by fragment and summed per pair.
 
 Copies are one vertex per block of documents, and a candidate is first compared
-with one centre of its n-grams, so a group of m near copies costs m
-comparisons. All pairs that share a rare n-gram and are not connected yet
-follow, so no link between unconnected documents is lost.
+with a few centres of its n-grams at a time, so a group of m near copies costs
+some m comparisons a round. All pairs that share a rare n-gram and are not connected
+yet follow, so no link between unconnected documents is lost.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakekeel.llm.components import connected_components
 from lakekeel.llm.payload import KEY_BITS, PAYLOAD, PAYLOAD_SCHEMA, mix, packed, unpacked
@@ -35,6 +36,10 @@ BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 1 << 16
 FRAGMENT_NGRAMS = 2_000_000
 #: Fragments into which overlaps are split for counting.
 OVERLAP_FRAGMENTS = 8
+#: Rounds of centres at most, and pairs for each row at which all pairs are compared at once; neither changes the result.
+CENTRE_ROUNDS, PAIRS_A_ROW = 4, 4
+#: Centres that a document is compared with in a round, after one in the first.
+CENTRES = 4
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _VERTICES = "vertex long, n long, doc_ids array<long>, prefix array<long>, segments array<array<long>>"
@@ -216,28 +221,51 @@ def ngram_jaccard(
     tables = Tables(spark, "ngram")
     vertices = tables.keep(counted)
     able = vertices.where("size(prefix) > 0")
-    rare = able.select("vertex", "n", F.explode("prefix").alias("gram"))
-
-    # One centre for each document: the least vertex under most of its rare n-grams.
-    centres = rare.groupBy("gram").agg(F.min("vertex").alias("centre"))
-    votes = rare.join(centres, "gram").where("centre <> vertex").groupBy("vertex", "centre").count()
-    stars = votes.groupBy("vertex").agg(F.max_by("centre", F.struct("count", -F.col("centre"))).alias("v"))
-    first = tables.keep(_linked(stars.select(F.col("vertex").alias("u"), "v"), able, percent))
-    named = connected_components(spark, first)
-
-    # Then all pairs under a common rare n-gram that are not connected yet.
-    labelled = tables.keep(rare.join(named, "vertex", "left").withColumn("label", F.coalesce("component", "vertex")).drop("component"))
-    split = labelled.groupBy("gram").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("gram")
-    open_rows = labelled.join(split, "gram")
-    left = open_rows.select("gram", F.col("vertex").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"))
-    right = open_rows.select("gram", F.col("vertex").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"))
-    pairs = (
-        left.join(right, "gram")
-        .where(f"lu < lv and 100 * least(nu, nv) >= {percent} * greatest(nu, nv)")
-        .select("u", "v").distinct()
+    # ``after``: how many of a document's shared n-grams come no earlier in the order than this one.
+    shared = able.select("vertex", "n", F.size(F.flatten("segments")).alias("shared"), F.posexplode("prefix").alias("at", "gram"))
+    rare = shared.select("vertex", "n", "gram", (F.col("shared") - F.col("at")).alias("after"))
+
+    # Rounds of centres: each n-gram names documents of its largest component so far, and a document of
+    # another component is compared with those that most of its rare n-grams name.
+    fits = f"100 * least(nu, nv) >= {percent} * greatest(nu, nv) AND {100 + percent} * least(au, av) >= {percent} * (nu + nv)"
+    links, labelled, open_grams = None, tables.keep(rare.withColumns({"label": F.col("vertex"), "of": F.lit(1).cast("long")})), None
+    for turn in range(CENTRE_ROUNDS + 1):
+        centres = CENTRES if turn else 1
+        ends = labelled.groupBy("gram").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("documents"),
+            F.array(*(
+                F.min(F.struct((-F.col("of")).alias("of"), F.xxhash64("vertex", F.lit(turn), F.lit(i)).alias("h"), "vertex", "n", "after", "label"))
+                for i in range(centres)
+            )).alias("centres"),
+        )
+        open_grams = tables.keep(ends.where("low <> high").select("gram", "documents", "centres"))
+        size = open_grams.agg(F.sum(F.col("documents") * F.col("documents")).alias("pairs"), F.sum("documents").alias("rows")).first()
+        if turn == CENTRE_ROUNDS or (size.pairs or 0) <= PAIRS_A_ROW * (size.rows or 0):
+            break
+        votes = labelled.join(open_grams.select("gram", F.explode("centres").alias("c")), "gram").select(
+            F.col("vertex").alias("u"), F.col("n").alias("nu"), F.col("after").alias("au"), "label",
+            F.col("c.vertex").alias("v"), F.col("c.n").alias("nv"), F.col("c.after").alias("av"), F.col("c.label").alias("centre"),
+        ).where("label <> centre").where(fits)
+        most = Window.partitionBy("u").orderBy(F.col("count").desc(), "v")
+        chosen = votes.groupBy("u", "v").count().withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= centres).select("u", "v")
+        found = tables.keep(_linked(chosen, able, percent))
+        links = found if links is None else links.union(found)
+        named = connected_components(spark, links)
+        named = named.join(named.groupBy("component").agg(F.count("*").alias("of")), "component")
+        labelled = tables.keep(rare.join(named, "vertex", "left").select(
+            *rare.columns, F.coalesce("component", "vertex").alias("label"), F.coalesce("of", F.lit(1)).alias("of")
+        ))
+
+    # Then all pairs under a common rare n-gram that are not connected yet. At a similar pair's
+    # first common n-gram both sides have enough n-grams left for the overlap it takes.
+    open_rows = labelled.join(open_grams.select("gram"), "gram")
+    left, right = (
+        open_rows.select("gram", F.col("vertex").alias(x), F.col("n").alias(f"n{x}"), F.col("after").alias(f"a{x}"), F.col("label").alias(f"l{x}"))
+        for x in "uv"
     )
-    late = _linked(pairs, able, percent)
-    final = connected_components(spark, first.union(late))
+    pairs = left.join(right, "gram").where("lu < lv").where(fits).select("u", "v").distinct()
+    late = tables.keep(_linked(pairs, able, percent))
+    final = connected_components(spark, late if links is None else links.union(late))
 
     named_rows = vertices.join(final, "vertex", "left").select(
         F.coalesce("component", "vertex").alias("component"), "n", "doc_ids"
