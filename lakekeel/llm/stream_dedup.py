@@ -8,6 +8,7 @@ cannot merge two texts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,7 +80,8 @@ def stream_dedup(
     """
     folder = folder or workspace(spark, "dedup")
     texts = whole_texts(docs, id_col, text_col).withColumn("digest", digest(F.col("text")))
-    records = texts.select("digest", "doc_id", F.monotonically_increasing_id().alias("locator"))
+    locator = F.xxhash64(F.lit(uuid.uuid4().hex), F.monotonically_increasing_id())  # this call's, and the row in it
+    records = texts.select("digest", "doc_id", locator.alias("locator"))
     records.write.mode("append").parquet(f"{folder}/records")
     seen = spark.read.schema("digest binary, doc_id long, locator long").parquet(f"{folder}/records")
     state = stored(spark, drain(spark, folder), "dedup-state")
@@ -91,7 +93,8 @@ def stream_dedup(
     distinct = hit_texts.groupBy("digest", "text").agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
     clashes = distinct.groupBy("digest").count().where("count > 1").select("digest")
     rows = seen.join(state, "digest").select(
-        "doc_id", "keep_id", "group_size", (F.col("locator") == F.col("keep_locator")).alias("kept"), "digest"
+        "doc_id", "keep_id", "group_size",
+        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("locator") == F.col("keep_locator"))).alias("kept"), "digest",
     )
     if clashes.isEmpty():
         return rows
