@@ -17,21 +17,13 @@ DELETE_OP = "d"
 OP, SEQ, DELETED = "op", "_seq", "_deleted"
 
 
-def _wire_type(dtype: T.DataType) -> str:
-    """How a column travels in JSON: dates as epoch days, instants as text."""
-    if isinstance(dtype, T.DateType):
-        return "bigint"
-    if isinstance(dtype, T.TimestampType):
-        return "string"
-    return dtype.simpleString()
-
-
 def _from_wire(column: Column, dtype: T.DataType) -> Column:
+    """A value from its JSON text, NULL if it isn't of its type: dates travel as epoch days, instants as text."""
     if isinstance(dtype, T.DateType):
-        return as_date(column, T.LongType())
+        return as_date(column.try_cast("bigint"), T.LongType())
     if isinstance(dtype, T.TimestampType):
         return as_instant(column, T.StringType())
-    return column
+    return column if isinstance(dtype, T.StringType) else column.try_cast(dtype)
 
 
 def parse_changes(raw: DataFrame, table_schema: str) -> DataFrame:
@@ -44,7 +36,7 @@ def parse_changes(raw: DataFrame, table_schema: str) -> DataFrame:
     Messages without a value are skipped.
     """
     fields = T.StructType.fromDDL(table_schema).fields
-    row = ", ".join(f"{f.name} {_wire_type(f.dataType)}" for f in fields)
+    row = ", ".join(f"{f.name} string" for f in fields)  # as text, so that a wrong type is seen and not lost
     record = (
         f"op string, before struct<{row}>, after struct<{row}>, "
         "source struct<lsn bigint>, ts_ms bigint"
@@ -73,7 +65,7 @@ def parse_changes(raw: DataFrame, table_schema: str) -> DataFrame:
         .when((F.col(OP) != DELETE_OP) & empty, "no row image")
     )
     for f in fields:
-        if isinstance(f.dataType, (T.DateType, T.TimestampType)):
+        if not isinstance(f.dataType, T.StringType):
             unreadable = F.col(f"_row.{f.name}").isNotNull() & typed[f.name].isNull()
             reason = reason.when(unreadable, f"unreadable {f.name}")
     return messages.select(

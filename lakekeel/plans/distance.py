@@ -65,14 +65,14 @@ def _in_order(joined: DataFrame, commutes: DataFrame) -> DataFrame:
 
 
 def missing_requests(
-    commutes: DataFrame, cache: DataFrame, destination: str, retry_failed: bool = False
+    commutes: DataFrame, cache: DataFrame, destination: str, retry_failed: bool = False, provider: str = DEFAULT_PROVIDER
 ) -> DataFrame:
-    """Address pairs the cache does not hold, each once; a failed look-up counts as held.
+    """Address pairs the cache does not hold from this provider, each once; a failed look-up counts as held.
 
     With ``retry_failed`` only successful ones do. Addresses that are NULL cannot
     be looked up and are left out.
     """
-    known = cache.filter(F.col("destination_address") == destination)
+    known = cache.filter((F.col("destination_address") == destination) & (F.col("provider") == provider))
     if retry_failed:
         known = known.filter(F.col("status") == OK)
     return (

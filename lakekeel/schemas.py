@@ -16,12 +16,6 @@ DISTANCES = """
     origin_address string, destination_address string, distance_m int, duration_s int,
     provider string, status string, error_message string, last_updated timestamp"""
 
-# The same tables inside change envelopes, where dates travel as
-# epoch days and instants as ISO text or epoch microseconds.
-EMPLOYEE_CHANGES = EMPLOYEES.replace(" date,", " bigint,")
-SPORT_CHANGES = SPORTS
-ACTIVITY_CHANGES = ACTIVITIES.replace(" timestamp", " string")
-
 # Headers of the landing files and the table columns they become.
 EMPLOYEE_HEADERS = {
     "ID salarié": "id",

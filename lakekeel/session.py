@@ -22,13 +22,11 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 def configure(spark: SparkSession) -> SparkSession:
     """Pin what results depend on (UTC) and adapt plans at run time.
 
-    On a cluster stream state leaves the heap; a local session keeps the default
-    store, which starts faster.
+    Stream state lies outside the heap, in a local session too.
     """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
-    if not spark.sparkContext.master.startswith("local"):
-        spark.conf.set(STATE_STORE, ROCKSDB)
+    spark.conf.set(STATE_STORE, ROCKSDB)
     return spark
 
 

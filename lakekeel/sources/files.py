@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+#: File streams otherwise skip files a week older than the newest one read.
+EVERY_AGE = "36500d"
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ",", multiline: bool = False) -> DataFrame:
     """Header CSV as text columns, selected by name; empty fields, quoted or not, are NULL.
 
-    No type is inferred: the reader only looks at the header line.
+    No type is inferred: the reader only looks at the header line. A line with
+    too few or too many fields is an error; so is a line break inside quotes,
+    unless the file is read unsplit with ``multiline``.
     """
-    frame = spark.read.options(header=True, sep=sep, escape='"', enforceSchema=False).csv(path)
+    frame = spark.read.options(
+        header=True, sep=sep, escape='"', enforceSchema=False, mode="FAILFAST", columnPruning=False, multiLine=multiline
+    ).csv(path)
     return frame.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
 
 

@@ -12,7 +12,7 @@ from lakekeel.operators.joins import any_null
 from lakekeel.operators.project import conformed
 from lakekeel.operators.upsert import latest_per_key, upsert
 from lakekeel.schemas import column_names
-from lakekeel.sources.files import children, path_exists, remove, size_of
+from lakekeel.sources.files import EVERY_AGE, children, path_exists, remove, size_of
 
 FIRST = "_first_seq"
 _FOLDER = re.compile(r"(base|merge|change)-(\d+)(?:-(.+))?")
@@ -105,6 +105,11 @@ class LakeTable:
         first_by = FIRST if self.insert_only else None
         return latest_per_key(rows, self.keys, self.order_by, self.insert_only, first_by)
 
+    def generation(self, batch: str) -> int:
+        """The number a batch has or will get: it grows over all batches of the table, and a batch sent again keeps it."""
+        sent = next((f[1] for f in self._done() if f[0] == "change" and f[2] == batch), None)
+        return sent or max([f[1] for f in self._folders()], default=0) + 1
+
     def apply(self, changes: DataFrame, batch: str, resolved: bool = False) -> DataFrame:
         """Write one batch of changes and return its rows as written, one per key.
 
@@ -113,7 +118,7 @@ class LakeTable:
         done = self._done()
         compacted = max([f[1] for f in done if f[0] != "change"], default=-1)
         sent = next((f[1] for f in done if f[0] == "change" and f[2] == batch), None)
-        generation = sent or max([f[1] for f in self._folders()], default=0) + 1
+        generation = self.generation(batch)
         rows = self._stored(changes)
         rows = rows if resolved else self._latest(rows)
         if sent and sent <= compacted:
@@ -185,7 +190,7 @@ class LakeTable:
 
     def change_stream(self, max_files: int | None = None) -> DataFrame:
         """The change batches as a stream; rewritten batches come again."""
-        reader = self.spark.readStream.schema(self.stored_schema).format(self.fmt)
+        reader = self.spark.readStream.schema(self.stored_schema).format(self.fmt).option("maxFileAge", EVERY_AGE)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.load(f"{self.path}/change-*")

@@ -8,7 +8,7 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakekeel.sources.files import make_folder
+from lakekeel.sources.files import EVERY_AGE, make_folder
 
 
 class Topic(Protocol):
@@ -55,7 +55,7 @@ class FolderTopic:
 
     def stream(self, spark: SparkSession) -> DataFrame:
         make_folder(spark, self.path)
-        reader = spark.readStream.format("text").option("recursiveFileLookup", True)
+        reader = spark.readStream.format("text").options(recursiveFileLookup=True, maxFileAge=EVERY_AGE)
         return reader.option("maxFilesPerTrigger", self.max_files).load(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:

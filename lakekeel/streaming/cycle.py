@@ -52,6 +52,11 @@ def drain(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "app
     finish(start(stream, handler, checkpoint, mode))
 
 
+def batch_name(batch: DataFrame, name: str, batch_id: int) -> str:
+    """A batch's name, tied to its checkpoint: ids start again with a new one, the stream's own id doesn't."""
+    return f"{name}-{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+
+
 @dataclass
 class IncrementalCycle:
     """Change topics to bronze, silver and gold.
@@ -113,33 +118,33 @@ class IncrementalCycle:
         finish(self.start_wellbeing())
 
     def _start(
-        self, topic: Topic, name: str, apply: Callable[[DataFrame, str, int], None]
+        self, topic: Topic, name: str, apply: Callable[[DataFrame, str], None]
     ) -> StreamingQuery:
         def handler(batch: DataFrame, batch_id: int) -> None:
             batch = batch.persist()
             try:
                 if not batch.isEmpty():
-                    apply(batch, f"{name}-{batch_id}", batch_id)
+                    apply(batch, batch_name(batch, name, batch_id))
             finally:
                 batch.unpersist()
 
         return start(topic.stream(self.lake.spark), handler, f"{self.checkpoints}/{name}")
 
-    def _bronze(self, batch: DataFrame, table: LakeTable, schema: str, name: str, batch_id: int) -> DataFrame:
+    def _bronze(self, batch: DataFrame, table: LakeTable, schema: str, name: str) -> DataFrame:
         """Write the batch's newest row per key to bronze and set unreadable messages aside.
 
         Messages that say nothing about their order count in order of arrival.
         """
-        parsed = parse_changes(batch, schema).withColumn(SEQ, F.coalesce(SEQ, F.lit(batch_id)))
+        parsed = parse_changes(batch, schema).withColumn(SEQ, F.coalesce(SEQ, F.lit(table.generation(name))))
         aside = rejected(parsed).write.mode("overwrite")
         return together(
             partial(table.apply, accepted(parsed, self.apply_deletes), name),
             partial(aside.json, f"{self.lake.root}/quarantine/{name}"),
         )[0]
 
-    def _apply_employees(self, batch: DataFrame, name: str, batch_id: int) -> None:
+    def _apply_employees(self, batch: DataFrame, name: str) -> None:
         lake = self.lake
-        rows = self._bronze(batch, lake.employees, schemas.EMPLOYEES, name, batch_id)
+        rows = self._bronze(batch, lake.employees, schemas.EMPLOYEES, name)
         ways, cache = silver.commute(rows), lake.distances.versioned()
         wanted = distance.missing_requests(ways.filter(~F.col(DELETED)), cache, self.destination)
         stamped = distance.stamped_commute(ways, cache, self.destination, cache_size=lake.distances.size())
@@ -150,30 +155,30 @@ class IncrementalCycle:
         )
         lake.bonus_input.apply(gold.bonus_input(people, ways, self.as_of), name, resolved=True)
 
-    def _apply_answers(self, batch: DataFrame, name: str, batch_id: int) -> None:
+    def _apply_answers(self, batch: DataFrame, name: str) -> None:
         """Answer open requests, then bring commutes and bonus inputs at those addresses up to date."""
         lake = self.lake
-        pair = ["origin_address", "destination_address"]
+        generation, pair = lake.distances.generation(name), ["origin_address", "destination_address"]
         wanted = distance.parse_requests(batch)
         if lake.distances.exists():
-            earlier = lake.distances.versioned().filter(F.col(SEQ) < batch_id)
+            earlier = lake.distances.versioned().filter((F.col(SEQ) < generation) & (F.col("provider") == distance.DEFAULT_PROVIDER))
             wanted = wanted.join(earlier.select(*pair), pair, "left_anti")
         answered = distance.answers(self.provider(wanted))
-        stamped = answered.withColumns({SEQ: F.lit(batch_id), "last_updated": F.current_timestamp()})
+        stamped = answered.withColumns({SEQ: F.lit(generation), "last_updated": F.current_timestamp()})
         cached = lake.distances.apply(stamped, name)
         ways = lake.commute.versioned().drop(*distance.MEASURES, "_cache_seq")
-        ways = distance.stamped_commute(ways, cached, self.destination).filter(F.col("_cache_seq") == batch_id)
+        ways = distance.stamped_commute(ways, cached, self.destination).filter(F.col("_cache_seq") == generation)
         ways = lake.commute.apply(ways, name, resolved=True)
         lake.bonus_input.apply(
             gold.bonus_input(lake.employee.snapshot(), ways, self.as_of), name, resolved=True
         )
 
-    def _apply_sports(self, batch: DataFrame, name: str, batch_id: int) -> None:
-        rows = self._bronze(batch, self.lake.sports, schemas.SPORTS, name, batch_id)
+    def _apply_sports(self, batch: DataFrame, name: str) -> None:
+        rows = self._bronze(batch, self.lake.sports, schemas.SPORTS, name)
         self.lake.sport_profile.apply(silver.sport_profile(rows), name, resolved=True)
 
-    def _apply_activities(self, batch: DataFrame, name: str, batch_id: int) -> None:
-        rows = self._bronze(batch, self.lake.activities, schemas.ACTIVITIES, name, batch_id)
+    def _apply_activities(self, batch: DataFrame, name: str) -> None:
+        rows = self._bronze(batch, self.lake.activities, schemas.ACTIVITIES, name)
         self.lake.activity.apply(silver.activity(rows), name, resolved=True)
 
     def _apply_wellbeing(self, batch: DataFrame, batch_id: int) -> None:
@@ -185,7 +190,7 @@ class IncrementalCycle:
         if batch.isEmpty():
             return
         lake, pair = self.lake, ["_who", "year"]
-        changed = batch.select("activity_id").distinct()
+        name, changed = batch_name(batch, "wellbeing", batch_id), batch.select("activity_id").distinct()
         touched = (
             lake.activity.history()
             .filter(F.col("activity_year") == F.year(reference_day(self.as_of)))
@@ -196,9 +201,9 @@ class IncrementalCycle:
         touched = keyed_wellbeing(touched).drop("employee_id")
         counts = keyed_wellbeing(gold.wellbeing_counts(lake.activity.snapshot(), self.as_of))
         recounted = touched.join(counts, pair, "left").withColumns(
-            {DELETED: F.col("nb_activities_year").isNull(), SEQ: F.lit(batch_id)}
+            {DELETED: F.col("nb_activities_year").isNull(), SEQ: F.lit(lake.wellbeing.generation(name))}
         )
-        lake.wellbeing.apply(recounted, f"wellbeing-{batch_id}", resolved=True)
+        lake.wellbeing.apply(recounted, name, resolved=True)
 
 
 def run_wellbeing_totals(

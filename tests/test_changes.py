@@ -61,3 +61,15 @@ def test_dates_as_epoch_days(spark):
 def test_position_orders_messages_without_their_own(spark):
     raw = spark.createDataFrame([('{"op":"c","after":{"id":1}}', 41)], "value string, position bigint")
     assert accepted(parse_changes(raw, SPORTS)).first()._seq == 41
+
+
+def test_values_of_a_wrong_type_are_rejected(spark):
+    import json
+
+    rows = [{"id": "zz"}, {"id": 1, "salaire_brut": "abc"}, {"id": 2, "date_naissance": "1990-07-06"}, {"id": 3, "nb_conges_payes": 99999999999}, {"id": 4, "salaire_brut": 5}]
+    raw = spark.createDataFrame([(json.dumps({"op": "c", "after": r}),) for r in rows], "value string")
+    parsed = parse_changes(raw, "id int, salaire_brut double, date_naissance date, nb_conges_payes int")
+    assert [r.id for r in accepted(parsed).collect()] == [4]
+    assert sorted(r.reason for r in rejected(parsed).collect()) == [
+        "unreadable date_naissance", "unreadable id", "unreadable nb_conges_payes", "unreadable salaire_brut"
+    ]

@@ -74,3 +74,14 @@ def test_files_by_path(spark, folder):
 def test_csv_columns_are_selected_by_name(spark, folder):
     path = write(folder, "x.csv", "b;a\n1;2\n")
     assert tuple(read_csv(spark, path, ["a", "b"], sep=";").first()) == ("2", "1")
+
+
+def test_csv_lines_of_another_width_are_errors(spark, tmp_path):
+    import pytest
+
+    from lakekeel.sources.files import read_csv
+
+    for name, line in (("long", "1,2,3"), ("short", "1")):
+        (tmp_path / f"{name}.csv").write_text(f"a,b\n{line}\n")
+        with pytest.raises(Exception, match="MALFORMED|FAILED_READ|FAILFAST"):
+            read_csv(spark, f"{tmp_path}/{name}.csv", ["a"]).collect()

@@ -209,3 +209,38 @@ def test_a_failed_batch_is_made_good_by_the_next_run(spark, cycle):
     assert bonus(cycle) == {1: (1000.0, 1.0), 3: (1000.0, 3.0)}
     assert counts(cycle) == {(1, 2024): 3}
     assert cycle.lake.activities.snapshot().count() == 3
+
+
+def test_old_files_of_a_topic_are_read(spark, tmp_path):
+    import os
+    import time
+
+    from lakekeel.sources.topics import FolderTopic
+    from lakekeel.streaming.cycle import drain
+
+    topic, seen = FolderTopic(f"{tmp_path}/topic"), []
+    for name, age in (("a", 0), ("b", 30 * 86_400)):
+        topic.send(spark.createDataFrame([(name,)], "value string"), name)
+        for folder, _, files in os.walk(f"{tmp_path}/topic/{name}"):
+            for file in files:
+                os.utime(f"{folder}/{file}", (time.time() - age,) * 2)
+        drain(topic.stream(spark), lambda rows, _: seen.extend(r.value for r in rows.collect()), f"{tmp_path}/checkpoint")
+    assert seen == ["a", "b"]
+
+
+def test_a_new_checkpoint_does_not_replace_or_drop_batches(spark, tmp_path):
+    import json
+
+    from lakekeel.plans.lake import Lake
+    from lakekeel.sources.topics import FolderTopic
+    from lakekeel.streaming.cycle import IncrementalCycle
+
+    lake = Lake(spark, f"{tmp_path}/lake")
+    for i, compact in ((1, False), (2, True), (9, False)):
+        topic = FolderTopic(f"{tmp_path}/sports{i}")
+        value = json.dumps({"op": "c", "after": {"id": i, "pratique_sport": "Judo"}})
+        topic.send(spark.createDataFrame([(value,)], "value string"))
+        IncrementalCycle(lake, f"{tmp_path}/checkpoint{i}", "there", topic, topic, topic, topic).process_sports()
+        if compact:
+            lake.sports.compact()
+    assert sorted(r.id for r in lake.sports.snapshot().collect()) == [1, 2, 9]
