@@ -259,7 +259,7 @@ def test_toxicity(spark, none):
         pick.shuffle(text)
         rows.append((i, " ".join(text)))
         marks.append((i, int(bad)))
-    rows += [(9000, None), (9001, ""), (None, "vile"), (3, rows[3][1])]
+    rows += [(9000, None), (9001, ""), (None, "vile nastya"), (3, rows[3][1])]
     documents, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([*marks, (None, 1), (77_777, None)], "doc_id long, toxic int")
     found = {r.doc_id: r for r in toxicity(spark, documents, labels).collect()}
     held = [i for i, _ in marks if found[i].held_out]
