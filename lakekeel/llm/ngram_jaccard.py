@@ -37,7 +37,7 @@ FRAGMENT_NGRAMS = 2_000_000
 #: Fragments into which overlaps are split for counting.
 OVERLAP_FRAGMENTS = 8
 #: Rounds of centres at most, and pairs for each row at which all pairs are compared at once; neither changes the result.
-CENTRE_ROUNDS, PAIRS_A_ROW = 4, 4
+CENTRE_ROUNDS, PAIRS_A_ROW = 4, 100
 #: Centres that a document is compared with in a round, after one in the first.
 CENTRES = 4
 
