@@ -16,7 +16,7 @@ def _with_least(edges: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -30,23 +30,28 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
+def _unfinished(edges: DataFrame) -> int:
+    """Vertices that hang on two others or hang on one and hold one; without any, the edges are stars round their least."""
+    ends = edges.select(F.col("u").alias("vertex"), F.lit(1).alias("up")).union(edges.select("v", F.lit(0)))
+    counted = ends.groupBy("vertex").agg(F.sum("up").alias("ups"), F.min("up").alias("low"))
+    return counted.where("ups > 1 OR ups = 1 AND low = 0").agg(F.count("*")).first()[0]
+
+
+def connected_components(spark: SparkSession, edges: DataFrame, tasks: int | None = None) -> DataFrame:
     """``(vertex, component)`` for every vertex of the edges ``(u, v)``; a component is named by its least vertex.
 
     Loops and repeated edges are allowed; without edges the result is empty. The
     number of rounds grows with the logarithm of the largest component, and no
-    round brings a vertex's neighbours together in memory.
+    round brings a vertex's neighbours together in memory. ``tasks`` bounds the
+    files of an edge table where the caller knows that so many are enough.
     """
-    edges = stored(spark, edges.where("u <> v").distinct(), "edges")
-    before = None
-    while True:
-        edges = stored(spark, _small_star(_large_star(edges)), "edges")
-        state = edges.agg(
-            F.count("*").alias("n"), F.sum("v").cast("string").alias("s"), F.bit_xor(F.xxhash64("u", "v")).alias("x")
-        ).first()
-        if state == before:
-            break
-        before = state
+
+    def kept(frame: DataFrame) -> DataFrame:
+        return stored(spark, frame.coalesce(tasks) if tasks else frame, "edges")
+
+    edges = kept(edges.where("u <> v").distinct())
+    while _unfinished(edges):
+        edges = kept(_small_star(_large_star(edges)))
     return edges.select(F.col("u").alias("vertex"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct()
     )

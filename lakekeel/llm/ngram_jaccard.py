@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 
 from lakekeel.llm.components import connected_components
 from lakekeel.llm.payload import KEY_BITS, PAYLOAD, PAYLOAD_SCHEMA, mix, packed, unpacked
-from lakekeel.llm.shared import Tables, power_of_two, stored, text_bytes, whole_texts
+from lakekeel.llm.shared import Tables, enough_tasks, power_of_two, stored, text_bytes, whole_texts
 
 #: Text bytes and documents that a task gathers into one block of postings.
 BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 1 << 16
@@ -187,15 +187,21 @@ def _vertices(percent: int, fragments: int, bits: int):
 
 
 def _linked(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (u, v), those similar enough: overlaps counted in each fragment, then summed per pair."""
+    """Labels (lu, lv) of the pairs (u, v) that are similar enough: overlaps counted in each fragment, then summed per pair."""
     cells = vertices.select("vertex", "n", F.posexplode("segments").alias("fragment", "grams")).where("size(grams) > 0")
     left = pairs.join(cells.withColumnRenamed("vertex", "u"), "u")
     right = cells.select(F.col("vertex").alias("v"), F.col("n").alias("nv"), "fragment", F.col("grams").alias("other"))
     part = left.join(right, ["v", "fragment"]).select(
-        "u", "v", "n", "nv", F.size(F.array_intersect("grams", "other")).alias("overlap")
+        "u", "v", "lu", "lv", "n", "nv", F.size(F.array_intersect("grams", "other")).alias("overlap")
     )
-    total = part.groupBy("u", "v", "n", "nv").agg(F.sum("overlap").alias("overlap"))
-    return total.where(F.expr(f"100 * overlap >= {percent} * (n + nv - overlap)")).select("u", "v")
+    total = part.groupBy("u", "v", "lu", "lv", "n", "nv").agg(F.sum("overlap").alias("overlap"))
+    return total.where(F.expr(f"100 * overlap >= {percent} * (n + nv - overlap)")).select("lu", "lv")
+
+
+def _merged(spark: SparkSession, names: DataFrame, links: DataFrame, tasks: int) -> DataFrame:
+    """``(vertex, label)`` after links between labels: a linked label gives way to the least it reaches."""
+    parts = connected_components(spark, links.toDF("u", "v"), tasks).withColumnRenamed("vertex", "label")
+    return names.join(parts, "label", "left").select("vertex", F.coalesce("component", "label").alias("label"))
 
 
 def ngram_jaccard(
@@ -221,14 +227,20 @@ def ngram_jaccard(
     tables = Tables(spark, "ngram")
     vertices = tables.keep(counted)
     able = vertices.where("size(prefix) > 0")
-    # ``after``: how many of a document's shared n-grams come no earlier in the order than this one.
-    shared = able.select("vertex", "n", F.size(F.flatten("segments")).alias("shared"), F.posexplode("prefix").alias("at", "gram"))
-    rare = shared.select("vertex", "n", "gram", (F.col("shared") - F.col("at")).alias("after"))
+    heads = tables.keep(able.select("vertex", "n", F.size(F.flatten("segments")).alias("shared"), "prefix"))
+    tasks = enough_tasks(spark, heads.agg(F.sum(F.size("prefix"))).first()[0] or 0)
+
+    # A round compares labels, not documents: ``label`` is the component so far, ``of`` its number of vertices, and
+    # ``after`` how many of a document's shared n-grams come no earlier in the order than this one.
+    def spread(named: DataFrame) -> DataFrame:
+        grams = named.select("vertex", "n", "label", "of", "shared", F.posexplode("prefix").alias("at", "gram"))
+        return tables.keep(grams.withColumn("after", F.col("shared") - F.col("at")).drop("shared", "at").coalesce(tasks))
 
     # Rounds of centres: each n-gram names documents of its largest component so far, and a document of
     # another component is compared with those that most of its rare n-grams name.
     fits = f"100 * least(nu, nv) >= {percent} * greatest(nu, nv) AND {100 + percent} * least(au, av) >= {percent} * (nu + nv)"
-    links, labelled, open_grams = None, tables.keep(rare.withColumns({"label": F.col("vertex"), "of": F.lit(1).cast("long")})), None
+    names = heads.select("vertex", F.col("vertex").alias("label"))
+    labelled = spread(heads.withColumns({"label": F.col("vertex"), "of": F.lit(1).cast("long")}))
     for turn in range(CENTRE_ROUNDS + 1):
         centres = CENTRES if turn else 1
         ends = labelled.groupBy("gram").agg(
@@ -238,23 +250,22 @@ def ngram_jaccard(
                 for i in range(centres)
             )).alias("centres"),
         )
-        open_grams = tables.keep(ends.where("low <> high").select("gram", "documents", "centres"))
+        open_grams = tables.keep(ends.where("low <> high").select("gram", "documents", "centres").coalesce(tasks))
         size = open_grams.agg(F.sum(F.col("documents") * F.col("documents")).alias("pairs"), F.sum("documents").alias("rows")).first()
         if turn == CENTRE_ROUNDS or (size.pairs or 0) <= PAIRS_A_ROW * (size.rows or 0):
             break
         votes = labelled.join(open_grams.select("gram", F.explode("centres").alias("c")), "gram").select(
-            F.col("vertex").alias("u"), F.col("n").alias("nu"), F.col("after").alias("au"), "label",
-            F.col("c.vertex").alias("v"), F.col("c.n").alias("nv"), F.col("c.after").alias("av"), F.col("c.label").alias("centre"),
-        ).where("label <> centre").where(fits)
+            F.col("vertex").alias("u"), F.col("n").alias("nu"), F.col("after").alias("au"), F.col("label").alias("lu"),
+            F.col("c.vertex").alias("v"), F.col("c.n").alias("nv"), F.col("c.after").alias("av"), F.col("c.label").alias("lv"),
+        ).where("lu <> lv").where(fits)
+        # Dealt once by u for counting, ranking and the join that follows; a document's votes are bounded by its n-grams.
         most = Window.partitionBy("u").orderBy(F.col("count").desc(), "v")
-        chosen = votes.groupBy("u", "v").count().withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= centres).select("u", "v")
-        found = tables.keep(_linked(chosen, able, percent))
-        links = found if links is None else links.union(found)
-        named = connected_components(spark, links)
-        named = named.join(named.groupBy("component").agg(F.count("*").alias("of")), "component")
-        labelled = tables.keep(rare.join(named, "vertex", "left").select(
-            *rare.columns, F.coalesce("component", "vertex").alias("label"), F.coalesce("of", F.lit(1)).alias("of")
-        ))
+        counted = votes.select("u", "v", "lu", "lv").repartition("u").groupBy("u", "v", "lu", "lv").count()
+        chosen = counted.withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= centres).drop("count", "nth")
+        found = tables.keep(_linked(chosen, able, percent).distinct().coalesce(tasks))
+        names = tables.keep(_merged(spark, names, found, tasks).coalesce(tasks))
+        sized = names.join(names.groupBy("label").agg(F.count("*").alias("of")), "label")
+        labelled = spread(heads.join(sized, "vertex"))
 
     # Then all pairs under a common rare n-gram that are not connected yet. At a similar pair's
     # first common n-gram both sides have enough n-grams left for the overlap it takes.
@@ -263,12 +274,12 @@ def ngram_jaccard(
         open_rows.select("gram", F.col("vertex").alias(x), F.col("n").alias(f"n{x}"), F.col("after").alias(f"a{x}"), F.col("label").alias(f"l{x}"))
         for x in "uv"
     )
-    pairs = left.join(right, "gram").where("lu < lv").where(fits).select("u", "v").distinct()
-    late = tables.keep(_linked(pairs, able, percent))
-    final = connected_components(spark, late if links is None else links.union(late))
+    pairs = left.join(right, "gram").where("lu < lv").where(fits).select("u", "v", "lu", "lv").distinct()
+    late = tables.keep(_linked(pairs, able, percent).distinct().coalesce(tasks))
+    final = _merged(spark, names, late, tasks)
 
     named_rows = vertices.join(final, "vertex", "left").select(
-        F.coalesce("component", "vertex").alias("component"), "n", "doc_ids"
+        F.coalesce("label", "vertex").alias("component"), "n", "doc_ids"
     )
     least = named_rows.where("n > 0").groupBy("component").agg(F.min(F.array_min("doc_ids")).alias("component_id"))
     rows = named_rows.join(least, "component", "left").select(F.explode("doc_ids").alias("doc_id"), "n", "component_id")

@@ -51,3 +51,8 @@ def power_of_two(wanted: float, least: int = 1) -> int:
     while size < wanted:
         size *= 2
     return size
+
+
+def enough_tasks(spark: SparkSession, rows: int, rows_a_task: int = 250_000) -> int:
+    """Tasks for writing so many rows: as many as the cluster has cores, and more where the rows need them."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_a_task))
