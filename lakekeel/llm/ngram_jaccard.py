@@ -36,13 +36,15 @@ BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 1 << 16
 FRAGMENT_NGRAMS = 2_000_000
 #: Fragments into which overlaps are split for counting.
 OVERLAP_FRAGMENTS = 8
+#: Ranges of the n-gram order for which a document keeps how many of its n-grams lie there.
+RANGES = 64
 #: Rounds of centres at most, and pairs for each row at which all pairs are compared at once; neither changes the result.
 CENTRE_ROUNDS, PAIRS_A_ROW = 4, 100
 #: Centres that a document is compared with in a round, after one in the first.
 CENTRES = 4
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_VERTICES = "vertex long, n long, doc_ids array<long>, prefix array<long>, segments array<array<long>>"
+_VERTICES = "vertex long, n long, doc_ids array<long>, prefix array<long>, held array<int>, segments array<array<long>>"
 
 
 def ngram_hashes(text: bytes, size: int) -> np.ndarray:
@@ -176,16 +178,28 @@ def _vertices(percent: int, fragments: int, bits: int):
         cell = owner * fragments + (keys >> np.uint64(shift)).astype(np.int64)
         inner = _lists(keys.astype(np.int64), np.bincount(cell, minlength=size * fragments))
         outer = np.arange(size + 1, dtype=np.int32) * fragments
+        ranges = owner * RANGES + (keys >> np.uint64(bits + KEY_BITS - (RANGES.bit_length() - 1))).astype(np.int64)
+        held = _lists(np.bincount(ranges, minlength=size * RANGES).astype(np.int32), np.full(size, RANGES))
         order = np.argsort(vertex, kind="stable")
         ids = _lists(header.column("doc_id").combine_chunks().take(pa.array(order)), np.bincount(vertex, minlength=size))
         return pa.table({
-            "vertex": (block << 20) + np.arange(size), "n": n, "doc_ids": ids, "prefix": prefix,
+            "vertex": (block << 20) + np.arange(size), "n": n, "doc_ids": ids, "prefix": prefix, "held": held,
             "segments": pa.ListArray.from_arrays(outer, inner),
         })
 
     return run
 
 
+def _possible(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """Pairs that can be similar enough: a range of the order has no more n-grams in common than either side holds there."""
+    sides = (heads.select(F.col("vertex").alias(x), F.col("n").alias(f"n{x}"), F.col("held").alias(f"h{x}")) for x in "uv")
+    for side in sides:
+        pairs = pairs.join(side, side.columns[0])
+    most = F.expr("aggregate(zip_with(hu, hv, (a, b) -> least(a, b)), 0, (total, x) -> total + x)")
+    bounded = pairs.withColumn("most", most).where(f"{100 + percent} * most >= {percent} * (nu + nv)")
+    return bounded.select("u", "v", "lu", "lv")
+
+
 def _linked(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
     """Labels (lu, lv) of the pairs (u, v) that are similar enough: overlaps counted in each fragment, then summed per pair."""
     cells = vertices.select("vertex", "n", F.posexplode("segments").alias("fragment", "grams")).where("size(grams) > 0")
@@ -227,7 +241,7 @@ def ngram_jaccard(
     tables = Tables(spark, "ngram")
     vertices = tables.keep(counted)
     able = vertices.where("size(prefix) > 0")
-    heads = tables.keep(able.select("vertex", "n", F.size(F.flatten("segments")).alias("shared"), "prefix"))
+    heads = tables.keep(able.select("vertex", "n", F.size(F.flatten("segments")).alias("shared"), "prefix", "held"))
     tasks = enough_tasks(spark, heads.agg(F.sum(F.size("prefix"))).first()[0] or 0)
 
     # A round compares labels, not documents: ``label`` is the component so far, ``of`` its number of vertices, and
@@ -262,7 +276,7 @@ def ngram_jaccard(
         most = Window.partitionBy("u").orderBy(F.col("count").desc(), "v")
         counted = votes.select("u", "v", "lu", "lv").repartition("u").groupBy("u", "v", "lu", "lv").count()
         chosen = counted.withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= centres).drop("count", "nth")
-        found = tables.keep(_linked(chosen, able, percent).distinct().coalesce(tasks))
+        found = tables.keep(_linked(_possible(chosen, heads, percent), able, percent).distinct().coalesce(tasks))
         names = tables.keep(_merged(spark, names, found, tasks).coalesce(tasks))
         sized = names.join(names.groupBy("label").agg(F.count("*").alias("of")), "label")
         labelled = spread(heads.join(sized, "vertex"))
@@ -275,7 +289,7 @@ def ngram_jaccard(
         for x in "uv"
     )
     pairs = left.join(right, "gram").where("lu < lv").where(fits).select("u", "v", "lu", "lv").distinct()
-    late = tables.keep(_linked(pairs, able, percent).distinct().coalesce(tasks))
+    late = tables.keep(_linked(_possible(pairs, heads, percent), able, percent).distinct().coalesce(tasks))
     final = _merged(spark, names, late, tasks)
 
     named_rows = vertices.join(final, "vertex", "left").select(
