@@ -21,6 +21,10 @@ from lakekeel.sources.topics import FolderTopic, KafkaTopic, Topic
 from lakekeel.streaming.cycle import IncrementalCycle, run_notifications
 
 
+#: Key columns whose ranges split a database scan.
+SPLIT_ON = {"rh_employees": "id", "sport_activities": "id", "strava_activities": "activity_id"}
+
+
 def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="lakekeel")
     parser.add_argument("job", choices=["land", "full-load", "cycle", "publish", "notify"])
@@ -30,6 +34,7 @@ def _arguments() -> argparse.ArgumentParser:
     parser.add_argument("--tables", help="folder with one lake folder per operational table")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
+    parser.add_argument("--partitions", type=int, default=8, help="parallel key ranges of a table scan over JDBC")
     parser.add_argument("--topics", help="folder with one folder per topic")
     parser.add_argument("--bootstrap", help="Kafka servers")
     parser.add_argument("--topic-prefix", default="", help="before the table name in change topic names")
@@ -39,6 +44,7 @@ def _arguments() -> argparse.ArgumentParser:
     parser.add_argument("--activity-json")
     parser.add_argument("--database", default="gold")
     parser.add_argument("--apply-deletes", action="store_true")
+    parser.add_argument("--retry-failed", action="store_true", help="ask again for distances whose look-up failed")
     parser.add_argument("--strict", action="store_true", help="stop a load when a check fails")
     return parser
 
@@ -55,7 +61,7 @@ class _Job:
 
     def _table(self, name: str) -> DataFrame:
         if self.options.jdbc_url:
-            return self._database().read(self.spark, name)
+            return self._database().read(self.spark, name, SPLIT_ON.get(name), partitions=self.options.partitions)
         return read_lake(self.spark, f"{self.options.tables}/{name}")
 
     def _append(self, rows: DataFrame, name: str) -> None:
@@ -89,7 +95,7 @@ class _Job:
     def full_load(self) -> None:
         o = self.options
         requests = self._topic("distance_requests") if o.bootstrap or o.topics else None
-        failed = full_load(self.lake, self._table, o.destination, o.as_of, o.strict, requests)
+        failed = full_load(self.lake, self._table, o.destination, o.as_of, o.strict, requests, o.retry_failed)
         for check in failed:
             print(f"failed check: {check}")
 
@@ -102,19 +108,18 @@ class _Job:
             activities=self._changes("strava_activities"),
             requests=self._topic("distance_requests"),
             provider=self._answer if o.answers else None,
-            as_of=o.as_of, apply_deletes=o.apply_deletes,
+            as_of=o.as_of, apply_deletes=o.apply_deletes, retry_failed=o.retry_failed,
         ).run()
 
     def publish(self) -> None:
         location, database = f"{self.options.root}/gold", self.options.database
         serving.publish_bonus(self.lake.bonus_input.snapshot(), location, database)
-        serving.publish_wellbeing(self.lake.wellbeing.snapshot(), location, database)
+        serving.publish_wellbeing(self.lake.wellbeing_of(self.options.as_of), location, database)
 
     def notify(self) -> None:
         run_notifications(
             self._changes("strava_activities", "latest"), self._topic("notifications"),
             self.lake.employees.snapshot, self.spark, f"{self.options.root}/checkpoints/notifications",
-            self.lake.employees.size,
         )
 
 

@@ -1,14 +1,11 @@
-"""Joins against dimensions: broadcast by checked size, otherwise safe against hot keys."""
+"""Joins against dimensions: broadcast by measured size, otherwise shuffled and split where skewed."""
 
 from __future__ import annotations
 
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-
-# A key is hot when it alone holds more than 1/HOT_SHARE of the fact rows, so
-# there are fewer than HOT_SHARE hot keys however large the data is.
-HOT_SHARE = 20_000
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -19,61 +16,51 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
-def fits_broadcast(df: DataFrame, size: int | None = None) -> bool:
-    """Whether the size in bytes is within the broadcast threshold.
+def _row_bytes(df: DataFrame) -> Column:
+    """Upper bound of a row's size in a join: 16 bytes and 16 a column, texts by length, nested values by their JSON."""
+    size = F.lit(16 + 16 * len(df.columns)).cast("bigint")
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            size += F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            size += F.coalesce(F.octet_length(F.to_json(F.struct(value))) * 16, F.lit(0))
+    return size
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate. It counts files as they are compressed, so it can be far too small."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    return df.agg(F.sum(_row_bytes(df))).first()[0] or 0
 
-    Where the caller knows no size the optimizer's estimate counts. It ignores
-    filters and multiplies join sides, so it errs towards 'too large'.
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether all rows, measured, are within the broadcast threshold.
+
+    Rows are read for it only if the optimizer's estimate is within it already.
     """
-    if size is None:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= broadcast_limit(df)
+    limit = broadcast_limit(df)
+    return estimated_bytes(df) <= limit and measured_bytes(df) <= limit
 
 
 def any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
 
 
-def hot_keys(facts: DataFrame, keys: list[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``1/share`` of the rows; fewer than ``share`` rows.
+def lookup_join(facts: DataFrame, dimension: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of facts with a dimension that is unique on ``keys``; facts are read once.
 
-    The count is combined on the map side, so the hot keys themselves do not skew it.
-    """
-    counts = facts.filter(~any_null(keys)).groupBy(*keys).agg(F.count("*").alias("_rows"))
-    floor = counts.agg((F.sum("_rows") / F.lit(float(share))).alias("_floor")).scalar()
-    return counts.filter(F.col("_rows") > floor).select(*keys)
-
-
-def lookup_join(
-    facts: DataFrame,
-    dimension: DataFrame,
-    keys: list[str],
-    share: int = HOT_SHARE,
-    dimension_size: int | None = None,
-) -> DataFrame:
-    """Left join of facts with a dimension that is unique on ``keys``.
-
-    A dimension of broadcastable size is broadcast. Otherwise the facts split in
-    two exact parts: hot and NULL keys meet a broadcast of the few dimension rows
-    they need (at most ``share``) and are never shuffled; the rest is an ordinary
-    shuffled join whose largest key is bounded.
+    A dimension that measures small enough is broadcast. Another one is shuffled,
+    and adaptive execution splits the fact rows of a hot or NULL key over several
+    tasks. Where the estimate is small but the rows are not, the hint keeps the
+    planner from trusting the estimate.
     """
-    if fits_broadcast(dimension, dimension_size):
-        return facts.join(F.broadcast(dimension), keys, "left")
-    hot = hot_keys(facts, keys, share)
-    needed = dimension.join(F.broadcast(hot), keys, "left_semi")
-    hot_dimension = hot.join(needed, keys, "left").withColumn("_hot", F.lit(True))
-    kept = (
-        facts.join(F.broadcast(hot_dimension), keys, "left")
-        .filter(F.col("_hot") | any_null(keys))
-        .drop("_hot")
-    )
-    shuffled = (
-        facts.filter(~any_null(keys))
-        .join(F.broadcast(hot), keys, "left_anti")
-        .join(dimension, keys, "left")
-    )
-    return kept.unionByName(shuffled)
+    if estimated_bytes(dimension) > broadcast_limit(dimension):
+        return facts.join(dimension, keys, "left")
+    return facts.join(F.broadcast(dimension) if fits_broadcast(dimension) else dimension.hint("merge"), keys, "left")
 
 
 def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -41,7 +41,7 @@ activities AS (
     '(GMT+01:00) Europe/Paris' AS timezone, CAST(3600 AS INTEGER) AS utc_offset_s,
     event_id % 3 = 0 AS commute, true AS manual, false AS private, false AS flagged,
     CAST(floor(floor(value * 1000) / 25) AS INTEGER) AS calories, props AS raw_payload, ts AS created_at
-  FROM events WHERE event_type = 'purchase'
+  FROM events
 ),
 measured AS (
   SELECT DISTINCT address AS origin_address, '1 Place du Marché, 34000 Montpellier' AS destination_address,
@@ -332,17 +332,17 @@ _BATCH_QUERIES = {
           CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
           CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
           CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '2030-01-01' ELSE o_orderdate END AS created_at
-        FROM orders WHERE o_orderkey % 5 <> 0 OR o_orderkey % 3 = 0""",
+        FROM orders""",
     "upsert_set_once": """SELECT o_orderkey,
           CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
           CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-          CASE WHEN o_orderkey % 5 = 0 THEN TIMESTAMP '2030-01-01' ELSE o_orderdate END AS created_at
-        FROM orders WHERE o_orderkey % 5 <> 0 OR o_orderkey % 3 = 0""",
+          CASE WHEN o_orderkey % 15 = 0 THEN TIMESTAMP '2030-01-01' ELSE o_orderdate END AS created_at
+        FROM orders""",
     "keyed_table": """SELECT o_orderkey,
           CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
           CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-          CASE WHEN o_orderkey % 5 = 0 THEN TIMESTAMP '2030-01-01' ELSE o_orderdate END AS created_at
-        FROM orders WHERE (o_orderkey % 5 <> 0 OR o_orderkey % 3 = 0) AND o_orderkey % 21 <> 0""",
+          CASE WHEN o_orderkey % 15 = 0 THEN TIMESTAMP '2030-01-01' ELSE o_orderdate END AS created_at
+        FROM orders WHERE o_orderkey % 21 <> 0""",
     "stream_cdc_upsert": """SELECT n.* EXCLUDE (seq) REPLACE (o.created_at AS created_at) FROM activities_now n
         JOIN (SELECT * FROM activity_log QUALIFY row_number() OVER (PARTITION BY activity_id ORDER BY seq) = 1) o
         USING (activity_id)""",

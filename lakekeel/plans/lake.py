@@ -9,6 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakekeel import schemas
+from lakekeel.functions.temporal import reference_day
 from lakekeel.operators.quality import validate
 from lakekeel.plans import distance, gold, silver
 from lakekeel.session import together
@@ -42,11 +43,17 @@ class Lake:
             "silver/activity", schemas.SILVER_ACTIVITY, ["activity_id"], partition_by=("activity_year",)
         )
         self.bonus_input = table("gold/prime_sportive_input", schemas.GOLD_BONUS, ["employee_id"], **versions)
-        # A missing employee id is a group of its own, so the key replaces NULL.
+        # A missing employee id is a group of its own, so an empty key replaces NULL. All years are kept.
         self.wellbeing = table(
-            "gold/wellbeing_days_eligibility", schemas.GOLD_WELLBEING + ", _who int", ["_who", "year"]
+            "gold/wellbeing_days_eligibility", schemas.GOLD_WELLBEING + ", _who string", ["_who", "year"]
         )
 
+        self.open_requests = table("open_requests", schemas.REQUESTS, ["origin_address", "destination_address"])
+
+    def wellbeing_of(self, as_of: dt.date | str | None = None) -> DataFrame:
+        """The counts of the year of ``as_of``."""
+        return self.wellbeing.snapshot().filter(F.col("year") == F.year(reference_day(as_of)))
+
     @property
     def tables(self) -> list[LakeTable]:
         return [t for t in vars(self).values() if isinstance(t, LakeTable)]
@@ -68,7 +75,7 @@ def bronze_snapshot(
 
 
 def keyed_wellbeing(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("_who", F.coalesce("employee_id", F.lit(-1)))
+    return counts.withColumn("_who", F.coalesce(F.col("employee_id").cast("string"), F.lit("")))
 
 
 def full_load(
@@ -78,13 +85,15 @@ def full_load(
     as_of: dt.date | str | None = None,
     strict: bool = False,
     requests: Topic | None = None,
+    retry_failed: bool = False,
 ) -> list[str]:
     """Rebuild every table from operational snapshots; returns the names of failed checks.
 
     ``read_table`` gives the operational tables and ``distance_cache`` by name.
     Each layer reads what the previous one wrote. With ``strict`` a failed check
     stops the load before silver is written. Address pairs the cache does not hold
-    go to ``requests``.
+    go to ``requests``, with ``retry_failed`` those it holds a failure of too. Of
+    rows with one key, as after landing files twice, one stays.
     """
     bronze = {
         "rh_employees": lake.employees, "sport_activities": lake.sports,
@@ -111,15 +120,16 @@ def full_load(
         partial(lake.activity.replace, workouts),
     ]
     if requests:
-        wanted = distance.missing_requests(ways, known, destination)
+        wanted = distance.missing_requests(ways, known, destination, retry_failed)
         writes.append(partial(requests.send, distance.request_messages(wanted), "full-load"))
     together(*writes)
 
     bonuses = gold.bonus_input(lake.employee.snapshot(), lake.commute.snapshot(), as_of)
-    counts = keyed_wellbeing(gold.wellbeing_counts(lake.activity.snapshot(), as_of))
+    counts = keyed_wellbeing(gold.wellbeing_counts(lake.activity.snapshot(), all_years=True))
     together(partial(lake.bonus_input.replace, bonuses), partial(lake.wellbeing.replace, counts))
     return failed
 
 
 def _refresh(table: LakeTable, read_table: Callable[[str], DataFrame], name: str) -> None:
-    table.replace(read_table(name))
+    rows = read_table(name)
+    table.replace(rows, resolved=not table.repeats(rows))

@@ -360,11 +360,11 @@ def cdc_latest(spark, sf):
 
 
 def _order_versions(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Orders as a target without every 5th, and a source with every 3rd order changed."""
+    """Orders as a target without every 15th, and a source with every 3rd order changed: each order is in one or both."""
     orders = s.table(spark, sf, "orders").select(
         "o_orderkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").alias("created_at")
     )
-    target = orders.filter("o_orderkey % 5 <> 0")
+    target = orders.filter("o_orderkey % 15 <> 0")
     source = orders.filter("o_orderkey % 3 = 0").withColumns({
         "o_orderstatus": F.lit("X"),
         "o_totalprice": F.col("o_totalprice") + 1,
@@ -448,7 +448,7 @@ def stream_cycle(spark, sf):
     cycle = _cycle(spark, sf, "distances", *_MESSAGES)
     cycle.run()
     lake = cycle.lake
-    counts = lake.wellbeing.snapshot().drop("year")
+    counts = lake.wellbeing_of(s.AS_OF).drop("year")
     return (
         lake.bonus_input.snapshot()
         .join(lake.sport_profile.snapshot(), "employee_id")
@@ -461,7 +461,7 @@ def stream_wellbeing_recompute(spark, sf):
     cycle = _cycle(spark, sf, "activities")
     cycle.process_activities()
     cycle.process_wellbeing()
-    return cycle.lake.wellbeing.snapshot()
+    return cycle.lake.wellbeing_of(s.AS_OF)
 
 
 @query
@@ -472,8 +472,9 @@ def stream_wellbeing_complete(spark, sf):
     for _ in range(2):
         files.append_lake(rows, f"{root}/activity")
     arriving = spark.readStream.schema(schemas.SILVER_ACTIVITY).parquet(f"{root}/activity")
-    run_wellbeing_totals(arriving, f"{root}/wellbeing", f"{root}/checkpoint", s.AS_OF)
-    return files.read_lake(spark, f"{root}/wellbeing")
+    totals = LakeTable(spark, f"{root}/wellbeing", schemas.GOLD_WELLBEING, ["employee_id", "year"])
+    run_wellbeing_totals(arriving, totals, f"{root}/checkpoint", s.AS_OF)
+    return totals.snapshot()
 
 
 @query
@@ -520,7 +521,7 @@ def full_load_gold(spark, sf):
         "strava_activities": s.activities, "distance_cache": s.distances,
     }
     full_load(lake, lambda name: sources[name](spark, sf), s.DESTINATION, s.AS_OF)
-    counts = gold.wellbeing_days(lake.wellbeing.snapshot()).select(
+    counts = gold.wellbeing_days(lake.wellbeing_of(s.AS_OF)).select(
         "employee_id", "nb_activities_year", "extra_days"
     )
     return gold.bonus(lake.bonus_input.snapshot()).join(counts, "employee_id", "left")

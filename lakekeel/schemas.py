@@ -16,6 +16,8 @@ DISTANCES = """
     origin_address string, destination_address string, distance_m int, duration_s int,
     provider string, status string, error_message string, last_updated timestamp"""
 
+REQUESTS = "origin_address string, destination_address string"
+
 # Headers of the landing files and the table columns they become.
 EMPLOYEE_HEADERS = {
     "ID salarié": "id",

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
@@ -47,6 +48,9 @@ def workspace(spark: SparkSession, purpose: str) -> str:
 
 
 def together(*actions: Callable[[], object]) -> list:
-    """Run independent actions side by side, so that small jobs do not wait behind large ones."""
+    """Run independent actions side by side, so that small jobs do not wait behind large ones.
+
+    They run in the caller's job group: stopping a stream stops them too.
+    """
     with ThreadPoolExecutor(max_workers=len(actions)) as pool:
-        return [running.result() for running in [pool.submit(action) for action in actions]]
+        return [running.result() for running in [pool.submit(inheritable_thread_target(action)) for action in actions]]

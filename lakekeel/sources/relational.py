@@ -25,12 +25,14 @@ class Database:
     ) -> DataFrame:
         """Snapshot of a table; with ``split_on`` the scan runs as parallel key ranges.
 
-        Filters and the column selection of the caller reach the database.
+        Without ``bounds`` the table is asked for its least and largest key. Rows
+        outside the bounds or without a key are read all the same. Filters and the
+        column selection of the caller reach the database.
         """
         options = {"url": self.url, "dbtable": table, "fetchsize": str(self.fetch_size), **self.properties}
-        if split_on:
-            if not bounds:
-                raise ValueError("a split scan needs the key bounds")
+        if split_on and partitions > 1:
+            bounds = bounds or self.bounds(spark, table, split_on)
+        if split_on and partitions > 1 and bounds:
             options |= {
                 "partitionColumn": split_on,
                 "lowerBound": str(bounds[0]),
@@ -39,6 +41,12 @@ class Database:
             }
         return spark.read.format("jdbc").options(**options).load()
 
+    def bounds(self, spark: SparkSession, table: str, column: str) -> tuple[int, int] | None:
+        """Least and largest value of a column; None for a table without any."""
+        wanted = f"SELECT min({column}) AS low, max({column}) AS high FROM {table}"
+        row = spark.read.format("jdbc").options(url=self.url, query=wanted, **self.properties).load().first()
+        return None if row[0] is None else (row[0], row[1])
+
     def append(self, df: DataFrame, table: str) -> None:
         options = {"url": self.url, "dbtable": table, **self.properties}
         df.write.format("jdbc").options(**options).mode("append").save()

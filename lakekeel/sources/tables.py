@@ -133,35 +133,57 @@ class LakeTable:
         columns = column_names(self.stored_schema)
         return self._read([base] if base else []).select(*columns).unionByName(self._read(changes))
 
-    def _newest(self, folders: list[str]) -> DataFrame:
-        """One row per key over folders of changes. NULL keys never meet, so those rows all stay."""
-        rows = self._read(folders)
-        if len(folders) == 1:
-            return rows
+    def _one_per_key(self, rows: DataFrame) -> DataFrame:
+        """The newest row per key. NULL keys never meet, so those rows all stay."""
         return self._latest(rows.filter(~any_null(self.keys))).unionByName(rows.filter(any_null(self.keys)))
 
-    def _merged(self) -> DataFrame:
+    def _newest(self, folders: list[str], within: DataFrame | None = None) -> DataFrame:
+        rows = self._within(self._read(folders), within)
+        return rows if len(folders) == 1 else self._one_per_key(rows)
+
+    def _within(self, rows: DataFrame, within: DataFrame | None) -> DataFrame:
+        return rows if within is None else rows.join(within, within.columns, "left_semi")
+
+    def _merged(self, within: DataFrame | None = None) -> DataFrame:
         base, changes = self._committed()
         if not changes:
-            return self._read([base] if base else [])
-        newest = self._newest(changes)
+            return self._within(self._read([base] if base else []), within)
+        newest = self._newest(changes, within)
         if not base:
             return newest
         first_by = FIRST if self.insert_only else None
-        stored = self._read([base]).select(*newest.columns)
+        stored = self._within(self._read([base]).select(*newest.columns), within)
         return upsert(stored, newest, self.keys, self.insert_only, self.order_by, first_by)
 
-    def versioned(self) -> DataFrame:
-        """Current rows together with their order columns."""
-        return self._merged().filter(~F.col(DELETED)).select(*self.columns, *self.order_by)
+    def versioned(self, within: DataFrame | None = None) -> DataFrame:
+        """Current rows together with their order columns.
+
+        ``within`` holds values of some key columns; other rows are left out before
+        base and changes meet, so that a batch doesn't merge the whole table.
+        """
+        return self._merged(within).filter(~F.col(DELETED)).select(*self.columns, *self.order_by)
 
-    def snapshot(self) -> DataFrame:
+    def snapshot(self, within: DataFrame | None = None) -> DataFrame:
         """Current rows, without columns kept for the table's own use."""
-        return self.versioned().select(*[c for c in self.columns if not c.startswith("_")])
+        return self.versioned(within).select(*[c for c in self.columns if not c.startswith("_")])
 
-    def replace(self, rows: DataFrame) -> None:
-        """Full refresh: the given rows become the table."""
-        self._write(self._stored(rows), "base", max([f[1] for f in self._folders()], default=0) + 1)
+    def repeats(self, rows: DataFrame) -> bool:
+        """Whether a key without NULL occurs twice."""
+        counts = rows.filter(~any_null(self.keys)).groupBy(*self.keys).count()
+        return not counts.filter("count > 1").isEmpty()
+
+    def replace(self, rows: DataFrame, resolved: bool = True) -> None:
+        """Full refresh: the given rows become the table, unless ``resolved`` one per key.
+
+        The base before stays until the next time, for readers still on it.
+        """
+        stored, (earlier, _) = self._stored(rows), self._committed()
+        rows = stored if resolved else self._one_per_key(stored)
+        generation = max([f[1] for f in self._folders()], default=0) + 1
+        self._write(rows, "base", generation)
+        for kind, number, _, name in self._folders():
+            if kind == "base" and number < generation and name != earlier:
+                remove(self.spark, f"{self.path}/{name}")
 
     def compact(self, after: int = 0, share: float = 0.25) -> bool:
         """Fold the changes together once they lie in more than ``after`` folders.

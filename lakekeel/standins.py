@@ -73,7 +73,7 @@ def sports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    e = table(spark, sf_dir, "events")
     start = F.col("ts").cast("timestamp")
     event = F.col("event_id")
     metres = F.floor(F.col("value") * 1000).cast("int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
@@ -57,12 +58,22 @@ def batch_name(batch: DataFrame, name: str, batch_id: int) -> str:
     return f"{name}-{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
 
 
+PAIR = ["origin_address", "destination_address"]
+
+
+def _addresses(ways: DataFrame) -> DataFrame:
+    return ways.select(F.col("adresse_complete").alias("origin_address")).distinct()
+
+
 @dataclass
 class IncrementalCycle:
     """Change topics to bronze, silver and gold.
 
     ``provider`` turns requests (origin_address, destination_address) into answers
-    (the same plus ``body``); without one, requests stay in their topic. Table
+    (the same plus ``body``); without one, requests stay in their topic. A request
+    it has no answer to stays open and is asked again in every run; one sent again
+    after a failure is asked again too, and ``retry_failed`` sends it whenever the
+    employee changes. Table
     writes are keyed by batch, so replaying a batch changes nothing; a request may
     be sent to Kafka again and is then answered from the cache.
     """
@@ -77,11 +88,13 @@ class IncrementalCycle:
     provider: Callable[[DataFrame], DataFrame] | None = None
     as_of: dt.date | str | None = None
     apply_deletes: bool = False
+    retry_failed: bool = False
     compact_after: int = 16
 
     def run(self) -> None:
         """One pass over all streams. Those that share no table run at the same time."""
         finish(self.start_employees(), self.start_sports(), self.start_activities())
+        self.process_open_requests()
         finish(self.start_requests() if self.provider else None, self.start_wellbeing())
         self.lake.compact(self.compact_after)
 
@@ -114,6 +127,13 @@ class IncrementalCycle:
     def process_requests(self) -> None:
         finish(self.start_requests())
 
+    def process_open_requests(self) -> None:
+        """Ask again what had no answer. Requests stay open until the last write of a run that answers them."""
+        if self.provider and self.lake.open_requests.exists():
+            wanted = self.lake.open_requests.snapshot()
+            if not wanted.isEmpty():
+                self._answer(wanted, f"open-{uuid.uuid4().hex}")
+
     def process_wellbeing(self) -> None:
         finish(self.start_wellbeing())
 
@@ -145,9 +165,10 @@ class IncrementalCycle:
     def _apply_employees(self, batch: DataFrame, name: str) -> None:
         lake = self.lake
         rows = self._bronze(batch, lake.employees, schemas.EMPLOYEES, name)
-        ways, cache = silver.commute(rows), lake.distances.versioned()
-        wanted = distance.missing_requests(ways.filter(~F.col(DELETED)), cache, self.destination)
-        stamped = distance.stamped_commute(ways, cache, self.destination, cache_size=lake.distances.size())
+        ways = silver.commute(rows)
+        cache = lake.distances.versioned(within=_addresses(ways))
+        wanted = distance.missing_requests(ways.filter(~F.col(DELETED)), cache, self.destination, self.retry_failed)
+        stamped = distance.stamped_commute(ways, cache, self.destination)
         people, ways, _ = together(
             partial(lake.employee.apply, silver.employee(rows, self.as_of), name, resolved=True),
             partial(lake.commute.apply, stamped, name, resolved=True),
@@ -156,22 +177,35 @@ class IncrementalCycle:
         lake.bonus_input.apply(gold.bonus_input(people, ways, self.as_of), name, resolved=True)
 
     def _apply_answers(self, batch: DataFrame, name: str) -> None:
-        """Answer open requests, then bring commutes and bonus inputs at those addresses up to date."""
+        """Answer the requests to which the cache holds no success yet."""
+        wanted, cache = distance.parse_requests(batch), self.lake.distances
+        if cache.exists():
+            earlier = cache.versioned(within=wanted.select(*PAIR)).filter(
+                (F.col(SEQ) < cache.generation(name)) & (F.col("provider") == distance.DEFAULT_PROVIDER)
+                & (F.col("status") == distance.OK)
+            )
+            wanted = wanted.join(earlier.select(*PAIR), PAIR, "left_anti")
+        self._answer(wanted, name)
+
+    def _answer(self, wanted: DataFrame, name: str) -> None:
+        """Ask the provider, then bring commutes and bonus inputs at the answered addresses up to date."""
         lake = self.lake
-        generation, pair = lake.distances.generation(name), ["origin_address", "destination_address"]
-        wanted = distance.parse_requests(batch)
-        if lake.distances.exists():
-            earlier = lake.distances.versioned().filter((F.col(SEQ) < generation) & (F.col("provider") == distance.DEFAULT_PROVIDER))
-            wanted = wanted.join(earlier.select(*pair), pair, "left_anti")
+        generation = lake.distances.generation(name)
         answered = distance.answers(self.provider(wanted))
         stamped = answered.withColumns({SEQ: F.lit(generation), "last_updated": F.current_timestamp()})
         cached = lake.distances.apply(stamped, name)
-        ways = lake.commute.versioned().drop(*distance.MEASURES, "_cache_seq")
+        addresses = cached.select(F.col("origin_address").alias("adresse_complete")).distinct()
+        lived_at = lake.commute.history().join(addresses, "adresse_complete", "left_semi").select("employee_id").distinct()
+        ways = lake.commute.versioned(within=lived_at).drop(*distance.MEASURES, "_cache_seq")
         ways = distance.stamped_commute(ways, cached, self.destination).filter(F.col("_cache_seq") == generation)
         ways = lake.commute.apply(ways, name, resolved=True)
-        lake.bonus_input.apply(
-            gold.bonus_input(lake.employee.snapshot(), ways, self.as_of), name, resolved=True
+        people = lake.employee.snapshot(within=ways.select("employee_id"))
+        lake.bonus_input.apply(gold.bonus_input(people, ways, self.as_of), name, resolved=True)
+        found = cached.select(*PAIR, F.lit(True).alias(DELETED)).distinct()
+        state = wanted.select(*PAIR).join(found, PAIR, "left").withColumns(
+            {DELETED: F.coalesce(DELETED, F.lit(False)), SEQ: F.lit(lake.open_requests.generation(name))}
         )
+        lake.open_requests.apply(state, name, resolved=True)
 
     def _apply_sports(self, batch: DataFrame, name: str) -> None:
         rows = self._bronze(batch, self.lake.sports, schemas.SPORTS, name)
@@ -182,7 +216,7 @@ class IncrementalCycle:
         self.lake.activity.apply(silver.activity(rows), name, resolved=True)
 
     def _apply_wellbeing(self, batch: DataFrame, batch_id: int) -> None:
-        """Recount every (employee, year) the changed activities belong to or belonged to.
+        """Recount every (employee, year) the changed activities belong to or belonged to, whatever the year.
 
         Counting again from current rows makes updates, moves between years or
         employees and repeated batches exact. A pair left without activities goes.
@@ -193,13 +227,14 @@ class IncrementalCycle:
         name, changed = batch_name(batch, "wellbeing", batch_id), batch.select("activity_id").distinct()
         touched = (
             lake.activity.history()
-            .filter(F.col("activity_year") == F.year(reference_day(self.as_of)))
             .join(changed, "activity_id", "left_semi")
             .select("employee_id", F.col("activity_year").alias("year"))
             .distinct()
         )
         touched = keyed_wellbeing(touched).drop("employee_id")
-        counts = keyed_wellbeing(gold.wellbeing_counts(lake.activity.snapshot(), self.as_of))
+        current = keyed_wellbeing(lake.activity.snapshot()).withColumn("year", F.col("activity_year"))
+        mine = current.join(touched, pair, "left_semi").drop("_who", "year")
+        counts = keyed_wellbeing(gold.wellbeing_counts(mine, all_years=True))
         recounted = touched.join(counts, pair, "left").withColumns(
             {DELETED: F.col("nb_activities_year").isNull(), SEQ: F.lit(lake.wellbeing.generation(name))}
         )
@@ -207,9 +242,11 @@ class IncrementalCycle:
 
 
 def run_wellbeing_totals(
-    changes: DataFrame, target: str, checkpoint: str, as_of: dt.date | str | None = None
+    changes: DataFrame, target: LakeTable, checkpoint: str, as_of: dt.date | str | None = None
 ) -> None:
-    """Stateful alternative for insert-only activities: running totals, rewritten each batch.
+    """Stateful alternative for insert-only activities: running totals, written anew each batch.
+
+    ``target`` is a keyed lake table's folder: a batch is a new base, which counts once its job committed.
 
     Activities that come again are counted once. State grows with the number of
     activities of the year; where rows change later, :class:`IncrementalCycle` recounts instead.
@@ -217,11 +254,11 @@ def run_wellbeing_totals(
     current = changes.filter(F.col("activity_year") == F.year(reference_day(as_of)))
     totals = gold.wellbeing_counts(current.dropDuplicates(["activity_id"]), as_of)
 
-    def overwrite(batch: DataFrame, batch_id: int) -> None:
+    def replace(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            batch.write.mode("overwrite").parquet(target)
+            target.replace(batch)
 
-    drain(totals, overwrite, checkpoint, mode="complete")
+    drain(totals, replace, checkpoint, mode="complete")
 
 
 def run_notifications(
@@ -230,16 +267,12 @@ def run_notifications(
     employees: Callable[[], DataFrame],
     spark: SparkSession,
     checkpoint: str,
-    employees_size: Callable[[], int | None] = lambda: None,
 ) -> None:
-    """New activities to notification messages; employees are read anew for every batch.
-
-    ``employees_size`` tells their size in bytes where it is known.
-    """
+    """New activities to notification messages; employees are read anew for every batch."""
 
     def send(batch: DataFrame, batch_id: int) -> None:
         created = inserts(parse_changes(batch, NOTIFIED))
-        payloads = notifications(created, employees(), employees_size())
+        payloads = notifications(created, employees())
         outbox.send(notification_messages(payloads), f"batch-{batch_id}")
 
     drain(topic.stream(spark), send, checkpoint)

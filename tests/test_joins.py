@@ -4,8 +4,9 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from lakekeel.operators.joins import fits_broadcast, hot_keys, lookup_join, orphans
+from lakekeel.operators.joins import broadcast_limit, estimated_bytes, fits_broadcast, lookup_join, measured_bytes, orphans
 
 
 def plan(df) -> str:
@@ -40,27 +41,51 @@ def test_small_dimension_is_broadcast(spark, skewed, folder):
     assert Counter(map(tuple, joined.select("k", "n", "v").collect())) == expected(rows)
 
 
-@pytest.mark.parametrize("share", [4, 50, 20_000])
-def test_large_dimension_keeps_every_row(spark, skewed, no_broadcast, share):
+def test_large_dimension_keeps_every_row(spark, skewed, no_broadcast):
     rows, facts, dimension = skewed
     assert not fits_broadcast(dimension)
-    joined = lookup_join(facts, dimension, ["k"], share=share)
+    joined = lookup_join(facts, dimension, ["k"])
     assert Counter(map(tuple, joined.select("k", "n", "v").collect())) == expected(rows)
     assert "CartesianProduct" not in plan(joined) and "NestedLoop" not in plan(joined)
 
 
-def test_hot_keys_are_few_and_right(spark, skewed):
-    rows, facts, _ = skewed
-    found = {r.k for r in hot_keys(facts, ["k"], share=10).collect()}
-    counts = Counter(k for _, k in rows if k)
-    assert found == {k for k, n in counts.items() if n > sum(counts.values()) / 10}
-    assert len(found) < 10
+def test_rows_that_compress_well_are_not_broadcast(spark, folder):
+    """Stored in a few kilobytes, far larger in memory: the measured size counts."""
+    spark.range(20_000).select(F.col("id").cast("string").alias("k"), F.repeat(F.lit("x"), 1000).alias("v")).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    assert estimated_bytes(stored) < broadcast_limit(stored) < measured_bytes(stored)
+    joined = lookup_join(spark.range(5).select(F.col("id").cast("string").alias("k")), stored, ["k"])
+    assert "Broadcast" not in plan(joined)
+    assert [len(r.v) for r in joined.collect()] == [1000] * 5
+
+
+def test_hot_keys_are_split_at_run_time(spark, skewed, no_broadcast):
+    """A third of the rows on one key, facts read once."""
+    rows, facts, dimension = skewed
+    wide = facts.withColumn("pad", F.repeat(F.sha2(F.col("n").cast("string"), 256), 4))
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = lookup_join(wide, dimension, ["k"])
+        assert Counter((r.k, r.n, r.v) for r in joined.collect()) == expected(rows)
+        final = plan(joined).split("== Initial Plan ==")[0]
+        assert "skew=true" in final
+        assert final.count("Exchange hashpartitioning") == 2
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_two_column_lookup(spark, no_broadcast):
     facts = spark.createDataFrame([("a", "x", i) for i in range(50)] + [("b", None, 1)], "o string, d string, n int")
     dimension = spark.createDataFrame([("a", "x", 7), ("a", "y", 8)], "o string, d string, v int")
-    joined = lookup_join(facts, dimension, ["o", "d"], share=3).collect()
+    joined = lookup_join(facts, dimension, ["o", "d"]).collect()
     assert len(joined) == 51 and {r.v for r in joined} == {7, None}
 
 

@@ -61,7 +61,7 @@ def bonus(cycle):
 
 
 def counts(cycle):
-    return {(r.employee_id, r.year): r.nb_activities_year for r in cycle.lake.wellbeing.snapshot().collect()}
+    return {(r.employee_id, r.year): r.nb_activities_year for r in cycle.lake.wellbeing_of(cycle.as_of).collect()}
 
 
 def test_late_distance_reaches_gold(spark, cycle):
@@ -111,6 +111,72 @@ def test_activity_that_moves_is_counted_where_it_is_now(spark, cycle):
     assert [r.reason for r in bad] == ["unreadable start_date_utc"]
 
 
+def test_a_new_year_finds_every_year_counted(spark, cycle):
+    """What moved between years before and after New Year counts as one batch over all rows would count it."""
+    send(spark, cycle.activities, "one", [workout(1, 1), workout(2, 2), workout(3, 3, start="2025-01-02T00:00:00Z")])
+    cycle.run()
+    assert counts(cycle) == {(1, 2024): 2}
+    cycle.as_of = "2025-01-03"
+    send(spark, cycle.activities, "two", [workout(1, 4, start="2025-01-01T00:00:00Z")])
+    cycle.run()
+    assert counts(cycle) == {(1, 2025): 2}
+    everything = {(r.employee_id, r.year): r.nb_activities_year for r in cycle.lake.wellbeing.snapshot().collect()}
+    batch = gold.wellbeing_counts(cycle.lake.activity.snapshot(), all_years=True)
+    assert everything == {(1, 2024): 1, (1, 2025): 2}
+    assert everything == {(r.employee_id, r.year): r.nb_activities_year for r in batch.collect()}
+
+
+def _provider(spark, replies):
+    """A provider that knows the given addresses at the moment it is asked."""
+    def answer(wanted):
+        body = {
+            "OK": '{"rows":[{"elements":[{"status":"OK","distance":{"value":7000},"duration":{"value":1}}]}]}',
+            "QUOTA": '{"rows":[{"elements":[{"status":"OVER_QUERY_LIMIT"}]}]}',
+        }
+        known = [(address, HERE, body[reply]) for address, reply in replies.items()]
+        frame = spark.createDataFrame(known, "origin_address string, destination_address string, body string")
+        return wanted.join(frame, ["origin_address", "destination_address"])
+    return answer
+
+
+def test_a_request_without_answer_stays_open(spark, cycle):
+    replies = {}
+    cycle.provider = _provider(spark, replies)
+    send(spark, cycle.employees, "one", [person(1, 10)])
+    cycle.run()
+    assert bonus(cycle) == {1: (1000.0, None)} and cycle.lake.open_requests.snapshot().count() == 1
+    replies["a1"] = "OK"
+    cycle.run()
+    assert bonus(cycle) == {1: (1000.0, 7.0)} and cycle.lake.open_requests.snapshot().isEmpty()
+
+
+def test_a_failed_look_up_is_repaired(spark, cycle):
+    replies = {"a1": "QUOTA"}
+    cycle.provider = _provider(spark, replies)
+    send(spark, cycle.employees, "one", [person(1, 10)])
+    cycle.run()
+    replies["a1"] = "OK"
+    send(spark, cycle.employees, "two", [person(1, 20)])
+    cycle.run()
+    assert bonus(cycle) == {1: (1000.0, None)}
+    cycle.retry_failed = True
+    send(spark, cycle.employees, "three", [person(1, 30)])
+    cycle.run()
+    assert bonus(cycle) == {1: (1000.0, 7.0)}
+    assert [r.status for r in cycle.lake.distances.snapshot().collect()] == ["OK"]
+
+
+def test_a_request_sent_again_overwrites_a_failure(spark, cycle):
+    replies = {"a1": "QUOTA"}
+    cycle.provider = _provider(spark, replies)
+    send(spark, cycle.employees, "one", [person(1, 10)])
+    cycle.run()
+    replies["a1"] = "OK"
+    send(spark, cycle.requests, "by-hand", [{"origin_address": "a1", "destination_address": HERE}])
+    cycle.run()
+    assert bonus(cycle) == {1: (1000.0, 7.0)}
+
+
 def test_created_at_is_set_once(spark, cycle):
     send(spark, cycle.activities, "one", [workout(1, 1, created="2024-01-01T00:00:00Z")])
     cycle.process_activities()

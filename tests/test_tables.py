@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakekeel.plans import gold, serving
-from lakekeel.plans.lake import Lake, full_load
+from lakekeel.plans.lake import Lake, full_load, keyed_wellbeing
 from lakekeel.session import workspace
 from lakekeel.sources.files import children
 from lakekeel.sources.relational import Database
@@ -83,6 +83,78 @@ def test_workspace_lies_in_the_shared_folder(spark):
     assert workspace(spark, "x").startswith(shared) if shared else workspace(spark, "x").startswith("/tmp/run-")
 
 
-def test_split_scans_need_bounds(spark):
-    with pytest.raises(ValueError, match="bounds"):
-        Database("jdbc:postgresql://db/x").read(spark, "t", split_on="id")
+class _Reader:
+    """Stands for ``spark.read``: keeps the options a scan hands over."""
+
+    def __init__(self, bounds):
+        self.read, self.bounds, self.scans = self, bounds, []
+
+    def format(self, _):
+        return self
+
+    def options(self, **options):
+        self.scans.append(options)
+        return self
+
+    def load(self):
+        return self
+
+    def first(self):
+        return self.bounds
+
+
+def test_split_scans_ask_for_their_bounds():
+    reader = _Reader((3, 90))
+    Database("jdbc:postgresql://db/x").read(reader, "t", split_on="id", partitions=4)
+    asked, scan = reader.scans
+    assert asked["query"] == "SELECT min(id) AS low, max(id) AS high FROM t"
+    assert (scan["partitionColumn"], scan["lowerBound"], scan["upperBound"], scan["numPartitions"]) == ("id", "3", "90", "4")
+    empty = _Reader((None, None))
+    Database("jdbc:postgresql://db/x").read(empty, "t", split_on="id", partitions=4)
+    assert "partitionColumn" not in empty.scans[-1]
+
+
+def test_files_landed_twice_change_nothing(spark, folder):
+    from lakekeel import standins as s
+    from tests.test_oracles import SF_DIR
+
+    sources = {"rh_employees": s.employees, "sport_activities": s.sports,
+               "strava_activities": s.activities, "distance_cache": s.distances}
+    loads = {}
+    for times in (1, 2):
+        lake = Lake(spark, f"{folder}/{times}")
+
+        def read(name, times=times):
+            rows = sources[name](spark, SF_DIR)
+            return rows if times == 1 else rows.unionByName(rows)
+
+        assert not full_load(lake, read, s.DESTINATION, s.AS_OF)
+        loads[times] = [sorted(map(str, table.snapshot().collect())) for table in (lake.bonus_input, lake.wellbeing, lake.sport_profile)]
+    assert loads[1] == loads[2]
+
+
+def test_a_missing_employee_is_no_employee_number(spark, folder):
+    lake = Lake(spark, folder)
+    rows = [(None, 2024, 1), (-1, 2024, 2), (0, 2024, 3)]
+    counts = spark.createDataFrame(rows, "employee_id int, year int, nb_activities_year bigint")
+    dated = counts.withColumns({c: F.current_date() for c in ("first_activity_date", "last_activity_date")})
+    lake.wellbeing.apply(keyed_wellbeing(dated), "a")
+    assert {(r.employee_id, r.nb_activities_year) for r in lake.wellbeing.snapshot().collect()} == {(None, 1), (-1, 2), (0, 3)}
+
+
+def test_a_batch_meets_only_the_rows_it_names(spark, folder):
+    lake = Lake(spark, folder)
+    schema = "id int, pratique_sport string"
+    lake.sports.replace(spark.createDataFrame([(i, "Judo") for i in range(50)], schema))
+    for name, changed in (("a", (3, 4)), ("b", (4, 70))):
+        lake.sports.apply(spark.createDataFrame([(i, name) for i in changed], schema).withColumn("_seq", F.lit(ord(name))), name)
+    wanted = spark.createDataFrame([(4,), (5,), (70,), (99,)], "id int")
+    assert {tuple(r) for r in lake.sports.snapshot(within=wanted).collect()} == {(4, "b"), (5, "Judo"), (70, "b")}
+
+
+def test_a_refresh_keeps_the_last_base_only(spark, folder):
+    lake = Lake(spark, folder)
+    for i in range(4):
+        lake.sports.replace(spark.createDataFrame([(i, "Judo")], "id int, pratique_sport string"))
+    assert [r.id for r in lake.sports.snapshot().collect()] == [3]
+    assert len(lake.sports._folders()) == 2
