@@ -2,18 +2,21 @@
 
 Voters are whole words (lexicon) and word beginnings (patterns) that are more
 common in toxic than in clean labelled documents; counts cover all labelled
-documents of the learning folds. A generative label model then takes the votes
-without the labels: expectation maximisation estimates how often each voter
-fires in either class, and voters that fire together beyond what the classes
-explain share their weight. Its posteriors are the labels of a linear
-classifier over the votes, which scores every document.
+documents of the learning folds, and every term with enough evidence votes.
+Beginnings that fire on the same documents as their word are one voter with it.
+A generative label model then takes the votes without the labels: expectation
+maximisation estimates how often each voter fires in either class, and voters
+that fire together beyond what the classes explain share their weight. Its
+posteriors are the labels of a linear classifier over the votes, which scores
+every document. Both are fitted on all labelled rows, as distinct sets of votes
+with their number of rows; a step needs only sums per voter.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +25,18 @@ from pyspark.sql import functions as F
 
 from lakekeel.llm.shared import stored, whole_texts
 
-#: Voters at most, by strength of evidence.
-VOTERS = 256
-#: Labelled rows of the learning folds on which label model and classifier are fitted; the counts use all of them.
-FIT_ROWS = 20_000
+#: Votes, and pairs of voters, up to this number are summed on the driver (at most some 100 MB); more stay in Spark.
+LOCAL = 4_000_000
+#: Steps of expectation maximisation, and of the classifier at most.
+ROUNDS, STEPS = 50, 200
 #: Lengths of word beginnings that are tried as patterns.
 BEGINNINGS = (4, 5, 6)
 #: Labels up to this number are broadcast (at most some 50 MB); more are joined by a shuffle.
 BROADCAST_LABELS = 1_000_000
 #: Lower bound of the log odds ratio, two standard errors down, that makes a voter.
 LEAST_EVIDENCE = 1.0
+#: Ridge of the classifier's weights, each term's.
+RIDGE = 0.1
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -86,10 +91,47 @@ class _Votes(dict):
         return {v for fired in map(self.__getitem__, _words(text)) if fired for v in fired}
 
 
-def label_model(votes: np.ndarray, prior: float, fires: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Posterior probability of the toxic class for each row of 0/1 votes.
+class Rows:
+    """Rows of a stored table, read on the driver if they are few and by tasks otherwise; ``sums`` adds up a kernel over them."""
 
-    ``fires`` (voters + 1, x 2) are the firing rates in the clean and the toxic
+    def __init__(self, frame: DataFrame, size: int):
+        self.frame = frame
+        self.local = frame.toArrow().to_batches() if size <= LOCAL else None
+
+    def sums(self, kernel: Callable[[pa.RecordBatch], np.ndarray], width: int) -> np.ndarray:
+        total = np.zeros(width)
+        if self.local is not None:
+            for batch in self.local:
+                total += kernel(batch)
+            return total
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = np.zeros(width)
+            for batch in batches:
+                part += kernel(batch)
+            at = np.flatnonzero(part)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(part[at])], names=["at", "value"])
+
+        found = self.frame.mapInArrow(run, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+        total[found.column("at").to_numpy()] = found.column("value").to_numpy()
+        return total
+
+
+def _sparse(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and voter of each vote, and how many documents each row stands for."""
+    fired = batch.column("fired")
+    lengths = np.diff(fired.offsets.to_numpy())
+    return np.repeat(np.arange(len(lengths)), lengths), fired.flatten().to_numpy(), batch.column("n").to_numpy().astype(float)
+
+
+def _odds(theta: np.ndarray, bias: float, row: np.ndarray, voter: np.ndarray, rows: int) -> np.ndarray:
+    return bias + np.bincount(row, theta[voter], rows)
+
+
+def label_model(votes: Rows, pairs: Rows, prior: float, fires: np.ndarray) -> tuple[np.ndarray, float]:
+    """What each vote adds to the log odds of the toxic class, and what they start from.
+
+    ``fires`` (voters, x 2) are the firing rates in the clean and the toxic
     class that the voters were chosen by; expectation maximisation refines
     them from the votes alone, with those rates as prior knowledge worth as
     many rows as there are. A voter that doesn't fire abstains; that all
@@ -97,40 +139,102 @@ def label_model(votes: np.ndarray, prior: float, fires: np.ndarray, rounds: int
     classes explain share their weight: each has one over the sum of the
     squares of its positive correlations (with itself too) within the classes.
     """
-    votes = np.c_[votes, ~votes.any(1)].astype(float)
-    known = len(votes) * np.array([1 - prior, prior])
+    width = len(fires)
     rates = np.clip(fires, 1e-4, 0.999)
-    share = np.ones(votes.shape[1])
-    posterior = np.full(len(votes), prior)
-    for step in range(rounds):
-        odds = np.log(prior / (1 - prior)) + votes @ (share * np.log(rates[:, 1] / rates[:, 0]))
-        posterior = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
-        both = np.c_[1 - posterior, posterior]
-        rates = np.clip((votes.T @ both + fires * known) / (both.sum(0) + known), 1e-4, 0.999)
+    share = np.ones(width)
+    bias = float(np.log(prior / (1 - prior)))
+
+    def fired(batch: pa.RecordBatch) -> np.ndarray:
+        row, voter, n = _sparse(batch)
+        return np.r_[np.bincount(voter, n[row], width), n.sum()]
+
+    *times, count = votes.sums(fired, width + 1)
+    times, known = np.array(times), count * np.array([1 - prior, prior])
+    theta = share * np.log(rates[:, 1] / rates[:, 0])
+    for step in range(ROUNDS):
+        theta = share * np.log(rates[:, 1] / rates[:, 0])
+
+        def expect(batch: pa.RecordBatch, theta: np.ndarray = theta) -> np.ndarray:
+            row, voter, n = _sparse(batch)
+            posterior = 1 / (1 + np.exp(-np.clip(_odds(theta, bias, row, voter, len(n)), -40, 40)))
+            return np.r_[np.bincount(voter, (n * posterior)[row], width), (n * posterior).sum(), (n * posterior**2).sum()]
+
+        *toxic, ones, squares = votes.sums(expect, width + 2)
+        both = np.c_[times - toxic, toxic]
+        rates = np.clip((both + fires * known) / (np.array([count - ones, ones]) + known), 1e-4, 0.999)
         if step % 10 == 0:
-            residual = votes - both @ rates.T
-            covariance = residual.T @ residual / max(len(votes), 1)
-            spread = np.sqrt(np.clip(np.diag(covariance), 1e-9, None))
-            share = 1 / (np.clip(covariance / np.outer(spread, spread), 0, 1) ** 2).sum(1).clip(1)
-    return posterior
-
-
-def linear_classifier(votes: np.ndarray, target: np.ndarray, rounds: int = 40, ridge: float = 0.1) -> np.ndarray:
-    """Weights of a logistic regression on soft labels, the last one the bias; bounded Newton steps with a small ridge."""
-    rows = np.c_[votes, np.ones(len(votes))]
-    weights = np.zeros(rows.shape[1])
-    for _ in range(rounds):
-        score = 1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30)))
-        slope = rows.T @ (score - target) + ridge * weights
-        curve = (rows * (score * (1 - score) + 1e-6)[:, None]).T @ rows + ridge * np.eye(len(weights))
-        step = np.linalg.solve(curve, slope)
-        largest = np.abs(step).max()
-        weights -= step / max(1.0, largest)
-        if largest < 1e-4:
+            cross = np.array([[count - 2 * ones + squares, ones - squares], [ones - squares, squares]])
+            explained = rates @ cross
+            spread = np.sqrt(np.clip((times - 2 * (both * rates).sum(1) + (explained * rates).sum(1)) / count, 1e-9, None))
+
+            def shared(batch: pa.RecordBatch, rates=rates, both=both, explained=explained, spread=spread) -> np.ndarray:
+                pair, n = batch.column("pair").to_numpy(), batch.column("n").to_numpy()
+                i, j = pair // width, pair % width
+                covariance = (n - (both[i] * rates[j]).sum(1) - (both[j] * rates[i]).sum(1) + (explained[i] * rates[j]).sum(1)) / count
+                square = np.clip(covariance / (spread[i] * spread[j]), 0, 1) ** 2
+                return np.bincount(i, square, width) + np.bincount(j, square, width)
+
+            share = 1 / (1 + pairs.sums(shared, width))
+    return theta, bias
+
+
+def linear_classifier(votes: Rows, theta: np.ndarray, start: float, ridge: np.ndarray) -> np.ndarray:
+    """Weights of a logistic regression on the label model's posteriors, the last one the bias; limited-memory quasi-Newton steps."""
+    width = len(theta)
+
+    def loss(weights: np.ndarray) -> tuple[float, np.ndarray]:
+        def slopes(batch: pa.RecordBatch) -> np.ndarray:
+            row, voter, n = _sparse(batch)
+            target = 1 / (1 + np.exp(-np.clip(_odds(theta, start, row, voter, len(n)), -40, 40)))
+            odds = _odds(np.r_[weights[:-1], 0.0], weights[-1], row, voter, len(n))
+            off = n * (1 / (1 + np.exp(-np.clip(odds, -40, 40))) - target)
+            return np.r_[np.bincount(voter, off[row], width)[:-1], off.sum(), (n * (np.logaddexp(0, odds) - target * odds)).sum()]
+
+        found = votes.sums(slopes, width + 1)
+        return found[-1] + (ridge * weights**2).sum() / 2, found[:-1] + ridge * weights
+
+    weights = np.r_[np.zeros(width - 1), start]
+    value, slope = loss(weights)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(STEPS):
+        if np.abs(slope).max() < 1e-3:
+            break
+        move, used = -slope, []
+        for d, g in reversed(steps):
+            used.append((d @ move) / (d @ g))
+            move = move - used[-1] * g
+        move = move * ((steps[-1][0] @ steps[-1][1]) / (steps[-1][1] @ steps[-1][1]) if steps else 1 / max(1.0, np.abs(slope).max()))
+        for (d, g), a in zip(steps, reversed(used), strict=True):
+            move = move + (a - (g @ move) / (d @ g)) * d
+        size = 1.0
+        while size > 1e-9:
+            then, after = loss(weights + size * move)
+            if then <= value + 1e-4 * size * (slope @ move):
+                break
+            size /= 2
+        else:
             break
+        if size * move @ (after - slope) > 1e-12:
+            steps = [*steps[-9:], (size * move, after - slope)]
+        weights, value, slope = weights + size * move, then, after
     return weights
 
 
+def _voters(chosen: list) -> tuple[list[int], int]:
+    """The voter of each feature, and their number. A feature is part of every shorter one of its word, so equal counts mean equal documents."""
+    number: dict[str, int] = {}
+    counts = {row.feature: (row.clean, row.toxic) for row in chosen}
+    found = 0
+    for feature in sorted(counts, key=lambda f: (f[0] == "=", len(f))):
+        longest = len(feature) - 1 - (feature[0] == "^")
+        shorter = next((f"^{feature[1 : 1 + n]}" for n in reversed(BEGINNINGS) if n <= longest), None)
+        if counts.get(shorter) == counts[feature]:
+            number[feature] = number[shorter]
+        else:
+            number[feature], found = found, found + 1
+    return [number[row.feature] for row in chosen], found
+
+
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], np.ndarray]:
     """Voters and their weights (the last is the bias), learned from the labelled rows of the learning folds."""
     texts = whole_texts(docs, id_col, text_col)
@@ -147,33 +251,71 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
         return [], np.array([-20.0 if clean or not toxic else 20.0])
     ratio = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    chosen = (
-        counts.where("toxic >= 3").withColumn("evidence", ratio - 2 * error).where(F.col("evidence") >= LEAST_EVIDENCE)
-        .orderBy(F.col("evidence").desc(), "feature").limit(VOTERS).collect()
-    )
-    voters = [row.feature for row in chosen]
-    fires = np.array([[row.clean / clean, row.toxic / toxic] for row in chosen]).reshape(-1, 2)
-    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-    fired = sample.select("text", "toxic").mapInArrow(_fired(voters), "fired array<int>, toxic int").collect()
-    votes = np.zeros((len(fired), len(voters)))
-    for i, row in enumerate(fired):
-        votes[i, row.fired] = 1
-    marked = np.array([row.toxic for row in fired])
-    silent = [(~votes.any(1))[marked == c].mean() if (marked == c).any() else 0.5 for c in (0, 1)]
-    posterior = label_model(votes, toxic / (clean + toxic), np.r_[fires, [silent]])
-    return voters, linear_classifier(votes, posterior)
+    chosen = counts.where("toxic >= 3").withColumn("evidence", ratio - 2 * error).where(F.col("evidence") >= LEAST_EVIDENCE).orderBy("feature").collect()
+    features_of = [row.feature for row in chosen]
+    number, found = _voters(chosen)
+    first = {n: row for row, n in zip(reversed(chosen), reversed(number), strict=True)}
+    sizes_of = np.bincount(number, minlength=found).astype(float) if found else np.empty(0)
+    patterns = labelled.select("text", "toxic").mapInArrow(_fired([first[n].feature for n in range(found)]), "fired array<int>, n long, toxic long")
+    patterns = stored(spark, patterns.groupBy("fired").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")), "tox-votes")
+    votes = Rows(patterns, patterns.agg(F.sum(F.size("fired"))).first()[0])
+    silent = patterns.where(F.element_at("fired", 1) == found).select((F.col("n") - F.col("toxic")) / clean, F.col("toxic") / toxic).first() or (0.0, 0.0)
+    fires = np.array([*([first[n].clean / clean, first[n].toxic / toxic] for n in range(found)), silent], float)
+    theta, start = label_model(votes, _together(spark, votes, found + 1), toxic / (clean + toxic), fires)
+    weights = linear_classifier(votes, theta, start, np.r_[RIDGE / sizes_of, RIDGE])
+    return features_of, np.array([*(weights[n] / sizes_of[n] for n in number), weights[-1]])
 
 
 def _fired(voters: list[str]):
+    """Distinct sets of votes with their numbers of rows; the number after the last voter says that all abstain."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes = _Votes(voters)
         for batch in batches:
-            fired = [sorted(votes.of(text)) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(fired, pa.list_(pa.int32())), batch.column("toxic")], names=["fired", "toxic"])
+            found: dict[tuple[int, ...], list[int]] = {}
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                seen = found.setdefault(tuple(sorted(votes.of(text))) or (len(voters),), [0, 0])
+                seen[0] += 1
+                seen[1] += toxic
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(map(list, found), pa.list_(pa.int32())), pa.array([n for n, _ in found.values()]), pa.array([t for _, t in found.values()])],
+                names=["fired", "n", "toxic"],
+            )
 
     return run
 
 
+def _together(spark: SparkSession, votes: Rows, width: int) -> Rows:
+    """In how many documents each pair of voters fires together, for pairs that do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def summed() -> pa.RecordBatch:
+            pair, at = np.unique(np.concatenate([p for p, _ in waiting]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([n for _, n in waiting]))
+            waiting.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
+
+        held = 0
+        for batch in batches:
+            for fired, n in zip(batch.column("fired"), batch.column("n").to_pylist(), strict=True):
+                voter = fired.values.to_numpy().astype(np.int64)
+                for k in range(len(voter) - 1):
+                    pair = voter[k] * width + voter[k + 1 :]
+                    waiting.append((pair, np.full(len(pair), float(n))))
+                    held += len(pair)
+                    if held > 1_000_000:
+                        yield summed()
+                        held = 0
+        if waiting:
+            yield summed()
+
+    pairs = votes.frame.mapInArrow(run, "pair long, n double").groupBy("pair").agg(F.sum("n").alias("n"))
+    pairs = stored(spark, pairs, "tox-pairs")
+    return Rows(pairs, pairs.count())
+
+
 def score(docs: DataFrame, voters: list[str], weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, score)`` of every row, and the columns named in ``keep`` (``doc_id`` may be one of them).
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakekeel.llm import iblt
+from lakekeel.llm import toxicity as toxicity_module
 from lakekeel.llm.best_fit import pack_pieces, plan
 from lakekeel.llm.bwt_dedup import Transform, bwt_dedup, merge
 from lakekeel.llm.components import connected_components
@@ -269,6 +270,24 @@ def test_toxicity(spark, none):
     assert len(unlabelled) == len(rows) and not any(r.predicted for r in unlabelled) and toxicity(spark, none, labels).collect() == []
 
 
+@pytest.mark.parametrize("local", [toxicity_module.LOCAL, 0])
+def test_toxicity_keeps_every_voter(spark, monkeypatch, local):
+    monkeypatch.setattr(toxicity_module, "LOCAL", local)
+    if not local:
+        monkeypatch.setattr(toxicity_module, "ROUNDS", 3)
+        monkeypatch.setattr(toxicity_module, "STEPS", 12)
+    pick = random.Random(6)
+    slurs = ["".join(pick.choices("bcdfghjklm", k=8)) for _ in range(120)]
+    rows = [(i, f"plain{i % 7} words{i % 5}" + (f" {slurs[i % 120]}" if i % 10 == 0 else "")) for i in range(12_000)]
+    rows = [(i, t.replace(slurs[i % 120], slurs[i // 10 % 120])) for i, t in rows]
+    marks = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    voters, weights = toxicity_module.fit(spark, documents, marks)
+    assert len(voters) == len(weights) - 1 and {f"={s}" for s in slurs} <= set(voters)
+    found = toxicity_module.score(documents, voters, weights).collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 10 == 0) for r in found)
+
+
 @pytest.mark.parametrize("count", [0, 1, 2, 3, 5, 64, 1000])
 def test_slots_are_a_permutation(count):
     assert sorted(slots(np.arange(count), count, 9).tolist()) == [*range(count)]
