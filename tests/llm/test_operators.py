@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakekeel.llm import iblt
+from lakekeel.llm import iblt, language
 from lakekeel.llm import toxicity as toxicity_module
 from lakekeel.llm.best_fit import pack_pieces, plan
 from lakekeel.llm.bwt_dedup import Transform, bwt_dedup, merge
@@ -205,6 +205,26 @@ def test_language_id(spark, none):
     assert language_id(spark, none).collect() == []
 
 
+def test_language_filter_grows(spark, monkeypatch):
+    """Seventy languages; one slice, and slices that pass by three at a time, give right answers."""
+    pick = random.Random(8)
+    letters = [chr(0x4E00 + i) for i in range(840)]
+    rows = [(i, "".join(pick.choices(letters[12 * (i % 70) : 12 * (i % 70) + 12], k=300)), f"l{i % 70:02}") for i in range(1400)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+
+    def wrong() -> int:
+        found = {r.doc_id: r for r in language_id(spark, documents).collect()}
+        assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found.values())
+        return sum(found[i].lang_pred != lang for i, _, lang in rows)
+
+    assert wrong() == 0
+    monkeypatch.setattr(language, "POSITIONS", 1 << 12)
+    monkeypatch.setattr(language, "LARGEST", 1 << 17)
+    monkeypatch.setattr(language, "BROADCAST", 3 * 2 * 8 << 17)
+    assert language.fit(spark, documents)[1].slices > 3 and wrong() == 0
+    assert language.shape(5_000_000, 64) == (611, 1 << 17, 2)
+
+
 @pytest.mark.parametrize("weak", [False, True])
 def test_stream_dedup_checks_the_bytes(spark, docs, texts, weak):
     by = defaultdict(list)
