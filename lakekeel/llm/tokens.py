@@ -44,9 +44,14 @@ class _Words(dict):
 
 
 @functools.cache
-def _vocabulary(path: str) -> tuple[tiktoken.Encoding, _Words, _Words]:
+def _content(path: str) -> dict:
     with open(path, encoding="utf-8") as file:
-        content = json.load(file)
+        return json.load(file)
+
+
+@functools.cache
+def _vocabulary(path: str) -> tuple[tiktoken.Encoding, _Words, _Words]:
+    content = _content(path)
     added = {x["content"] for x in content.get("added_tokens", [])}
     byte = _byte_of_char()
     ranks = {bytes(byte[c] for c in word): i for word, i in content["model"]["vocab"].items() if word not in added}
@@ -66,6 +71,30 @@ def encode(text: str, path: str) -> bytes:
     return first["\n"].join(out)
 
 
+@functools.cache
+def _added(path: str) -> tuple[re.Pattern | None, dict[str, bytes]]:
+    """A pattern of the added tokens with the blanks they take, longest first, and the id of each."""
+    tokens = sorted(_content(path).get("added_tokens", []), key=lambda x: -len(x["content"]))
+    forms = []
+    for x in tokens:
+        form = f"({re.escape(x['content'])})"
+        form = rf"(?<!\w){form}(?!\w)" if x.get("single_word") else form
+        forms.append((r"\s*" if x.get("lstrip") else "") + form + (r"\s*" if x.get("rstrip") else ""))
+    return re.compile("|".join(forms)) if forms else None, {x["content"]: np.array([x["id"]], "<u4").tobytes() for x in tokens}
+
+
+def encode_added(text: str, path: str) -> bytes:
+    """Ids of a text as the library gives them by default: strings of added tokens are their ids, whatever lies between is ordinary text."""
+    pattern, ids = _added(path)
+    out, at = [], 0
+    for token in pattern.finditer(text) if pattern else ():
+        out += [encode(text[at : token.start()], path) if token.start() > at else b"", ids[token[token.lastindex]]]
+        at = token.end()
+    if not at:
+        return encode(text, path)
+    return b"".join(out) + (encode(text[at:], path) if at < len(text) else b"")
+
+
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
@@ -74,6 +103,7 @@ def token_pieces(
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids)``: each document's ids, cut into pieces of ``capacity`` from its end.
 
+    Strings of added tokens in a text get their ids, as by the library.
     Only longer documents are cut, and only their first piece may be shorter.
     NULL and empty texts have the end id alone, and without one no piece.
     Repeated rows and NULL ids are documents like any other.
@@ -85,7 +115,7 @@ def token_pieces(
             for rows in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
                 out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids": []}
                 for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                    ids = encode(text.decode("utf-8", "replace"), path) + end
+                    ids = encode_added(text.decode("utf-8", "replace"), path) + end
                     total, start, piece = len(ids) // 4, 0, 0
                     stop = (total - 1) % capacity + 1 if total else 0
                     while start < total:

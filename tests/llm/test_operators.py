@@ -25,7 +25,7 @@ from lakekeel.llm.language import language_id
 from lakekeel.llm.ngram_jaccard import ngram_jaccard
 from lakekeel.llm.piece_codec import model, piece_decode, piece_encode
 from lakekeel.llm.stream_dedup import stream_dedup
-from lakekeel.llm.tokens import encode, token_pieces
+from lakekeel.llm.tokens import encode, encode_added, token_pieces
 from lakekeel.llm.toxicity import toxicity
 from lakekeel.llm.training_order import read_shard, slots, stride, training_order, write_shards
 
@@ -148,6 +148,15 @@ def test_tokens_equal_the_library(texts):
         assert np.frombuffer(encode(t, BPE), "<u4").tolist() == known.encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_equal_the_library(spark, texts):
+    known, end = Tokenizer.from_file(BPE), "<|endoftext|>"
+    awkward = ["a<|endoftext|>b", end, f"{end}{end}", f" x  {end}  y\n{end}\n", f"a {end[:-1]} {end}", f"  {end}", f"{end} "]
+    for t in [*(t or "" for _, t in texts[:20]), *awkward]:
+        assert np.frombuffer(encode_added(t, BPE), "<u4").tolist() == known.encode(t, add_special_tokens=False).ids
+    rows = token_pieces(spark.createDataFrame([*enumerate(awkward)], "doc_id long, text string"), BPE, 64, 2).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == {i: [*known.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(awkward)}
+
+
 def cut(texts):
     least: dict[bytes, float] = {}
     order = [float("inf") if i is None else i for i, _ in texts]
