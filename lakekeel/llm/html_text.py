@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Generator, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,7 +14,18 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is text up to their end tag.
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes title datalist object audio video canvas svg math".split())
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes title datalist object audio video canvas".split())
+#: Parts of SVG and MathML that aren't drawn where they stand, and elements in which HTML begins anew.
+UNDRAWN = frozenset("desc defs metadata symbol clippath mask pattern marker filter lineargradient radialgradient annotation annotation-xml mphantom".split())
+FOREIGN, ANEW = ("svg", "math"), frozenset("foreignobject annotation-xml desc mi mo mn ms mtext".split())
+#: HTML elements that end SVG and MathML.
+BREAKS = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p pre ruby s small span strong "
+    "strike sub sup table tt u ul var".split()
+)
+#: Formulas' parts that stand apart.
+APART = frozenset("mfrac mtable mtr".split())
+
 #: Blocks with an empty line around them, and those that only begin a line.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset menu".split())
 PLAIN = frozenset(
@@ -32,13 +44,16 @@ CLOSES = {
 }
 #: End tags of other elements don't close these from inside.
 WALLS = frozenset("table td th caption button object template".split())
-#: Elements nested deeper are taken as text of the deepest one.
-DEPTH = 150
+#: Indentation doesn't grow beyond so many characters, and tables in so many others aren't laid out in columns: rows are lines there.
+INDENT, TABLES = 300, 50
+#: The largest spans of columns and rows that browsers take.
+COLUMNS, ROWS = 1000, 65_534
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[^<]+|<", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
+_UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/\Z")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
@@ -54,17 +69,44 @@ class Node:
         return self.tag in HIDDEN or "hidden" in a or (self.tag == "input") or bool(_UNSEEN.search(a.get("style", "")))
 
 
+class _Path:
+    """The open elements, with the places of each tag among them."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at = [root], defaultdict(list)
+
+    def push(self, node: Node) -> None:
+        self.at[node.tag].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, place: int) -> None:
+        """End the element at a place and those in it."""
+        while len(self.nodes) > place:
+            self.at[self.nodes.pop().tag].pop()
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The place of the innermost open element of some tags, 0 without one."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def foreign(self) -> bool:
+        return self.last(FOREIGN) > self.last(ANEW)
+
+
 def tree(page: str) -> Node:
     """The page's elements; missing end tags are implied, stray ones ignored."""
     root = Node("html", {})
-    path, at, end = [root], 0, len(page)
+    path, at, end = _Path(root), 0, len(page)
     while at < end:
         token = _TOKEN.match(page, at)
         at = token.end()
         tag = token[2]
         if not tag:
-            if token[0][:2] not in ("<!", "<?"):
-                path[-1].children.append(html.unescape(token[0]))
+            if token[0].startswith("<![CDATA[") and path.foreign():
+                stop = page.find("]]>", token.start())
+                at = stop + 3 if stop >= 0 else end
+                path.nodes[-1].children.append(page[token.start() + 9 : stop if stop >= 0 else end])
+            elif token[0][:2] not in ("<!", "<?"):
+                path.nodes[-1].children.append(html.unescape(token[0]))
             continue
         tag = tag.lower()
         if token[1]:
@@ -76,8 +118,13 @@ def tree(page: str) -> Node:
             root.attributes |= attributes
             continue
         _imply(path, tag)
+        foreign = path.foreign()
+        if foreign and (tag in UNDRAWN or attributes.get("display") == "none" or attributes.get("visibility") in ("hidden", "collapse")):
+            attributes["hidden"] = ""
         node = Node(tag, attributes)
-        path[-1].children.append(node)
+        path.nodes[-1].children.append(node)
+        if (foreign or tag in FOREIGN) and token[3].endswith("/") and not _UNQUOTED.search(token[3]):
+            continue
         if tag in RAW:
             stop = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, at)
             inner = page[at : stop.start() if stop else end]
@@ -85,46 +132,41 @@ def tree(page: str) -> Node:
             at = stop.start() if stop else end
             closing = _TOKEN.match(page, at) if stop else None
             at = closing.end() if closing else at
-        elif tag not in VOID and len(path) < DEPTH:
-            path.append(node)
+        elif tag not in VOID:
+            path.push(node)
     return root
 
 
-def _imply(path: list[Node], tag: str) -> None:
+def _imply(path: _Path, tag: str) -> None:
     """End the elements that a start tag ends."""
-    if path[-1].tag == "head" and tag not in ("meta", "link", "base", "title", "style", "script", "template", "noscript"):
-        path.pop()
+    if path.nodes[-1].tag == "head" and tag not in ("meta", "link", "base", "title", "style", "script", "template", "noscript"):
+        path.cut(len(path.nodes) - 1)
+    if tag in BREAKS and path.foreign():
+        anew = path.last(ANEW)
+        path.cut(min(i for t in FOREIGN for i in path.at[t] if i > anew))
     if tag in BLOCKS and tag != "option":
-        for i in range(len(path) - 1, 0, -1):
-            if path[i].tag == "p":
-                del path[i:]
-                break
-            if path[i].tag in WALLS:
-                break
+        place = path.last(("p",))
+        if place > path.last(WALLS):
+            path.cut(place)
     closed, scope = CLOSES.get(tag, ((), ()))
-    for i in range(len(path) - 1, 0, -1):
-        if path[i].tag in scope:
+    while (place := path.last(closed)) > path.last(scope):
+        path.cut(place)
+        if tag not in ("tr", "thead", "tbody", "tfoot"):
             break
-        if path[i].tag in closed:
-            del path[i:]
-            if tag not in ("tr", "thead", "tbody", "tfoot"):
-                break
 
 
-def _close(path: list[Node], tag: str) -> None:
-    for i in range(len(path) - 1, 0, -1):
-        if path[i].tag == tag:
-            del path[i:]
-            return
-        if path[i].tag in WALLS and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
-            return
+def _close(path: _Path, tag: str) -> None:
+    place = path.last((tag,))
+    if place and (place >= path.last(WALLS) or tag in ("table", "tr", "tbody", "thead", "tfoot")):
+        path.cut(place)
 
 
 class _Page:
     """Lines of text; margins between blocks collapse to the larger."""
 
-    def __init__(self):
+    def __init__(self, tables: int = 0):
         self.lines: list[str] = []
+        self.tables = tables
         self.line, self.margin, self.prefix, self.mark = "", 0, "", ""
 
     def write(self, text: str, exact: bool) -> None:
@@ -168,7 +210,24 @@ class _Page:
         return "\n".join(self.lines)
 
 
-def _render(node: Node, page: _Page, exact: bool = False) -> None:
+def _run(step: Generator):
+    """What a step returns; the steps it yields are run in between, without recursion however deep they go."""
+    steps, given = [step], None
+    while steps:
+        try:
+            steps.append(steps[-1].send(given))
+            given = None
+        except StopIteration as done:
+            steps.pop()
+            given = done.value
+    return given
+
+
+def _deeper(prefix: str) -> str:
+    return prefix + "  " if len(prefix) < INDENT else prefix
+
+
+def _render(node: Node, page: _Page, exact: bool = False) -> Generator:
     number = 0
     for child in node.children:
         if isinstance(child, str):
@@ -184,64 +243,90 @@ def _render(node: Node, page: _Page, exact: bool = False) -> None:
             page.block(2)
             page.write("---", False)
             page.block(2)
-        elif child.tag == "table":
+        elif child.tag == "table" and page.tables < TABLES:
             page.block(2)
-            for line in _table(child):
+            for line in (yield _table(child, page.tables + 1)):
                 page.write(line, True)
                 page.end()
             page.block(2)
         elif child.tag == "li":
             number += 1
-            outer, page.prefix = page.prefix, page.prefix + "  "
+            outer, page.prefix = page.prefix, _deeper(page.prefix)
             page.block(1)
             page.mark = outer + (f"{number}. " if node.tag == "ol" else "- ")
-            _render(child, page, exact)
+            yield _render(child, page, exact)
             page.block(1)
             page.prefix, page.mark = outer, ""
         else:
             nested = child.tag in ("ul", "ol", "menu") and bool(page.prefix)
-            margin = 1 if nested else 2 if child.tag in SPACED else 1 if child.tag in BLOCKS else 0
+            margin = 1 if nested else 2 if child.tag in SPACED else 1 if child.tag in BLOCKS or (child.tag == "tr" and page.tables >= TABLES) else 0
             outer = page.prefix
             if margin:
                 page.block(margin)
             if child.tag in ("blockquote", "dd"):
-                page.prefix += "  "
-            _render(child, page, exact or child.tag in ("pre", "textarea"))
+                page.prefix = _deeper(page.prefix)
+            apart = child.tag == "text" or node.tag in APART or (child.tag in ("td", "th") and page.tables >= TABLES)
+            if apart:
+                page.write(" ", False)
+            yield _render(child, page, exact or child.tag in ("pre", "textarea"))
+            if apart:
+                page.write(" ", False)
             if margin:
                 page.block(margin)
             page.prefix = outer
 
 
-def _table(table: Node) -> list[str]:
-    """A table's caption and rows; the cells of a column begin at one place."""
+def _span(cell: Node, name: str, most: int) -> int:
+    span = cell.attributes.get(name, "1").strip()
+    return min(int(span[:6]), most) if span.isdecimal() else 1
+
+
+def _table(table: Node, depth: int) -> Generator:
+    """A table's caption and rows; the cells of a column begin at one place, and a cell over several rows keeps its columns free below it."""
     lines: list[str] = []
     rows: list[list[list[str]]] = []
-    waiting = [*reversed(table.children)]
+    waiting: list[tuple[Node | str, Node]] = [(c, table) for c in reversed(table.children)]
+    group, held = table, {}
     while waiting:
-        child = waiting.pop()
+        child, owner = waiting.pop()
         if isinstance(child, str):
             if child.strip():
                 lines.append(_BLANK.sub(" ", child).strip())
         elif child.hidden():
             continue
         elif child.tag == "tr":
+            if owner is not group:
+                group, held = owner, {}
             row: list[list[str]] = []
+            taken: dict[int, int] = {}
+            place = 0
             for cell in child.children:
+                across, down = 1, 1
                 if isinstance(cell, str):
-                    if cell.strip():
-                        row.append([_BLANK.sub(" ", cell).strip()])
-                elif not cell.hidden():
-                    inner = _Page()
-                    _render(cell, inner)
-                    row.append(inner.text().split("\n"))
-                    span = cell.attributes.get("colspan", "1")
-                    row.extend([[""]] * (min(int(span), 100) - 1 if span.isdecimal() else 0))
+                    if not cell.strip():
+                        continue
+                    text = [_BLANK.sub(" ", cell).strip()]
+                elif cell.hidden():
+                    continue
+                else:
+                    inner = _Page(depth)
+                    yield _render(cell, inner)
+                    text = inner.text().split("\n")
+                    across, down = max(1, _span(cell, "colspan", COLUMNS)), _span(cell, "rowspan", ROWS) or ROWS
+                while place in held:
+                    place += 1
+                row.extend([[""]] * (place - len(row)))
+                row.append(text)
+                if down > 1:
+                    taken |= dict.fromkeys(range(place, place + across), down)
+                place += across
             rows.append(row)
+            held = {i: n - 1 for i, n in (held | taken).items() if n > 1}
         elif child.tag in ("thead", "tbody", "tfoot"):
-            waiting.extend(reversed(child.children))
+            waiting.extend((c, child) for c in reversed(child.children))
         else:
-            inner = _Page()
-            _render(child, inner)
+            inner = _Page(depth)
+            yield _render(child, inner)
             lines.extend(x for x in inner.text().split("\n") if x)
     widths: list[int] = []
     for row in rows:
@@ -261,7 +346,7 @@ def _table(table: Node) -> list[str]:
 def visible_text(page: str) -> str:
     """What a reader sees of a page, as lines of plain text."""
     out = _Page()
-    _render(tree(page), out)
+    _run(_render(tree(page), out))
     return out.text()
 
 

@@ -354,6 +354,31 @@ def test_visible_text(page):
     assert visible_text(page) == PAGES[page]
 
 
+WHOLE = {
+    "x <math><mi>a</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>tex</annotation></math>": "x a= 1 2",
+    "<svg><title>t</title><desc/><defs><text>d</text></defs><path d='M0'/><text>North</text><text>South</text></svg>": "North South",
+    "<svg><text>a<div>b</div>c": "a\nb\nc", "<svg><text display='none'>a</text><text>b</text></svg>": "b", "<svg/>a<b/>c": "ac",
+    "<math><mtext><b>if</b></mtext><mphantom>n</mphantom><mn>3</mn></math>": "if3",
+    "<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td>f": "a  b  c\n   d  e\nf",
+    "<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e": "a  b\n   c\nd  e",
+    "<table><tr><td colspan=120>a<td>b<tr><td>c<td>d": "a".ljust(1 + 1 + 2 * 120) + "b\nc  d",
+    "<table><tr><td colspan=" + "9" * 5000 + ">a": "a",
+}
+
+
+@pytest.mark.parametrize("page", WHOLE)
+def test_visible_text_is_whole(page):
+    assert visible_text(page) == WHOLE[page]
+
+
+@pytest.mark.parametrize("tag", ["font", "b", "div", "span"])
+def test_visible_text_below_many_open_elements(tag):
+    page = f"<{tag}>" * 60_000 + "<table><tr><td>a<td>b</table><p hidden>no</p><p style='display:none'>no</p><ul><li>c<li>d</ul>"
+    assert visible_text(page) == "a  b\n\n- c\n- d"
+    tables = visible_text("<table><tr><td>x<td>" * 2000 + "y<td>z")
+    assert tables.count("x") == 2000 and re.search(r"y +z", tables)
+
+
 def test_html_extraction(spark):
     deep = "<div>" * 5000 + "deep"
     rows = [(1, "u", None), (2, "u", ""), (None, None, "<p>x"), (3, "u", deep), (3, "u", "<b>" + "y " * 50_000)]
