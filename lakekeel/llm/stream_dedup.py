@@ -75,21 +75,27 @@ def stream_dedup(
     the row with the largest doc_id stays; a NULL doc_id is smaller than all
     others, and of rows with the same doc_id and text exactly one stays. An
     empty table gives no rows; other columns are ignored. With ``folder`` the
-    state is kept there, and a later call with new documents continues it: its
-    rows are then judged against all documents so far.
+    state and the texts are kept there, and a later call with new documents
+    continues it: its rows are then judged against all documents so far, by
+    their bytes.
     """
+    continued = folder is not None
     folder = folder or workspace(spark, "dedup")
     texts = whole_texts(docs, id_col, text_col).withColumn("digest", digest(F.col("text")))
     locator = F.xxhash64(F.lit(uuid.uuid4().hex), F.monotonically_increasing_id())  # this call's, and the row in it
-    records = texts.select("digest", "doc_id", locator.alias("locator"))
+    records = texts.select("digest", "doc_id", locator.alias("locator"), *(["text"] if continued else []))
     records.write.mode("append").parquet(f"{folder}/records")
     seen = spark.read.schema("digest binary, doc_id long, locator long").parquet(f"{folder}/records")
     state = stored(spark, drain(spark, folder), "dedup-state")
 
+    if continued:  # bytes of all calls
+        texts = spark.read.schema("digest binary, doc_id long, text binary").parquet(f"{folder}/records")
     hits = state.where("group_size > 1").select("digest")
     few = hits.limit(BROADCAST_DIGESTS + 1).count() <= BROADCAST_DIGESTS
     hit_texts = texts.join(F.broadcast(hits) if few else hits, "digest", "left_semi")
     # Grouped by the bytes themselves: copies meet before the shuffle, and no text stands for another.
+    if continued and not hit_texts.where("text IS NULL").isEmpty():
+        raise ValueError(f"{folder} has records without texts, whose bytes can't be checked")
     distinct = hit_texts.groupBy("digest", "text").agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
     clashes = distinct.groupBy("digest").count().where("count > 1").select("digest")
     rows = seen.join(state, "digest").select(

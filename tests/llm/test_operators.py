@@ -255,6 +255,16 @@ def test_stream_dedup_continues(spark, tmp_path):
     assert found == {1: (3, 2, False), 3: (3, 2, True), 2: (2, 1, True), 4: (4, 1, True)}
 
 
+def test_stream_dedup_continues_by_bytes(spark, tmp_path):
+    """A digest that clashes with one of an earlier call."""
+    for rows in ([(1, "a"), (2, "b"), (3, None)], [(4, "a"), (5, "c"), (6, "c")]):
+        known = spark.createDataFrame(rows, "doc_id long, text string")
+        found = stream_dedup(spark, known, digest=lambda c: F.substring(F.unhex(F.md5(c)), 1, 0), folder=f"file://{tmp_path}").collect()
+    assert {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in found} == {
+        1: (4, 2, False), 2: (2, 1, True), 3: (3, 1, True), 4: (4, 2, True), 5: (6, 2, False), 6: (6, 2, True),
+    }
+
+
 def test_fingerprints(spark, texts, docs):
     rows = sorted({i: t or "" for i, t in texts if i is not None}.items(), reverse=True)
     known = spark.createDataFrame(rows, "doc_id long, text string")
