@@ -30,11 +30,11 @@ from lakekeel.llm.shared import power_of_two, stored, text_bytes
 #: Length of the strings that count, and of the hashes that anchor them.
 WIDTH, ANCHOR = 50, 24
 #: Text bytes of a block, and of a shard's transform.
-BLOCK_BYTES, SHARD_BYTES = 8 << 20, 1 << 20
+BLOCK_BYTES, SHARD_BYTES = 8 << 20, 1 << 19
 #: Text bytes that are hashed together.
 CHUNK_BYTES = 128 << 10
 #: Anchors that one part compares at a time; the number of parts follows from the data.
-PART_ANCHORS = 250_000
+PART_ANCHORS = 60_000
 #: Ends a window; no byte of UTF-8.
 SEPARATOR = 0xFF
 _BASE = 0x9E3779B97F4A7C15
@@ -296,6 +296,7 @@ def merge(transforms: list[Transform], rows: list[np.ndarray], depth: int) -> tu
     transforms.clear()
     pair = (symbol[back].astype(np.uint16) << 8) | symbol
     back = back[back]
+    del symbol
     start = [np.argsort(r, kind="stable").astype(np.int32) for r in rows]
     member = np.concatenate([s + wide(b) for s, b in zip(start, np.cumsum([0, *map(len, rows)])[:-1], strict=True)])
     row = np.concatenate([r[s] + wide(b) for r, s, b in zip(rows, start, base, strict=True)])
@@ -319,11 +320,13 @@ def _least_documents(table: pa.Table) -> pa.Table:
         least_of.append(np.frombuffer(raw, np.int64, n, 8 + 8 * n))
         size_of.append(np.frombuffer(raw, "<u2", n, 8 + 16 * n).astype(np.int64))
         bodies.append(np.frombuffer(raw, np.uint8, offset=8 + 18 * n))
+    del raw
     sizes = np.concatenate(size_of)
     _, first, inverse = np.unique(np.concatenate(content_of), return_index=True, return_inverse=True)
     least = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(least, inverse, np.concatenate(least_of))
     body, begin = np.concatenate(bodies), np.cumsum(sizes) - sizes
+    del content_of, least_of, bodies  # what a part came in as
     size = sizes[first]
     strings = size - WIDTH + 1
     shard = (np.cumsum(size + 1) - 1) // SHARD_BYTES
@@ -335,6 +338,7 @@ def _least_documents(table: pa.Table) -> pa.Table:
         text[_ranges(at, size[own])] = body[_ranges(begin[first[own]], size[own])]
         transforms.append(transform := Transform(text))
         rows.append(transform.row[_ranges(at, strings[own]) + WIDTH])
+    del body, text, transform
     member, interval = merge(transforms, rows, WIDTH)
     owner = np.repeat(least, strings)[member]
     lowest = np.minimum.reduceat(owner, np.flatnonzero(np.r_[True, interval[1:] != interval[:-1]]))
