@@ -32,6 +32,8 @@ BROADCAST = 128 << 20
 SIZES = (3, 4)
 #: A language contains an n-gram that it uses at least this often against the language that uses it most.
 LEAST_SHARE, LEAST_COUNT = 0.3, 2
+#: Text bytes whose n-grams are counted at a time, and counts that a task adds up before it sends them.
+COUNT_BYTES, COUNTS = 1 << 20, 1 << 19
 #: Languages in a word of a position; more take more words.
 WORD = 63
 
@@ -90,16 +92,50 @@ def learns(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) != 2
 
 
+def _summed(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of several counts, with the sum for each."""
+    gram, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(gram)
+    gram = gram[order]
+    first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+    return gram[first], np.add.reduceat(n[order], first)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of each language's n-grams: of some text at a time, added up within the task while they are few enough."""
+    texts: dict[str, list[np.ndarray]] = {}
+    counts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    size = held = 0
+
+    def fold() -> int:
+        """Text to counts; the number of counts held."""
+        for lang, found in texts.items():
+            if sum(map(len, found)):
+                gram, n = np.unique(np.concatenate(found), return_counts=True)
+                counts.setdefault(lang, []).append((gram, n.astype(np.int64)))
+        texts.clear()
+        return sum(len(gram) for found in counts.values() for gram, _ in found)
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for lang, found in sorted(counts.items()):
+            gram, n = _summed(found)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+        counts.clear()
+
     for batch in batches:
-        texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
-        for lang in sorted(set(langs)):
-            found = [grams(t.decode("utf-8", "replace")) for t, own in zip(texts, langs, strict=True) if own == lang]
-            gram, count = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(count.astype(np.int64))],
-                names=["lang", "gram", "n"],
-            )
+        for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist(), strict=True):
+            text = text.as_py()
+            texts.setdefault(lang, []).append(grams(text.decode("utf-8", "replace")))
+            size += len(text)
+            if size >= COUNT_BYTES:
+                size, held = 0, fold()
+                if held > 2 * COUNTS:
+                    for own, found in counts.items():
+                        counts[own] = [_summed(found)]
+                    if sum(len(found[0][0]) for found in counts.values()) > COUNTS:
+                        yield from rows()
+    fold()
+    yield from rows()
 
 
 def _mask(word: int) -> Column:
