@@ -38,8 +38,9 @@ FRAGMENT_NGRAMS = 2_000_000
 OVERLAP_FRAGMENTS = 8
 #: Ranges of the n-gram order for which a document keeps how many of its n-grams lie there.
 RANGES = 64
-#: Rounds of centres at most, and pairs for each row at which all pairs are compared at once; neither changes the result.
-CENTRE_ROUNDS, PAIRS_A_ROW = 4, 100
+#: Pairs for each open row at which all pairs are compared at once, and the share of pairs that a round of centres must
+#: leave for there to be another; neither changes the result.
+PAIRS_A_ROW, SHRINKS = 4, 0.9
 #: Centres that a document is compared with in a round, after one in the first.
 CENTRES = 4
 
@@ -255,7 +256,8 @@ def ngram_jaccard(
     fits = f"100 * least(nu, nv) >= {percent} * greatest(nu, nv) AND {100 + percent} * least(au, av) >= {percent} * (nu + nv)"
     names = heads.select("vertex", F.col("vertex").alias("label"))
     labelled = spread(heads.withColumns({"label": F.col("vertex"), "of": F.lit(1).cast("long")}))
-    for turn in range(CENTRE_ROUNDS + 1):
+    turn, before = 0, float("inf")
+    while True:
         centres = CENTRES if turn else 1
         ends = labelled.groupBy("gram").agg(
             F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("documents"),
@@ -266,8 +268,9 @@ def ngram_jaccard(
         )
         open_grams = tables.keep(ends.where("low <> high").select("gram", "documents", "centres").coalesce(tasks))
         size = open_grams.agg(F.sum(F.col("documents") * F.col("documents")).alias("pairs"), F.sum("documents").alias("rows")).first()
-        if turn == CENTRE_ROUNDS or (size.pairs or 0) <= PAIRS_A_ROW * (size.rows or 0):
+        if (size.pairs or 0) <= PAIRS_A_ROW * (size.rows or 0) or turn > 1 and size.pairs > SHRINKS * before:
             break
+        turn, before = turn + 1, size.pairs
         votes = labelled.join(open_grams.select("gram", F.explode("centres").alias("c")), "gram").select(
             F.col("vertex").alias("u"), F.col("n").alias("nu"), F.col("after").alias("au"), F.col("label").alias("lu"),
             F.col("c.vertex").alias("v"), F.col("c.n").alias("nv"), F.col("c.after").alias("av"), F.col("c.label").alias("lv"),
