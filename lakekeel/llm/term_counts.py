@@ -188,7 +188,7 @@ def _opened(payload: bytes) -> tuple[Entries, list[tuple[bytes, int, int, int]],
     return entries, [(t, *x) for t, x in zip(flat["term"].to_pylist(), numbers, strict=True)], flat["names"].to_numpy().reshape(-1, 2)
 
 
-def _shards(bits: int):
+def _shards(bits: int, most: int):
     """Batches ``(lang, grp, text)`` to payloads by part of the terms."""
 
     def sent(held: list[Entries], long: Long, names: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
@@ -220,10 +220,10 @@ def _shards(bits: int):
                 size += len(entries.n)
                 for (term, group), (n, documents) in more.items():
                     _put(long, term, group, n, documents)
-                if size + len(long) > 2 * ENTRIES:
+                if size + len(long) > 2 * most:
                     held = [Entries.joined(held).added()]
                     size = len(held[0].n)
-                    if size + len(long) > ENTRIES:
+                    if size + len(long) > most:
                         yield from sent(held, long, names)
                         held, long, size = [], {}, 0
         if held or long:
@@ -300,23 +300,29 @@ def _gain(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def _tile_sums(table: pa.Table) -> pa.Table:
-    """Sums of the gains over one block of terms, for each pair of sources of one tile or of two; term -1 is none."""
-    nth, number, n, size, terms, low, high = (table.column(c).to_numpy() for c in ("nth", "number", "n", "size", "terms", "low", "high"))
-    sources, at = np.unique(nth, return_inverse=True)
-    real, where = np.unique(number, return_inverse=True)
-    count, base = np.zeros((len(sources), len(real)), np.int64), np.ones(len(sources), np.int64)
-    count[at, where], base[at] = n, size + terms
-    top = SCALE * (count + 1) if int(n.max()) < 9_000_000_000 else SCALE * (count.astype(object) + 1)
-    share = (1 + top // base[:, None]).astype(np.int64)[:, real >= 0]
-    tile = sources // TILE_SOURCES
-    pairs, value = [], []
-    for i in range(len(sources)):
-        others = np.flatnonzero((tile != tile[i]) if low[0] != high[0] else (np.arange(len(sources)) != i))
-        pairs.append(np.stack([np.full(len(others), sources[i]), sources[others]]))
-        value.append(((share[i] - share[others]) ** 2 // share[others]).sum(1))
-    of, other = np.concatenate(pairs, 1)
-    return pa.table({"lang": np.full(len(of), table.column("lang")[0].as_py()), "nth": of, "other": other, "value": np.concatenate(value)})
+def _tile_sums(width: int):
+    """Sums of the gains over one block of terms, for each pair of sources of one tile or of two; term -1 tells how many there are."""
+
+    def run(table: pa.Table) -> pa.Table:
+        nth, number, n, size, terms, low, high = (table.column(c).to_numpy() for c in ("nth", "number", "n", "size", "terms", "low", "high"))
+        sources, at = np.unique(nth, return_inverse=True)
+        real, where = np.unique(number, return_inverse=True)
+        count, base = np.zeros((len(sources), len(real)), np.int64), np.ones(len(sources), np.int64)
+        count[at, where], base[at] = n, size + terms
+        absent = int(n[number < 0].max()) - int((real >= 0).sum())  # terms of the block that none of these sources has
+        none = 1 + SCALE // base
+        top = SCALE * (count + 1) if int(n[number >= 0].max(initial=0)) < 9_000_000_000 else SCALE * (count.astype(object) + 1)
+        share = (1 + top // base[:, None]).astype(np.int64)[:, real >= 0]
+        tile = sources // width
+        pairs, value = [], []
+        for i in range(len(sources)):
+            others = np.flatnonzero((tile != tile[i]) if low[0] != high[0] else (np.arange(len(sources)) != i))
+            pairs.append(np.stack([np.full(len(others), sources[i]), sources[others]]))
+            value.append(((share[i] - share[others]) ** 2 // share[others]).sum(1) + absent * ((none[i] - none[others]) ** 2 // none[others]))
+        of, other = np.concatenate(pairs, 1)
+        return pa.table({"lang": np.full(len(of), table.column("lang")[0].as_py()), "nth": of, "other": other, "value": np.concatenate(value)})
+
+    return run
 
 
 def source_divergence(
@@ -346,7 +352,7 @@ def source_divergence(
         F.coalesce(docs[text_col].cast("binary"), F.lit(b"")).alias("text"),
     ).withColumns({"lang": F.xxhash64("lang_name"), "grp": F.xxhash64("lang_name", "source_name")})
     bits = power_of_two(text_bytes(docs, text_col) / PART_BYTES, 16).bit_length() - 1
-    sent = named.select("lang", "grp", "text").mapInArrow(_shards(min(bits, 16)), PAYLOAD)
+    sent = named.select("lang", "grp", "text").mapInArrow(_shards(min(bits, 16), ENTRIES), PAYLOAD)
     kept = tables.keep(sent.groupBy("part").applyInArrow(_kept, _KEPT))
 
     # A row for each group: its sizes, and its number among the sources of its language.
@@ -365,20 +371,20 @@ def source_divergence(
     terms = few.withColumn("rank", F.row_number().over(Window.partitionBy("grp").orderBy(*ordered))).where(F.col("rank") <= terms_shown)
     terms = terms.select("lang_name", "source_name", F.lit("term").alias("part"), "item", "value", "rank")
 
-    # Blocks of terms for each pair of tiles of sources. Every source has a row without a term in each block of
-    # its language, so that terms it lacks count too.
+    # Blocks of terms for each pair of tiles of sources. Every source has a row in each block of its language
+    # that tells how many terms it holds, so that terms a source lacks count too.
     tiles = groups.groupBy("lang").agg((F.floor((F.count("*") - 1) / TILE_SOURCES) + 1).cast("int").alias("tiles"))
     blocks = kept.groupBy("lang", "part").agg((F.floor(F.count_if("first") / BLOCK_TERMS) + 1).cast("int").alias("blocks"))
     placed = groups.join(tiles, "lang").select("lang", "grp", "nth", "size", "terms", "tiles")
     cells = kept.select("lang", "grp", "part", "number", "n").join(placed, ["lang", "grp"]).join(blocks, ["lang", "part"])
     cells = cells.withColumn("block", F.pmod("number", "blocks").cast("int"))
-    every = blocks.select("lang", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(placed, "lang")
-    every = every.withColumns({"number": F.lit(-1).cast("long"), "n": F.lit(0).cast("long")})
+    held = kept.where("first").join(blocks, ["lang", "part"]).groupBy("lang", "part", F.pmod("number", "blocks").cast("int").alias("block"))
+    every = held.agg(F.count("*").alias("n")).join(placed, "lang").withColumn("number", F.lit(-1).cast("long"))
     columns = ["lang", "part", "block", "nth", "size", "terms", "number", "n", "tiles"]
     tile, against = F.floor(F.col("nth") / TILE_SOURCES).cast("int"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     met = cells.select(*columns).union(every.select(*columns)).withColumn("against", against)
     met = met.withColumns({"low": F.least(tile, "against"), "high": F.greatest(tile, "against")}).drop("against", "tiles")
-    sums = met.groupBy("lang", "part", "block", "low", "high").applyInArrow(_tile_sums, "lang long, nth int, other int, value long")
+    sums = met.groupBy("lang", "part", "block", "low", "high").applyInArrow(_tile_sums(TILE_SOURCES), "lang long, nth int, other int, value long")
     value = F.sum(F.col("value").cast("decimal(38,0)")).cast("long").alias("value")
     summed = sums.groupBy("lang", "nth", "other").agg(value)
     others = groups.select("lang", F.col("nth").alias("other"), F.col("source_name").alias("item"))
