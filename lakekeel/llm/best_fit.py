@@ -69,12 +69,15 @@ def pack(spark: SparkSession, pieces: DataFrame, capacity: int) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``; gapless from 0 in each sequence, at most ``capacity`` long.
 
     ``pieces`` needs ``doc_id``, ``piece`` and ``length`` (1 to ``capacity``) and
-    must be a stored table; its other columns stay. Equal rows get different
-    places. An empty table gives no rows.
+    must be a stored table; its other columns stay, whatever their names, but
+    for earlier ``sequence_id`` and ``offset``, which give way. Equal rows get
+    different places. An empty table gives no rows.
     """
+    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     counts = {row.length: row["count"] for row in pieces.groupBy("length").count().collect()}
     blocks = -(-max(counts.values(), default=1) // RANKED_TOGETHER)
-    spread = pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)))
+    own = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
+    spread = pieces.select("doc_id", "piece", "length", own.alias("own")).withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)))
     sizes = spread.groupBy("length", "block").count()
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("length", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
@@ -82,8 +85,6 @@ def pack(spark: SparkSession, pieces: DataFrame, capacity: int) -> DataFrame:
     ranked = ranked.join(offsets, ["length", "block"]).withColumn("rank", F.col("before") + F.col("nth") - 1)
     runs = {length: np.array(sorted(found), np.int64).reshape(-1, 3) for length, found in plan(counts, capacity).items()}
 
-    names = pieces.columns
-
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rank, length = batch.column("rank").to_numpy(), batch.column("length").to_numpy()
@@ -92,13 +93,10 @@ def pack(spark: SparkSession, pieces: DataFrame, capacity: int) -> DataFrame:
                 at = np.flatnonzero(length == size)
                 run = runs[size][np.searchsorted(runs[size][:, 0], rank[at], "right") - 1]
                 sequence[at], offset[at] = run[:, 1] + rank[at] - run[:, 0], run[:, 2]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(sequence), pa.array(offset)],
-                names=[*names, "sequence_id", "offset"],
-            )
+            yield pa.RecordBatch.from_arrays([*batch.column("own").flatten(), pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    return ranked.select(*names, "rank").mapInArrow(place, schema)
+    schema = ", ".join(f"`{name}` {pieces.schema[name].dataType.simpleString()}" for name in names) + ", sequence_id long, offset long"
+    return ranked.select("length", "own", "rank").mapInArrow(place, schema)
 
 
 def pack_pieces(spark: SparkSession, pieces: DataFrame, capacity: int) -> DataFrame:

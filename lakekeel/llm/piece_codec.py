@@ -10,6 +10,7 @@ and the ids are read off it backwards. Words are remembered, and so are pairs.
 from __future__ import annotations
 
 import functools
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -23,6 +24,8 @@ from lakekeel.llm.shared import whole_texts
 #: Words and pairs of tokens that a worker remembers; a full memory starts anew.
 REMEMBERED_WORDS, REMEMBERED_PAIRS = 400_000, 1_000_000
 SPACE = "▁"
+#: Characters up to which neighbours are looked through for each merge.
+SHORT = 32
 
 
 class _Pairs(dict):
@@ -45,6 +48,36 @@ class _Pairs(dict):
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def merged_long(self, text: str) -> list[str]:
+        """The same for a text of any length: neighbours wait in a queue by score and place."""
+        n = len(text)
+        parts, before, after = list(text), list(range(-1, n - 1)), [*range(1, n), -1]
+        queue: list[tuple[float, int, int, int]] = []
+
+        def offer(left: int) -> None:
+            right = after[left]
+            if right >= 0:
+                score = self.scores.get(parts[left] + parts[right])
+                if score is not None:
+                    heapq.heappush(queue, (-score, left, len(parts[left]), len(parts[right])))
+
+        for i in range(n):
+            offer(i)
+        while queue:
+            _, left, own, other = heapq.heappop(queue)
+            right = after[left] if parts[left] else -1
+            if right < 0 or len(parts[left]) != own or len(parts[right]) != other:
+                continue  # one of them has been merged since
+            parts[left] += parts[right]
+            parts[right] = ""
+            after[left] = after[right]
+            if after[left] >= 0:
+                before[after[left]] = left
+            if before[left] >= 0:
+                offer(before[left])
+            offer(left)
+        return [p for p in parts if p]
+
     def __missing__(self, pair: tuple[str, str]) -> bool:
         if len(self) >= REMEMBERED_PAIRS:
             self.clear()
@@ -80,7 +113,7 @@ class Model:
     def pieces(self, unit: str) -> list[str]:
         """The pieces of a unit by its prefix table."""
         if SPACE * 2 in unit:  # runs of blanks have equal scores, for which a prefix's last piece isn't unique
-            return self.pairs.merged(unit)
+            return self.pairs.merged(unit) if len(unit) <= SHORT else self.pairs.merged_long(unit)
         last: list[str] = [""] * (len(unit) + 1)
         for end, piece in self.automaton.iter(unit):
             start = end + 1 - len(piece)

@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer
 
 from lakekeel.llm.payload import mix
 from lakekeel.llm.shared import stored
@@ -25,16 +26,27 @@ from lakekeel.llm.tokens import token_pieces
 
 #: Tokens of a record and records of a shard.
 RECORD_TOKENS, SHARD_RECORDS = 256, 65_536
-#: Fills a record behind its tokens; no id of a vocabulary below 65,535.
-PAD = 0xFFFF
+#: Marks the length of a record whose ids have four bytes instead of two.
+WIDE = 1 << 15
 ROUNDS = 6
 #: What ends a record in a shard file.
 MARK = b"\n"
 HEADER = np.dtype([("doc_id", "<i8"), ("piece", "<i4"), ("length", "<u2")])
 
 
-def stride(tokens: int = RECORD_TOKENS) -> int:
-    return HEADER.itemsize + 2 * tokens + len(MARK)
+def pad(width: int) -> int:
+    """Fills a record behind its tokens; no id of a vocabulary of that width."""
+    return (1 << 8 * width) - 1
+
+
+def id_width(path: str) -> int:
+    """Bytes of an id: two where the vocabulary's ids are below the padding, else four."""
+    ids = Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values()
+    return 2 if max(ids, default=0) < pad(2) else 4
+
+
+def stride(tokens: int = RECORD_TOKENS, width: int = 2) -> int:
+    return HEADER.itemsize + width * tokens + len(MARK)
 
 
 def slots(numbers: np.ndarray, count: int, key: int) -> np.ndarray:
@@ -53,16 +65,28 @@ def slots(numbers: np.ndarray, count: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number the pieces of a task and pack their ids in two bytes each."""
-    task, nth = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        ids = [np.frombuffer(i, "<u4").astype("<u2").tobytes() for i in batch.column("ids").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([task] * len(ids), pa.int64()), pa.array(np.arange(nth, nth + len(ids))), *(batch.column(c) for c in ("doc_id", "piece", "length")), pa.array(ids, pa.binary())],
-            names=["task", "nth", "doc_id", "piece", "length", "ids"],
-        )
-        nth += len(ids)
+def narrowed(ids: bytes, width: int) -> bytes:
+    """Ids of four bytes as ids of ``width``; one that doesn't fit, or is the padding, is an error."""
+    found = np.frombuffer(ids, "<u4")
+    if len(found) and int(found.max()) >= pad(width):
+        raise ValueError(f"token id {found.max()} does not fit {width} bytes")
+    return found.astype(f"<u{width}").tobytes()
+
+
+def _records(width: int):
+    """Number the pieces of a task and pack their ids in ``width`` bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, nth = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            ids = [narrowed(i, width) for i in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([task] * len(ids), pa.int64()), pa.array(np.arange(nth, nth + len(ids))), *(batch.column(c) for c in ("doc_id", "piece", "length")), pa.array(ids, pa.binary())],
+                names=["task", "nth", "doc_id", "piece", "length", "ids"],
+            )
+            nth += len(ids)
+
+    return run
 
 
 def training_order(
@@ -74,12 +98,17 @@ def training_order(
     A document's ids are cut into sequences of ``tokens``; ``slot`` numbers all
     sequences gaplessly from 0 in the order of ``key``, ``position`` is the
     place in its shard, ``record`` the fixed-stride bytes: doc_id, piece,
-    length (little-endian), ids of two bytes, padding. NULL and empty texts
-    have the end id alone (without one no sequence); a NULL doc_id is -1 in
-    the record. Repeated rows are sequences of their own.
+    length (little-endian), ids, padding. Ids have two bytes, or four where
+    the vocabulary (or ``end_id``) needs them, which the length's highest bit
+    says. NULL and empty texts have the end id alone (without one no
+    sequence); a NULL doc_id is -1 in the record. Very long texts are many
+    sequences. Repeated rows are sequences of their own.
     """
+    width = max(id_width(path), 2 if (end_id or 0) < pad(2) else 4)
+    if tokens >= WIDE:
+        raise ValueError(f"records hold fewer than {WIDE} tokens")
     pieces = token_pieces(docs, path, tokens, end_id, id_col, text_col)
-    rows = stored(spark, pieces.mapInArrow(_records, "task long, nth long, doc_id long, piece int, length long, ids binary"), "training-pieces")
+    rows = stored(spark, pieces.mapInArrow(_records(width), "task long, nth long, doc_id long, piece int, length long, ids binary"), "training-pieces")
     sizes = rows.groupBy("task").agg(F.count("*").alias("n"))  # one row per task
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
@@ -97,12 +126,12 @@ def training_order(
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.full((batch.num_rows, tokens), PAD, "<u2")
+            out = np.full((batch.num_rows, tokens), pad(width), f"<u{width}")
             head = np.empty(batch.num_rows, HEADER)
             head["doc_id"], head["piece"] = batch.column("doc_id").fill_null(-1), batch.column("piece")
-            head["length"] = batch.column("length")
+            head["length"] = batch.column("length").to_numpy() | (WIDE if width == 4 else 0)
             for row, ids in zip(out, batch.column("ids").to_pylist(), strict=True):
-                row[: len(ids) // 2] = np.frombuffer(ids, "<u2")
+                row[: len(ids) // width] = np.frombuffer(ids, f"<u{width}")
             records = [h.tobytes() + r.tobytes() for h, r in zip(head, out, strict=True)]
             slot = batch.column("slot").to_numpy()
             yield pa.RecordBatch.from_arrays(
@@ -121,8 +150,10 @@ def write_shards(records: DataFrame, path: str) -> None:
 
 def read_shard(spark: SparkSession, path: str, shard: int, position: int = 0, tokens: int = RECORD_TOKENS) -> Iterator[tuple[int, int, np.ndarray]]:
     """``(doc_id, piece, ids)`` of a shard's records from ``position`` on."""
-    step = stride(tokens)
     for file in spark.read.format("binaryFile").load(f"{path}/shard={shard}").toLocalIterator():
+        width = 4 if len(file.content) and np.frombuffer(file.content, HEADER, 1)[0]["length"] & WIDE else 2
+        step = stride(tokens, width)
         for at in range(position * step, len(file.content), step):
             head = np.frombuffer(file.content, HEADER, 1, at)[0]
-            yield int(head["doc_id"]), int(head["piece"]), np.frombuffer(file.content, "<u2", int(head["length"]), at + HEADER.itemsize)
+            length = int(head["length"]) & (WIDE - 1)
+            yield int(head["doc_id"]), int(head["piece"]), np.frombuffer(file.content, f"<u{width}", length, at + HEADER.itemsize)
