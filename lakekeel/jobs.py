@@ -16,13 +16,15 @@ from lakekeel.plans import landing, serving
 from lakekeel.plans.lake import Lake, full_load
 from lakekeel.session import configure
 from lakekeel.sources.files import append_lake, read_lake
-from lakekeel.sources.relational import Database
+from lakekeel.sources.hashed import PARTS
+from lakekeel.sources.relational import HASH, Database, hash_predicates, range_predicates
 from lakekeel.sources.topics import FolderTopic, KafkaTopic, Topic
-from lakekeel.streaming.cycle import IncrementalCycle, run_notifications
+from lakekeel.streaming.cycle import IncrementalCycle, notified_log, run_notifications
 
 
-#: Key columns whose ranges split a database scan.
+#: Numeric keys whose quantiles, and textual keys whose hash, split a database scan.
 SPLIT_ON = {"rh_employees": "id", "sport_activities": "id", "strava_activities": "activity_id"}
+HASH_ON = {"distance_cache": ("origin_address", "destination_address", "provider")}
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -35,6 +37,8 @@ def _arguments() -> argparse.ArgumentParser:
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     parser.add_argument("--partitions", type=int, default=8, help="parallel key ranges of a table scan over JDBC")
+    parser.add_argument("--jdbc-hash", default=HASH, help="the database's function from text to a whole number")
+    parser.add_argument("--parts", type=int, default=PARTS, help="hash folders of what batches look up by key; stays as it was for a lake")
     parser.add_argument("--topics", help="folder with one folder per topic")
     parser.add_argument("--bootstrap", help="Kafka servers")
     parser.add_argument("--topic-prefix", default="", help="before the table name in change topic names")
@@ -51,7 +55,7 @@ def _arguments() -> argparse.ArgumentParser:
 
 class _Job:
     def __init__(self, spark: SparkSession, options: argparse.Namespace):
-        self.spark, self.options, self.lake = spark, options, Lake(spark, f"{options.root}/lake")
+        self.spark, self.options, self.lake = spark, options, Lake(spark, f"{options.root}/lake", parts=options.parts)
 
     def _database(self) -> Database:
         """User and password come from the environment, not from the command line."""
@@ -61,9 +65,17 @@ class _Job:
 
     def _table(self, name: str) -> DataFrame:
         if self.options.jdbc_url:
-            return self._database().read(self.spark, name, SPLIT_ON.get(name), partitions=self.options.partitions)
+            return self._database().read_split(self.spark, name, self._predicates(name))
         return read_lake(self.spark, f"{self.options.tables}/{name}")
 
+    def _predicates(self, name: str) -> list[str]:
+        parts = self.options.partitions
+        if name in HASH_ON:
+            return hash_predicates(HASH_ON[name], parts, self.options.jdbc_hash)
+        if name in SPLIT_ON and parts > 1:
+            return range_predicates(SPLIT_ON[name], self._database().quantiles(self.spark, name, SPLIT_ON[name], parts))
+        return []
+
     def _append(self, rows: DataFrame, name: str) -> None:
         if self.options.jdbc_url:
             self._database().append(rows, name)
@@ -120,6 +132,7 @@ class _Job:
         run_notifications(
             self._changes("strava_activities", "latest"), self._topic("notifications"),
             self.lake.employees.snapshot, self.spark, f"{self.options.root}/checkpoints/notifications",
+            notified_log(self.spark, f"{self.options.root}/notified", self.options.parts),
         )
 
 

@@ -214,6 +214,25 @@ _NOTIFICATION = """SELECT {key} a.employee_id,
   round(a.distance_m / CAST(1000 AS DOUBLE), 1) AS distance_km, a.name AS activity_name
 FROM {source} a LEFT JOIN employees e ON e.id = a.employee_id AND e.id % 6 <> 0"""
 
+_DQ_SILVER = """, checks AS (
+          SELECT 'silver.employee' AS table_name, 'volume' AS check_name, count(*) AS measured, count(*) >= 1 AS passed FROM employee
+          UNION ALL SELECT 'silver.employee', 'birth date in the past', count(*) FILTER (WHERE NOT date_naissance < DATE '2024-06-30'),
+            count(*) FILTER (WHERE NOT date_naissance < DATE '2024-06-30') = 0 FROM employee
+          UNION ALL SELECT 'silver.employee', 'of age', count(*) FILTER (WHERE NOT age_annees >= 18),
+            count(*) FILTER (WHERE NOT age_annees >= 18) = 0 FROM employee
+          UNION ALL SELECT 'silver.commute', 'volume', count(*), count(*) >= 1 FROM commute
+          UNION ALL SELECT 'silver.sport_profile', 'volume', count(*), count(*) >= 1 FROM sport_profile
+          UNION ALL SELECT 'silver.activity', 'volume', count(*), count(*) >= 1 FROM activity
+          UNION ALL SELECT 'silver.employee', 'unique employee_id', count(*), count(*) = 0
+            FROM (SELECT employee_id FROM employee GROUP BY 1 HAVING count(*) > 1)
+          UNION ALL SELECT 'silver.commute', 'unique employee_id', count(*), count(*) = 0
+            FROM (SELECT employee_id FROM commute GROUP BY 1 HAVING count(*) > 1)
+          UNION ALL SELECT 'silver.sport_profile', 'unique employee_id', count(*), count(*) = 0
+            FROM (SELECT employee_id FROM sport_profile GROUP BY 1 HAVING count(*) > 1)
+          UNION ALL SELECT 'silver.activity', 'unique activity_id', count(*), count(*) = 0
+            FROM (SELECT activity_id FROM activity GROUP BY 1 HAVING count(*) > 1))
+        SELECT * FROM checks"""
+
 _BATCH_QUERIES = {
     "silver_employee": "SELECT * FROM employee",
     "silver_commute": "SELECT * FROM commute",
@@ -272,24 +291,8 @@ _BATCH_QUERIES = {
         UNION ALL SELECT 'strava_activities', count(*) FROM activities""",
     "bronze_employees": "SELECT * FROM employees",
     "external_table": "SELECT pratique_sport, count(*) AS declarations FROM sports GROUP BY pratique_sport",
-    "dq_silver": """, checks AS (
-          SELECT 'silver.employee' AS table_name, 'volume' AS check_name, count(*) AS measured, count(*) >= 1 AS passed FROM employee
-          UNION ALL SELECT 'silver.employee', 'birth date in the past', count(*) FILTER (WHERE NOT date_naissance < DATE '2024-06-30'),
-            count(*) FILTER (WHERE NOT date_naissance < DATE '2024-06-30') = 0 FROM employee
-          UNION ALL SELECT 'silver.employee', 'of age', count(*) FILTER (WHERE NOT age_annees >= 18),
-            count(*) FILTER (WHERE NOT age_annees >= 18) = 0 FROM employee
-          UNION ALL SELECT 'silver.commute', 'volume', count(*), count(*) >= 1 FROM commute
-          UNION ALL SELECT 'silver.sport_profile', 'volume', count(*), count(*) >= 1 FROM sport_profile
-          UNION ALL SELECT 'silver.activity', 'volume', count(*), count(*) >= 1 FROM activity
-          UNION ALL SELECT 'silver.employee', 'unique employee_id', count(*), count(*) = 0
-            FROM (SELECT employee_id FROM employee GROUP BY 1 HAVING count(*) > 1)
-          UNION ALL SELECT 'silver.commute', 'unique employee_id', count(*), count(*) = 0
-            FROM (SELECT employee_id FROM commute GROUP BY 1 HAVING count(*) > 1)
-          UNION ALL SELECT 'silver.sport_profile', 'unique employee_id', count(*), count(*) = 0
-            FROM (SELECT employee_id FROM sport_profile GROUP BY 1 HAVING count(*) > 1)
-          UNION ALL SELECT 'silver.activity', 'unique activity_id', count(*), count(*) = 0
-            FROM (SELECT activity_id FROM activity GROUP BY 1 HAVING count(*) > 1))
-        SELECT * FROM checks""",
+    "dq_silver": _DQ_SILVER,
+    "dq_observed": _DQ_SILVER,
     "dq_duplicated_keys": """SELECT address, count(*) AS occurrences
         FROM (SELECT CASE WHEN id % 9 <> 0 THEN adresse_complete END AS address FROM employees)
         GROUP BY address HAVING count(*) > 1""",
@@ -301,6 +304,16 @@ _BATCH_QUERIES = {
           UNION ALL SELECT 'nom', 'not_nullable', NULL, prenom FROM employees WHERE id % 10 = 4
           UNION ALL SELECT 'salaire_brut', 'greater_than(0)', '0', prenom FROM employees WHERE id % 10 = 5
           UNION ALL SELECT 'nb_conges_payes', 'in_range(0, 100)', '101', prenom FROM employees WHERE id % 10 = 7)""",
+    "dq_incremental": """, parents AS (
+          SELECT id FROM employees
+          UNION ALL SELECT id FROM employees WHERE id % 4 <> 1 AND id % 7 = 2 AND id % 14 <> 2
+        ), children AS (SELECT CASE WHEN activity_id % 6 = 0 THEN -employee_id - 1 ELSE employee_id END AS id FROM activities),
+        found AS (
+          SELECT 'unique' AS check_name, count(*) AS measured FROM (SELECT id FROM parents GROUP BY id HAVING count(*) > 1)
+          UNION ALL SELECT 'references', count(*) FROM children c WHERE NOT EXISTS (SELECT 1 FROM parents p WHERE p.id = c.id))
+        SELECT *, measured = 0 AS passed FROM found""",
+    "schema_change": """SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(CASE WHEN c_custkey % 3 = 0 THEN floor(c_acctbal) ELSE c_acctbal END AS DOUBLE) AS c_acctbal,
+          CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer""",
     "dq_orphans": """SELECT employee_id, count(*) AS child_rows FROM (
           SELECT CAST(-employee_id - 1 AS INTEGER) AS employee_id FROM activities WHERE employee_id % 20 = 0
           UNION ALL SELECT employee_id FROM activities WHERE employee_id % 20 > 1) a
@@ -346,7 +359,15 @@ _BATCH_QUERIES = {
     "stream_cdc_upsert": """SELECT n.* EXCLUDE (seq) REPLACE (o.created_at AS created_at) FROM activities_now n
         JOIN (SELECT * FROM activity_log QUALIFY row_number() OVER (PARTITION BY activity_id ORDER BY seq) = 1) o
         USING (activity_id)""",
+    "cdc_order": """SELECT activity_id, CAST(CASE WHEN activity_id % 6 = 0 AND activity_id % 10 <> 0 THEN employee_id + 1 ELSE employee_id END AS INTEGER) AS employee_id,
+          CAST(CASE WHEN activity_id % 14 = 0 AND activity_id % 6 <> 0 AND activity_id % 10 <> 0 THEN -1 ELSE distance_m END AS INTEGER) AS distance_m,
+          CASE WHEN activity_id % 10 = 0 THEN start_date_utc - INTERVAL 366 DAY ELSE start_date_utc END AS start_date_utc
+        FROM activities""",
+    "cdc_no_key": "SELECT 'no key' AS reason, count(*) AS messages FROM activities WHERE activity_id % 50 = 1",
     "stream_wellbeing_complete": "SELECT * FROM wellbeing",
+    "stream_wellbeing_update": "SELECT * FROM wellbeing",
+    "stream_notifications_once": _NOTIFICATION.format(key="", source="activities"),
+    "stream_restart": _NOTIFICATION.format(key="", source="activities"),
     "stream_distance_answers": f"""
         SELECT * EXCLUDE (last_updated) FROM distances
         UNION ALL BY NAME
@@ -365,6 +386,9 @@ _CURRENT_QUERIES = {
           w.nb_activities_year, w.first_activity_date, w.last_activity_date
         FROM bonus_input b JOIN sport_profile p USING (employee_id) LEFT JOIN wellbeing w USING (employee_id)""",
     "stream_wellbeing_recompute": "SELECT * FROM wellbeing",
+    "stream_wellbeing_delta": """SELECT employee_id, activity_year AS year, count(*) AS nb_activities_year,
+          min(activity_date) AS first_activity_date, max(activity_date) AS last_activity_date
+        FROM activity WHERE activity_year = 2024 AND activity_id % 15 <> 0 GROUP BY ALL""",
     "stream_distance_requests": f"""
         SELECT {_PAIR} FROM (SELECT DISTINCT adresse_complete FROM commute) c
         WHERE adresse_complete IS NOT NULL AND NOT EXISTS (

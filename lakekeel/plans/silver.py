@@ -78,13 +78,16 @@ def _carried(raw: DataFrame) -> list[str]:
     return [c for c in raw.columns if c in ("_seq", "_deleted")]
 
 
-def employee_quality(df: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+def employee_checks(as_of: dt.date | str | None = None) -> list[RowCheck]:
     today = "current_date()" if as_of is None else f"DATE '{as_of}'"
-    checks = [
+    return [
         RowCheck("birth date in the past", f"date_naissance < {today}"),
         RowCheck("of age", f"age_annees >= {ADULT_AGE}"),
     ]
-    return report(df, "silver.employee", checks, unique=[["employee_id"]])
+
+
+def employee_quality(df: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+    return report(df, "silver.employee", employee_checks(as_of), unique=[["employee_id"]])
 
 
 def commute_quality(df: DataFrame) -> DataFrame:

@@ -11,16 +11,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakekeel import schemas, standins as s
 from lakekeel.functions import measures, temporal
 from lakekeel.operators import changes, quality
+from lakekeel.operators.incremental import KeyChecks, key_counts
 from lakekeel.operators.joins import orphans
 from lakekeel.operators.project import renamed
 from lakekeel.operators.upsert import latest_per_key, upsert
 from lakekeel.plans import distance, gold, landing, notify, serving, silver
-from lakekeel.plans.lake import Lake, bronze_snapshot, full_load
+from lakekeel.plans.lake import Lake, bronze_snapshot, checked_replace, full_load
 from lakekeel.session import configure, workspace
 from lakekeel.sources import files
 from lakekeel.sources.tables import LakeTable, register_external
 from lakekeel.sources.topics import FolderTopic
-from lakekeel.streaming.cycle import IncrementalCycle, drain, run_notifications, run_wellbeing_totals
+from lakekeel.sources.versions import VersionedSnapshots
+from lakekeel.streaming.cycle import (
+    IncrementalCycle, drain, notified_log, run_notifications, run_wellbeing_totals, run_wellbeing_updates,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -359,6 +363,29 @@ def cdc_latest(spark, sf):
     return newest.withColumnRenamed("_seq", "seq")
 
 
+MIXED = "activity_id bigint, employee_id int, distance_m int, start_date_utc timestamp"
+
+
+def _mixed_changes(spark, sf) -> DataFrame:
+    topic = _topic(spark, s.mixed_messages(spark, sf), f"{workspace(spark, 'cdc')}/mixed")
+    return changes.parse_changes(topic.read(spark), MIXED, ["activity_id"], ordered=True)
+
+
+@query
+def cdc_order(spark, sf):
+    """Changes with a log position are newer than those with an event time, and these than silent ones."""
+    rows = changes.accepted(_mixed_changes(spark, sf))
+    silent = changes.order_vector(changes.BY_BATCH, F.lit(1))
+    newest = latest_per_key(rows.withColumn("_seq", F.coalesce("_seq", silent)), ["activity_id"], ["_seq"])
+    return newest.select("activity_id", "employee_id", "distance_m", "start_date_utc")
+
+
+@query
+def cdc_no_key(spark, sf):
+    """Changes without a key are set aside, each of them."""
+    return changes.rejected(_mixed_changes(spark, sf)).groupBy("reason").agg(F.count("*").alias("messages"))
+
+
 def _order_versions(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Orders as a target without every 15th, and a source with every 3rd order changed: each order is in one or both."""
     orders = s.table(spark, sf, "orders").select(
@@ -403,6 +430,48 @@ def keyed_table(spark, sf):
     return table.snapshot()
 
 
+@query
+def dq_observed(spark, sf):
+    """The checks of the silver tables, measured by the jobs that write them."""
+    lake = Lake(spark, f"{workspace(spark, 'observed')}/lake")
+    people = s.employees(spark, sf)
+    return checked_replace([
+        (lake.employee, silver.employee(people, s.AS_OF), "silver.employee", silver.employee_checks(s.AS_OF)),
+        (lake.commute, silver.commute(people).withColumns({c: F.lit(None) for c in distance.MEASURES}), "silver.commute", []),
+        (lake.sport_profile, silver.sport_profile(s.sports(spark, sf)), "silver.sport_profile", []),
+        (lake.activity, silver.activity(s.activities(spark, sf)), "silver.activity", []),
+    ])
+
+
+@query
+def dq_incremental(spark, sf):
+    """Employees and activities in three batches: late parents, a parent twice, children moved and taken away."""
+    checks = KeyChecks(spark, f"{workspace(spark, 'keys')}/checks", parts=16)
+    people, rows = s.employees(spark, sf).select("id"), s.activities(spark, sf).select("activity_id", "employee_id")
+    early, late = people.filter("id % 4 <> 1"), people.filter("id % 4 = 1")
+    moved = rows.filter("activity_id % 6 = 0")
+    gone, come = key_counts(moved, "employee_id", -1), key_counts(moved.withColumn("employee_id", -F.col("employee_id") - 1), "employee_id")
+    batches = [
+        (key_counts(early, "id"), key_counts(rows, "employee_id")),
+        (key_counts(late.unionByName(early.filter("id % 7 = 2")), "id"), gone.unionByName(come)),
+        (key_counts(early.filter("id % 14 = 2"), "id", -1), None),
+    ]
+    for number, (parents, children) in enumerate(batches, 1):
+        checks.apply(number, parents, children)
+    checks.apply(3, *batches[2])  # a batch that comes again
+    return checks.report()
+
+
+@query
+def schema_change(spark, sf):
+    """Two generations of customers: the later one has a wider key, a wider balance and a column more."""
+    table = VersionedSnapshots(spark, f"{workspace(spark, 'versions')}/customers")
+    rows = s.table(spark, sf, "customer")
+    table.add(rows.filter("c_custkey % 3 = 0").select(F.col("c_custkey").cast("int"), "c_name", F.floor("c_acctbal").cast("int").alias("c_acctbal")))
+    table.add(rows.filter("c_custkey % 3 <> 0").select("c_name", F.col("c_custkey").cast("bigint"), "c_mktsegment", F.col("c_acctbal").cast("double")))
+    return table.read().drop("_version")
+
+
 # Streams
 
 
@@ -464,6 +533,34 @@ def stream_wellbeing_recompute(spark, sf):
     return cycle.lake.wellbeing_of(s.AS_OF)
 
 
+@query
+def stream_wellbeing_delta(spark, sf):
+    """Creations; then moves and late old rows; then deletes, and the moves once more: counts kept by signed changes."""
+    cycle = _cycle(spark, sf)
+    cycle.apply_deletes = True
+    messages = s.activity_messages(spark, sf).withColumn("op", F.coalesce(F.get_json_object("value", "$.op"), F.get_json_object("value", "$.payload.op")))
+    created, moved = messages.filter("op = 'c'").select("value"), messages.filter("op = 'u'").select("value")
+    for name, sent in (("created", created), ("moved", moved), ("again", moved.unionByName(s.activity_removals(spark, sf)))):
+        cycle.activities.send(sent, name)
+        cycle.process_activities()
+        cycle.process_wellbeing()
+    return cycle.lake.wellbeing_of(s.AS_OF)
+
+
+@query
+def stream_wellbeing_update(spark, sf):
+    """Every activity arrives twice; a batch writes only the totals it changed."""
+    root = workspace(spark, "stream")
+    rows = silver.activity(s.activities(spark, sf))
+    for _ in range(2):
+        files.append_lake(rows, f"{root}/activity")
+    found = len([name for name in files.children(spark, f"{root}/activity") if name.startswith("part-")])
+    arriving = spark.readStream.schema(schemas.SILVER_ACTIVITY).option("maxFilesPerTrigger", math.ceil(found / 3)).parquet(f"{root}/activity")
+    totals = LakeTable(spark, f"{root}/wellbeing", schemas.GOLD_WELLBEING, ["employee_id", "year"])
+    run_wellbeing_updates(arriving, totals, f"{root}/checkpoint", s.AS_OF)
+    return totals.snapshot()
+
+
 @query
 def stream_wellbeing_complete(spark, sf):
     """Every activity arrives twice and counts once."""
@@ -503,6 +600,10 @@ def stream_notifications(spark, sf):
     outbox = FolderTopic(f"{root}/outbox")
     known = s.employees(spark, sf).filter(F.col("id") % 6 != 0)
     run_notifications(topic, outbox, lambda: known, spark, f"{root}/checkpoint")
+    return _payloads(outbox, spark)
+
+
+def _payloads(outbox: FolderTopic, spark: SparkSession) -> DataFrame:
     fields = (
         "employee_id int, employee_fullname string, employee_firstname string, "
         "employee_lastname string, distance_km double, activity_name string"
@@ -510,6 +611,33 @@ def stream_notifications(spark, sf):
     return outbox.read(spark).select(F.from_json("value", fields).alias("p")).select("p.*")
 
 
+def _told(spark, sf, rounds) -> DataFrame:
+    """What was told of after some rounds of (messages, name of the checkpoint)."""
+    root = workspace(spark, "stream")
+    topic, outbox = FolderTopic(f"{root}/topic"), FolderTopic(f"{root}/outbox")
+    known = s.employees(spark, sf).filter(F.col("id") % 6 != 0)
+    for number, (messages, checkpoint) in enumerate(rounds):
+        if messages is not None:
+            topic.send(messages, f"round-{number}")
+        run_notifications(topic, outbox, lambda: known, spark, f"{root}/{checkpoint}", notified_log(spark, f"{root}/notified"))
+    return _payloads(outbox, spark)
+
+
+@query
+def stream_notifications_once(spark, sf):
+    """Every message twice in one topic; each activity is told of once."""
+    messages = s.activity_messages(spark, sf)
+    return _told(spark, sf, [(messages.unionByName(messages), "checkpoint")])
+
+
+@query
+def stream_restart(spark, sf):
+    """A drain, a second one from the same checkpoint with old and new messages, and a third with a renewed checkpoint."""
+    messages = s.activity_messages(spark, sf)
+    some = messages.filter(F.pmod(F.xxhash64("value"), F.lit(3)) > 0)
+    return _told(spark, sf, [(some, "checkpoint"), (messages, "checkpoint"), (None, "renewed")])
+
+
 # Whole load
 
 

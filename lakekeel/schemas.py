@@ -1,5 +1,7 @@
 """Table schemas, as DDL strings accepted by every Spark reader and ``from_json``."""
 
+from pyspark.sql import types as T
+
 # Operational tables.
 EMPLOYEES = """
     id int, nom string, prenom string, date_naissance date, date_embauche date,
@@ -92,5 +94,5 @@ GOLD_WELLBEING = """
 
 
 def column_names(ddl: str) -> list[str]:
-    """Top-level column names of a flat DDL string."""
-    return [field.split()[0] for field in ddl.split(",")]
+    """Top-level column names of a DDL string."""
+    return T.StructType.fromDDL(ddl).names

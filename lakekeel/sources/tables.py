@@ -7,12 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakekeel.operators.changes import DELETED, SEQ
+from lakekeel.operators.changes import DELETED, ORDER_TYPE, SEQ
 from lakekeel.operators.joins import any_null
 from lakekeel.operators.project import conformed
 from lakekeel.operators.upsert import latest_per_key, upsert
 from lakekeel.schemas import column_names
-from lakekeel.sources.files import EVERY_AGE, children, path_exists, remove, size_of
+from lakekeel.sources.files import EVERY_AGE, children, path_exists, remove, size_of, touch
+from lakekeel.sources.hashed import PART, PARTS
 
 FIRST = "_first_seq"
 _FOLDER = re.compile(r"(base|merge|change)-(\d+)(?:-(.+))?")
@@ -27,6 +28,9 @@ class LakeTable:
     so a lost executor or a restarted driver leaves no half-applied batch. ``fmt``
     is any file format whose commit leaves ``_SUCCESS`` (Parquet, ORC). One driver
     writes a table at a time. Formats with their own MERGE use ``merge_into``.
+
+    With ``hash_by``, a column, a base lies in ``parts`` partitions by its hash, and
+    a look-up that names values of it reads only theirs.
     """
 
     def __init__(
@@ -39,13 +43,16 @@ class LakeTable:
         insert_only: Sequence[str] = (),
         fmt: str = "parquet",
         partition_by: Sequence[str] = (),
+        hash_by: str | None = None,
+        parts: int = PARTS,
     ):
         self.spark, self.path, self.fmt = spark, path.rstrip("/"), fmt
         self.columns = column_names(schema)
         self.keys, self.order_by = list(keys), list(order_by)
-        self.partition_by = list(partition_by)
+        self.partition_by = [PART] if hash_by else list(partition_by)
+        self.hash_by, self.parts = hash_by, parts
         self.insert_only = [*insert_only, FIRST] if insert_only else []
-        extra = [f"{c} bigint" for c in [*order_by, *([FIRST] if insert_only else [])]]
+        extra = [f"{c} {ORDER_TYPE}" for c in [*order_by, *([FIRST] if insert_only else [])]]
         self.stored_schema = ", ".join([schema.strip(), *extra, f"{DELETED} boolean"])
 
     def _folders(self) -> list[tuple[str, int, str | None, str]]:
@@ -81,13 +88,33 @@ class LakeTable:
         reader = self.spark.read.schema(self.stored_schema).format(self.fmt)
         return reader.load([f"{self.path}/{name}" for name in names])
 
-    def _write(self, rows: DataFrame, kind: str, generation: int) -> None:
+    def _place(self) -> F.Column:
+        return F.pmod(F.xxhash64(self.hash_by), F.lit(self.parts)).cast("int")
+
+    def _base(self, name: str | None, within: DataFrame | None = None) -> DataFrame:
+        """The base's rows; of those that ``within`` names only the partitions they can lie in."""
+        if not name:
+            return self._read([])
+        hashed = self.hash_by and any(c.startswith(f"{PART}=") for c in children(self.spark, f"{self.path}/{name}"))
+        if not hashed:
+            return self._within(self._read([name]), within)
+        rows = self.spark.read.schema(f"{self.stored_schema}, {PART} int").format(self.fmt).load(f"{self.path}/{name}")
+        if within is not None and self.hash_by in within.columns:
+            found = within.select(self._place().alias(PART)).distinct().collect()  # at most as many as there are parts
+            rows = rows.filter(F.col(PART).isin([r[0] for r in found]))
+        return self._within(rows, within).select(*column_names(self.stored_schema))
+
+    def _write(self, rows: DataFrame, kind: str, generation: int, commit: bool = True) -> None:
+        if kind == "base" and self.hash_by:
+            rows = rows.withColumn(PART, self._place())
         if kind == "base" and self.partition_by:
             # Files of one size per partition value, however unevenly rows spread over the values.
             rows = rows.hint("rebalance", *map(F.col, self.partition_by))
             writer = rows.write.partitionBy(*self.partition_by)
         else:
             writer = rows.write
+        # Without the mark of a committed job the folder doesn't count yet.
+        writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(commit).lower())
         writer.format(self.fmt).mode("overwrite").save(f"{self.path}/{kind}-{generation:010d}")
 
     def _stored(self, rows: DataFrame) -> DataFrame:
@@ -131,7 +158,7 @@ class LakeTable:
         """Every stored version since the last compaction, deletes included."""
         base, changes = self._committed()
         columns = column_names(self.stored_schema)
-        return self._read([base] if base else []).select(*columns).unionByName(self._read(changes))
+        return self._base(base).select(*columns).unionByName(self._read(changes))
 
     def _one_per_key(self, rows: DataFrame) -> DataFrame:
         """The newest row per key. NULL keys never meet, so those rows all stay."""
@@ -147,12 +174,12 @@ class LakeTable:
     def _merged(self, within: DataFrame | None = None) -> DataFrame:
         base, changes = self._committed()
         if not changes:
-            return self._within(self._read([base] if base else []), within)
+            return self._base(base, within)
         newest = self._newest(changes, within)
         if not base:
             return newest
         first_by = FIRST if self.insert_only else None
-        stored = self._within(self._read([base]).select(*newest.columns), within)
+        stored = self._base(base, within).select(*newest.columns)
         return upsert(stored, newest, self.keys, self.insert_only, self.order_by, first_by)
 
     def versioned(self, within: DataFrame | None = None) -> DataFrame:
@@ -177,14 +204,31 @@ class LakeTable:
 
         The base before stays until the next time, for readers still on it.
         """
-        stored, (earlier, _) = self._stored(rows), self._committed()
+        self.publish(self.stage(rows, resolved))
+
+    def stage(self, rows: DataFrame, resolved: bool = True) -> int:
+        """Write what :meth:`replace` would, without making it the table yet; returns its number."""
+        stored = self._stored(rows)
         rows = stored if resolved else self._one_per_key(stored)
         generation = max([f[1] for f in self._folders()], default=0) + 1
-        self._write(rows, "base", generation)
+        self._write(rows, "base", generation, commit=False)
+        return generation
+
+    def staged(self, generation: int) -> DataFrame:
+        return self._base(f"base-{generation:010d}")
+
+    def publish(self, generation: int) -> None:
+        """Make a staged base the table."""
+        earlier, _ = self._committed()
+        touch(self.spark, f"{self.path}/base-{generation:010d}/_SUCCESS")
         for kind, number, _, name in self._folders():
             if kind == "base" and number < generation and name != earlier:
                 remove(self.spark, f"{self.path}/{name}")
 
+    def discard(self, generation: int) -> None:
+        """Take a staged base away again."""
+        remove(self.spark, f"{self.path}/base-{generation:010d}")
+
     def compact(self, after: int = 0, share: float = 0.25) -> bool:
         """Fold the changes together once they lie in more than ``after`` folders.
 

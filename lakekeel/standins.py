@@ -242,6 +242,31 @@ def activity_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+def activity_removals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes of every 15th activity after its other changes; the row stands under ``before``."""
+    rows = activities(spark, sf_dir).filter(F.col("activity_id") % 15 == 0)
+    before = F.struct("activity_id", "employee_id")
+    record = F.struct(F.lit("d").alias("op"), before.alias("before"), F.struct((F.col("activity_id") * 10 + 8).alias("lsn")).alias("source"))
+    return rows.select(F.to_json(record).alias("value"))
+
+
+def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes that tell their order in different ways: log positions (small numbers), event times (large ones) or not at all.
+
+    Every 50th message has no key.
+    """
+    log = activity_log(spark, sf_dir)
+    key, seq, logged = F.col("activity_id"), F.col("seq"), (F.col("op") == "u") & (F.col("seq") % 10 != 5)
+    logged = logged | ((F.col("op") == "u") & (F.col("distance_m") != -1))
+    time = F.lit(1_700_000_000_000) + seq + F.when(F.col("distance_m") == -1, 9_000_000_000).otherwise(0)
+    shown = log.select("op", "activity_id", "employee_id", "distance_m", F.unix_micros("start_date_utc").cast("string").alias("start_date_utc"), F.when(logged, seq).alias("lsn"), F.when(~logged, time).alias("ts_ms"))
+    silent = shown.filter((F.col("op") == "c") & (key % 5 == 3)).withColumns({"op": F.lit("r"), "distance_m": F.lit(-2), "lsn": F.lit(None).cast("bigint"), "ts_ms": F.lit(None).cast("bigint")})
+    nameless = shown.filter((F.col("op") == "c") & (key % 50 == 1)).withColumn("activity_id", F.lit(None).cast("bigint"))
+    after = F.struct("activity_id", "employee_id", "distance_m", "start_date_utc")
+    record = F.to_json(F.struct("op", after.alias("after"), F.struct("lsn").alias("source"), "ts_ms"))
+    return shown.unionByName(silent).unionByName(nameless).select(record.alias("value"))
+
+
 def landing_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employees under the display headers of a landing file, dates day first without padding."""
     from lakekeel.schemas import EMPLOYEE_HEADERS

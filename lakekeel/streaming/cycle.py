@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -14,13 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakekeel import schemas
 from lakekeel.functions.temporal import reference_day
-from lakekeel.operators.changes import DELETED, SEQ, accepted, inserts, parse_changes, rejected
+from lakekeel.operators.changes import BY_BATCH, DELETED, SEQ, accepted, inserts, order_vector, parse_changes, rejected
+from lakekeel.operators.upsert import latest_per_key
 from lakekeel.plans import distance, gold, silver
-from lakekeel.plans.lake import Lake, keyed_wellbeing
+from lakekeel.plans.lake import Lake, residents
 from lakekeel.plans.notify import NOTIFIED, notification_messages, notifications
 from lakekeel.session import together
+from lakekeel.sources.hashed import BATCH, PARTS, HashedLog
 from lakekeel.sources.tables import LakeTable
 from lakekeel.sources.topics import Topic
+from lakekeel.streaming.deltas import counted_whole
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -155,7 +159,8 @@ class IncrementalCycle:
 
         Messages that say nothing about their order count in order of arrival.
         """
-        parsed = parse_changes(batch, schema).withColumn(SEQ, F.coalesce(SEQ, F.lit(table.generation(name))))
+        parsed = parse_changes(batch, schema, table.keys, ordered=True, deletes=self.apply_deletes)
+        parsed = parsed.withColumn(SEQ, F.coalesce(SEQ, order_vector(BY_BATCH, F.lit(table.generation(name)))))
         aside = rejected(parsed).write.mode("overwrite")
         return together(
             partial(table.apply, accepted(parsed, self.apply_deletes), name),
@@ -169,10 +174,11 @@ class IncrementalCycle:
         cache = lake.distances.versioned(within=_addresses(ways))
         wanted = distance.missing_requests(ways.filter(~F.col(DELETED)), cache, self.destination, self.retry_failed)
         stamped = distance.stamped_commute(ways, cache, self.destination)
-        people, ways, _ = together(
+        people, ways, _, _ = together(
             partial(lake.employee.apply, silver.employee(rows, self.as_of), name, resolved=True),
             partial(lake.commute.apply, stamped, name, resolved=True),
             partial(self.requests.send, distance.request_messages(wanted), name),
+            partial(lake.known_residents().append, residents(ways), lake.commute.generation(name)),
         )
         lake.bonus_input.apply(gold.bonus_input(people, ways, self.as_of), name, resolved=True)
 
@@ -195,7 +201,7 @@ class IncrementalCycle:
         stamped = answered.withColumns({SEQ: F.lit(generation), "last_updated": F.current_timestamp()})
         cached = lake.distances.apply(stamped, name)
         addresses = cached.select(F.col("origin_address").alias("adresse_complete")).distinct()
-        lived_at = lake.commute.history().join(addresses, "adresse_complete", "left_semi").select("employee_id").distinct()
+        lived_at = lake.known_residents().read(addresses).select("employee_id").distinct()
         ways = lake.commute.versioned(within=lived_at).drop(*distance.MEASURES, "_cache_seq")
         ways = distance.stamped_commute(ways, cached, self.destination).filter(F.col("_cache_seq") == generation)
         ways = lake.commute.apply(ways, name, resolved=True)
@@ -216,27 +222,25 @@ class IncrementalCycle:
         self.lake.activity.apply(silver.activity(rows), name, resolved=True)
 
     def _apply_wellbeing(self, batch: DataFrame, batch_id: int) -> None:
-        """Recount every (employee, year) the changed activities belong to or belonged to, whatever the year.
+        """Bring the counts of every (employee, year) up to date that the changed activities belong or belonged to.
 
-        Counting again from current rows makes updates, moves between years or
-        employees and repeated batches exact. A pair left without activities goes.
+        Signed changes follow from the images of the batch's own activities, so
+        updates, moves between years or employees and repeated batches are exact
+        and other activities aren't read. A pair left without activities goes.
+        Where there are no images yet, all activities are counted once.
         """
         if batch.isEmpty():
             return
-        lake, pair = self.lake, ["_who", "year"]
-        name, changed = batch_name(batch, "wellbeing", batch_id), batch.select("activity_id").distinct()
-        touched = (
-            lake.activity.history()
-            .join(changed, "activity_id", "left_semi")
-            .select("employee_id", F.col("activity_year").alias("year"))
-            .distinct()
-        )
-        touched = keyed_wellbeing(touched).drop("employee_id")
-        current = keyed_wellbeing(lake.activity.snapshot()).withColumn("year", F.col("activity_year"))
-        mine = current.join(touched, pair, "left_semi").drop("_who", "year")
-        counts = keyed_wellbeing(gold.wellbeing_counts(mine, all_years=True))
-        recounted = touched.join(counts, pair, "left").withColumns(
-            {DELETED: F.col("nb_activities_year").isNull(), SEQ: F.lit(lake.wellbeing.generation(name))}
+        lake = self.lake
+        name = batch_name(batch, "wellbeing", batch_id)
+        number = lake.wellbeing.generation(name)
+        if not lake.signed.exists():
+            lake.wellbeing.replace(counted_whole(lake.activity.snapshot()))
+            lake.signed.seed(lake.activity.versioned())
+            return
+        touched = lake.signed.apply(batch, number)
+        recounted = touched.join(lake.signed.counts(touched), ["_who", "year"], "left").withColumns(
+            {DELETED: F.col("nb_activities_year").isNull(), SEQ: F.lit(number)}
         )
         lake.wellbeing.apply(recounted, name, resolved=True)
 
@@ -261,18 +265,62 @@ def run_wellbeing_totals(
     drain(totals, replace, checkpoint, mode="complete")
 
 
+def run_wellbeing_updates(
+    changes: DataFrame, target: LakeTable, checkpoint: str, as_of: dt.date | str | None = None
+) -> None:
+    """As :func:`run_wellbeing_totals`, but only groups that a batch changed are written, as one batch of ``target``.
+
+    The grouped state holds every total; update mode hands out the changed ones,
+    and the target keeps the newest row of each group.
+    """
+    current = changes.filter(F.col("activity_year") == F.year(reference_day(as_of)))
+    totals = gold.wellbeing_counts(current.dropDuplicates(["activity_id"]), as_of)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            name = batch_name(batch, "totals", batch_id)
+            target.apply(batch.withColumn(SEQ, F.lit(target.generation(name))), name, resolved=True)
+
+    drain(totals, merge, checkpoint, mode="update")
+
+
 def run_notifications(
     topic: Topic,
     outbox: Topic,
     employees: Callable[[], DataFrame],
     spark: SparkSession,
     checkpoint: str,
+    notified: HashedLog | None = None,
 ) -> None:
-    """New activities to notification messages; employees are read anew for every batch."""
+    """New activities to notification messages; employees are read anew for every batch.
+
+    With ``notified``, a log of the activities told of, an activity is told of
+    once, however often its creation is delivered, also under a renewed
+    checkpoint; a batch that comes again sends what it had sent.
+    """
 
     def send(batch: DataFrame, batch_id: int) -> None:
-        created = inserts(parse_changes(batch, NOTIFIED))
+        name = batch_name(batch, "notifications", batch_id)
+        keys = ["activity_id"] if notified else []
+        created = inserts(parse_changes(batch, NOTIFIED, keys, ordered=bool(notified)))
+        if notified:
+            number = named_number(name)
+            created = latest_per_key(created, keys, [SEQ])
+            earlier = notified.read(created.select(*keys).distinct()).filter(F.col(BATCH) != number)
+            created = created.join(earlier.select(*keys), keys, "left_anti")
         payloads = notifications(created, employees())
-        outbox.send(notification_messages(payloads), f"batch-{batch_id}")
+        outbox.send(notification_messages(payloads), name)
+        if notified:
+            notified.append(created.select(*keys), number)
 
     drain(topic.stream(spark), send, checkpoint)
+
+
+def named_number(name: str) -> int:
+    """A number for a batch's name, the same whenever it is sent."""
+    return int.from_bytes(hashlib.sha256(name.encode()).digest()[:7])
+
+
+def notified_log(spark: SparkSession, path: str, parts: int = PARTS) -> HashedLog:
+    """The activities told of, for :func:`run_notifications`."""
+    return HashedLog(spark, path, "activity_id bigint", ["activity_id"], parts)
