@@ -11,7 +11,7 @@ nothing but the text.
 Two fingerprints are compared by subtracting their sketches, brought to a
 common size, and peeling the difference, which recovers the paragraphs that
 only one text has; pairs whose difference leaves cells over are tried again
-with twice the cells.
+with four times the cells.
 
 Everything is DataFrame operations. Texts are shuffled once, by ranges of
 doc_id, where the next document lies beside; digests are kept in a table
@@ -31,8 +31,8 @@ from pyspark.sql.window import Window
 from lakekeel.llm.shared import stored
 from lakekeel.session import workspace
 
-#: Cells of a sub-table for each digest, at first; each retry doubles it.
-CELLS_A_DIGEST = 0.5
+#: Cells of a sub-table for each digest and besides, at first, and how many times as many each retry has.
+CELLS_A_DIGEST, CELLS_BESIDES, LARGER = 0.5, 4, 4
 #: Rounds of peeling, each over the three sub-tables; what isn't peeled by then is tried again with a larger sketch.
 ROUNDS = 4
 #: Ranges of doc_id for each shuffle partition, and at most.
@@ -53,7 +53,7 @@ def digests(text: Column) -> Column:
 
 def _cells_for(keys: str) -> str:
     """Cells of a sub-table at the first size of the ladder."""
-    return f"cast(ceil(size({keys}) * {CELLS_A_DIGEST}) AS int) + 1"
+    return f"cast(ceil(size({keys}) * {CELLS_A_DIGEST}) AS int) + {CELLS_BESIDES}"
 
 
 def _place(table: int) -> str:
@@ -150,7 +150,7 @@ def _results(spark: SparkSession, sides: DataFrame) -> Iterator[DataFrame]:
         failed = result.where("left > 0").select("range", "row", "kind")
         if failed.isEmpty():
             return
-        factor *= 2
+        factor *= LARGER
 
 
 def _all(results: Iterator[DataFrame]) -> DataFrame:
