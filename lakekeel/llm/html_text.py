@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Generator, Iterable, Iterator
 
@@ -54,19 +55,66 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
 _UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/\Z")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_DISPLAY = re.compile(r"(?:^|[;{\s])display\s*:\s*([a-z-]+)", re.I)
+_VISIBILITY = re.compile(r"(?:^|[;{\s])visibility\s*:\s*([a-z]+)", re.I)
+#: A rule of a style sheet, and the selectors that are understood: one element by tag, id and classes.
+_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_SELECTOR = re.compile(r"\s*([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+)*)\s*\Z")
+_COMMENT, _NESTED = re.compile(r"/\*.*?(?:\*/|\Z)", re.S), re.compile(r"@[^{};]*(?:;|\{(?:[^{}]|\{[^{}]*\})*(?:\}|\Z))")
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "sheet")
 
-    def __init__(self, tag: str, attributes: dict[str, str]):
-        self.tag, self.attributes, self.children = tag, attributes, []
+    def __init__(self, tag: str, attributes: dict[str, str], sheet: Sheet | None = None):
+        self.tag, self.attributes, self.children, self.sheet = tag, attributes, [], sheet
+
+    def _style(self, pattern: re.Pattern, own: int) -> str:
+        """The value that holds of a property: the last one of the style attribute, else of the page's rules."""
+        found = pattern.findall(self.attributes["style"]) if "style" in self.attributes else None
+        return found[-1].lower() if found else self.sheet.value(self, own) if self.sheet and self.sheet.rules else ""
 
     def hidden(self) -> bool:
+        """Whether neither the element nor anything in it is drawn."""
         a = self.attributes
-        return self.tag in HIDDEN or "hidden" in a or (self.tag == "input") or bool(_UNSEEN.search(a.get("style", "")))
+        if self.tag in HIDDEN or self.tag == "input" or (self.tag == "dialog" and "open" not in a):
+            return True
+        display = self._style(_DISPLAY, 0)
+        return display == "none" or ("hidden" in a and not display)
+
+    def unseen(self, around: bool) -> bool:
+        """Whether its own text is invisible; elements in it can be visible again."""
+        value = self._style(_VISIBILITY, 1)
+        return value in ("hidden", "collapse") or (around and value != "visible")
+
+
+class Sheet:
+    """Rules of the page's style elements that hide or show elements; those for some media or with combinators don't count."""
+
+    def __init__(self) -> None:
+        self.rules: list[tuple[tuple, str, frozenset, frozenset, tuple[str, str]]] = []
+
+    def add(self, text: str) -> None:
+        if "display" not in text.lower() and "visibility" not in text.lower():
+            return
+        for selectors, body in _RULE.findall(_NESTED.sub("", _COMMENT.sub("", text))):
+            shown = tuple((p.findall(body) or [""])[-1].lower() for p in (_DISPLAY, _VISIBILITY))
+            for selector in selectors.split(",") if any(shown) else ():
+                one = _SELECTOR.match(selector)
+                if one and (one[1] or one[2]):
+                    ids, classes = (frozenset(re.findall(rf"{mark}([\w-]+)", one[2])) for mark in ("#", r"\."))
+                    tag = "" if one[1] in (None, "*") else one[1].lower()
+                    rank = (len(ids), len(classes), bool(tag), len(self.rules))
+                    self.rules.append((rank, tag, ids, classes, shown))
+
+    def value(self, node: Node, own: int) -> str:
+        classes, name = frozenset(node.attributes.get("class", "").split()), node.attributes.get("id")
+        fits = [
+            (rank, shown[own]) for rank, tag, ids, needed, shown in self.rules
+            if shown[own] and (not tag or tag == node.tag) and needed <= classes and (not ids or ids == {name})
+        ]
+        return max(fits)[1] if fits else ""
 
 
 class _Path:
@@ -94,7 +142,8 @@ class _Path:
 
 def tree(page: str) -> Node:
     """The page's elements; missing end tags are implied, stray ones ignored."""
-    root = Node("html", {})
+    sheet = Sheet()
+    root = Node("html", {}, sheet)
     path, at, end = _Path(root), 0, len(page)
     while at < end:
         token = _TOKEN.match(page, at)
@@ -121,7 +170,11 @@ def tree(page: str) -> Node:
         foreign = path.foreign()
         if foreign and (tag in UNDRAWN or attributes.get("display") == "none" or attributes.get("visibility") in ("hidden", "collapse")):
             attributes["hidden"] = ""
-        node = Node(tag, attributes)
+        if tag in ("td", "th") and path.nodes[-1].tag in ("table", "thead", "tbody", "tfoot"):  # a row is implied
+            row = Node("tr", {}, sheet)
+            path.nodes[-1].children.append(row)
+            path.push(row)
+        node = Node(tag, attributes, sheet)
         path.nodes[-1].children.append(node)
         if (foreign or tag in FOREIGN) and token[3].endswith("/") and not _UNQUOTED.search(token[3]):
             continue
@@ -129,6 +182,8 @@ def tree(page: str) -> Node:
             stop = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, at)
             inner = page[at : stop.start() if stop else end]
             node.children.append(html.unescape(inner) if tag == "textarea" else inner)
+            if tag == "style" and not foreign:
+                sheet.add(inner)
             at = stop.start() if stop else end
             closing = _TOKEN.match(page, at) if stop else None
             at = closing.end() if closing else at
@@ -227,34 +282,49 @@ def _deeper(prefix: str) -> str:
     return prefix + "  " if len(prefix) < INDENT else prefix
 
 
-def _render(node: Node, page: _Page, exact: bool = False) -> Generator:
-    number = 0
+def _number(text: str | None, otherwise: int) -> int:
+    return int(text.strip()) if text is not None and re.fullmatch(r"\s*[+-]?\d{1,9}\s*", text) else otherwise
+
+
+def _render(node: Node, page: _Page, exact: bool = False, unseen: bool = False) -> Generator:
+    step, closed = 1, node.tag == "details" and "open" not in node.attributes
+    if node.tag == "ol":
+        items = [c for c in node.children if not isinstance(c, str) and c.tag == "li"] if "reversed" in node.attributes else []
+        step = -1 if "reversed" in node.attributes else 1
+        number = _number(node.attributes.get("start"), len(items) if step < 0 else 1) - step
     for child in node.children:
+        if closed and (isinstance(child, str) or child.tag != "summary"):
+            continue
         if isinstance(child, str):
-            page.write(child, exact)
-        elif child.hidden():
+            if not unseen:
+                page.write(child, exact)
             continue
-        elif child.tag == "br":
+        if child.hidden():
+            continue
+        dark = child.unseen(unseen)
+        if child.tag == "br":
             if page.line:
                 page.end()
             else:
                 page.margin = max(page.margin, 2) if page.lines else 0
         elif child.tag == "hr":
             page.block(2)
-            page.write("---", False)
+            if not dark:
+                page.write("---", False)
             page.block(2)
         elif child.tag == "table" and page.tables < TABLES:
             page.block(2)
-            for line in (yield _table(child, page.tables + 1)):
+            for line in (yield _table(child, page.tables + 1, dark)):
                 page.write(line, True)
                 page.end()
             page.block(2)
         elif child.tag == "li":
-            number += 1
             outer, page.prefix = page.prefix, _deeper(page.prefix)
             page.block(1)
+            if node.tag == "ol":
+                number = _number(child.attributes.get("value"), number + step)
             page.mark = outer + (f"{number}. " if node.tag == "ol" else "- ")
-            yield _render(child, page, exact)
+            yield _render(child, page, exact, dark)
             page.block(1)
             page.prefix, page.mark = outer, ""
         else:
@@ -268,7 +338,7 @@ def _render(node: Node, page: _Page, exact: bool = False) -> Generator:
             apart = child.tag == "text" or node.tag in APART or (child.tag in ("td", "th") and page.tables >= TABLES)
             if apart:
                 page.write(" ", False)
-            yield _render(child, page, exact or child.tag in ("pre", "textarea"))
+            yield _render(child, page, exact or child.tag in ("pre", "textarea"), dark)
             if apart:
                 page.write(" ", False)
             if margin:
@@ -281,20 +351,28 @@ def _span(cell: Node, name: str, most: int) -> int:
     return min(int(span[:6]), most) if span.isdecimal() else 1
 
 
-def _table(table: Node, depth: int) -> Generator:
+def _width(text: str) -> int:
+    """Columns a text takes on a screen: wide characters two, marks upon others none."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if unicodedata.combining(c) or c in "\u200d\ufe0f" else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
+
+
+def _table(table: Node, depth: int, unseen: bool = False) -> Generator:
     """A table's caption and rows; the cells of a column begin at one place, and a cell over several rows keeps its columns free below it."""
     lines: list[str] = []
     rows: list[list[list[str]]] = []
-    waiting: list[tuple[Node | str, Node]] = [(c, table) for c in reversed(table.children)]
+    waiting: list[tuple[Node | str, Node, bool]] = [(c, table, unseen) for c in reversed(table.children)]
     group, held = table, {}
     while waiting:
-        child, owner = waiting.pop()
+        child, owner, dark = waiting.pop()
         if isinstance(child, str):
-            if child.strip():
+            if child.strip() and not dark:
                 lines.append(_BLANK.sub(" ", child).strip())
         elif child.hidden():
             continue
         elif child.tag == "tr":
+            dark = child.unseen(dark)
             if owner is not group:
                 group, held = owner, {}
             row: list[list[str]] = []
@@ -303,14 +381,14 @@ def _table(table: Node, depth: int) -> Generator:
             for cell in child.children:
                 across, down = 1, 1
                 if isinstance(cell, str):
-                    if not cell.strip():
+                    if not cell.strip() or dark:
                         continue
                     text = [_BLANK.sub(" ", cell).strip()]
                 elif cell.hidden():
                     continue
                 else:
                     inner = _Page(depth)
-                    yield _render(cell, inner)
+                    yield _render(cell, inner, unseen=cell.unseen(dark))
                     text = inner.text().split("\n")
                     across, down = max(1, _span(cell, "colspan", COLUMNS)), _span(cell, "rowspan", ROWS) or ROWS
                 while place in held:
@@ -323,21 +401,21 @@ def _table(table: Node, depth: int) -> Generator:
             rows.append(row)
             held = {i: n - 1 for i, n in (held | taken).items() if n > 1}
         elif child.tag in ("thead", "tbody", "tfoot"):
-            waiting.extend((c, child) for c in reversed(child.children))
+            waiting.extend((c, child, child.unseen(dark)) for c in reversed(child.children))
         else:
             inner = _Page(depth)
-            yield _render(child, inner)
+            yield _render(child, inner, unseen=child.unseen(dark))
             lines.extend(x for x in inner.text().split("\n") if x)
     widths: list[int] = []
     for row in rows:
         for i, cell in enumerate(row):
             if i == len(widths):
                 widths.append(0)
-            widths[i] = max(widths[i], *map(len, cell))
+            widths[i] = max(widths[i], *map(_width, cell))
     for row in rows:
         for i in range(max(map(len, row), default=0)):
             cells = (cell[i] if i < len(cell) else "" for cell in row)
-            line = "  ".join(c.ljust(w) for c, w in zip(cells, widths, strict=False)).rstrip()
+            line = "  ".join(c + " " * (w - _width(c)) for c, w in zip(cells, widths, strict=False)).rstrip()
             if line:
                 lines.append(line)
     return lines
@@ -355,7 +433,10 @@ def html_extraction(pages: DataFrame, id_col: str = "page_id", html_col: str = "
 
     NULL and empty pages have an empty text, as have pages with nothing
     visible. Broken markup never fails: unfinished tags are text, missing end
-    tags are implied. Repeated rows and NULL ids are pages like others.
+    tags and rows are implied. Hidden elements are left out, by attribute,
+    style or simple rules of the page's own style elements, and so is what a
+    closed dialog or details holds. Very long and deep pages are read whole.
+    Repeated rows and NULL ids are pages like others.
     """
     names = [f"keep_{i}" for i in range(len(keep))]
 
