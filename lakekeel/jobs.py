@@ -12,16 +12,19 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from lakekeel import schemas
+from lakekeel.operators.quality import require_new_keys
 from lakekeel.plans import landing, serving
 from lakekeel.plans.lake import Lake, full_load
 from lakekeel.session import configure
-from lakekeel.sources.files import append_lake, read_lake
+from lakekeel.sources.files import append_lake, path_exists, read_lake
 from lakekeel.sources.hashed import PARTS
 from lakekeel.sources.relational import HASH, Database, hash_predicates, range_predicates
 from lakekeel.sources.topics import FolderTopic, KafkaTopic, Topic
 from lakekeel.streaming.cycle import IncrementalCycle, notified_log, run_notifications
 
 
+#: Keys that a table has once.
+KEYS = {"rh_employees": ["id"], "sport_activities": ["id"], "strava_activities": ["activity_id"]}
 #: Numeric keys whose quantiles, and textual keys whose hash, split a database scan.
 SPLIT_ON = {"rh_employees": "id", "sport_activities": "id", "strava_activities": "activity_id"}
 HASH_ON = {"distance_cache": ("origin_address", "destination_address", "provider")}
@@ -79,8 +82,10 @@ class _Job:
     def _append(self, rows: DataFrame, name: str) -> None:
         if self.options.jdbc_url:
             self._database().append(rows, name)
-        else:
-            append_lake(rows, f"{self.options.tables}/{name}")
+        else:  # plain folders have no key constraint of their own
+            path = f"{self.options.tables}/{name}"
+            require_new_keys(rows, read_lake(self.spark, path) if path_exists(self.spark, path) else None, KEYS[name], name)
+            append_lake(rows, path)
 
     def _topic(self, name: str, starting: str = "earliest") -> Topic:
         if self.options.bootstrap:

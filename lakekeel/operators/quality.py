@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
@@ -83,6 +84,29 @@ class Observed:
         ]
 
 
+def key_conflicts(rows: DataFrame, stored: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Keys of new rows that a key constraint refuses, each once with its ``problem``: missing, repeated, present.
+
+    Rows are counted per key before they meet the stored table, of which only the key columns are read.
+    """
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    problem = F.when(missing, "missing").when(F.col("_n") > 1, "repeated")
+    found = counts.withColumn("problem", problem)
+    if stored is not None:
+        known = stored.select(*keys).distinct().withColumn("_known", F.lit(True))
+        found = found.join(known, list(keys), "left").withColumn("problem", F.coalesce("problem", F.when(F.col("_known"), "present")))
+    return found.filter("problem IS NOT NULL").select(*keys, "problem")
+
+
+def require_new_keys(rows: DataFrame, stored: DataFrame | None, keys: Sequence[str], table: str) -> None:
+    """Raise with some of the refused keys, before anything is written."""
+    bad = key_conflicts(rows, stored, keys).limit(5).collect()
+    if bad:
+        listed = "; ".join(f"{', '.join(str(r[k]) for k in keys)} {r.problem}" for r in bad)
+        raise ValueError(f"keys of {table} refused: {listed}")
+
+
 OUTCOME = "table_name string, check_name string, measured bigint, passed boolean"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -88,23 +89,33 @@ def merge_statement(
     keys: Sequence[str],
     columns: Sequence[str],
     insert_only: Sequence[str] = (),
+    order_by: Sequence[str] = (),
 ) -> str:
-    """``MERGE INTO`` with the same meaning as :func:`upsert`, for formats that support it."""
+    """``MERGE INTO`` with the same meaning as :func:`upsert`, for formats that support it.
+
+    With ``order_by`` a source row older than its target row changes nothing.
+    """
+    rank = lambda side: ", ".join(f"{side}.`{c}`" for c in order_by)
+    newer = f"AND struct({rank('s')}) >= struct({rank('t')}) " if order_by else ""
     match = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
     sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in columns if c not in insert_only)
     names = ", ".join(f"`{c}`" for c in columns)
     values = ", ".join(f"s.`{c}`" for c in columns)
     return (
         f"MERGE INTO {table} t USING {source_view} s ON {match} "
-        f"WHEN MATCHED THEN UPDATE SET {sets} "
+        f"WHEN MATCHED {newer}THEN UPDATE SET {sets} "
         f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
     )
 
 
 def merge_into(
-    source: DataFrame, table: str, keys: Sequence[str], insert_only: Sequence[str] = ()
+    source: DataFrame, table: str, keys: Sequence[str], insert_only: Sequence[str] = (), order_by: Sequence[str] = ()
 ) -> None:
-    """Run :func:`merge_statement` on a catalog table whose format supports MERGE."""
-    view = "lakekeel_merge_source"
-    source.createOrReplaceTempView(view)
-    source.sparkSession.sql(merge_statement(table, view, keys, source.columns, insert_only))
+    """Run :func:`merge_statement` on a catalog table whose format supports MERGE; ``source`` may hold several rows of a key."""
+    newest = latest_per_key(source, keys, order_by) if order_by else source
+    view = f"lakekeel_merge_{uuid.uuid4().hex}"
+    newest.createOrReplaceTempView(view)
+    try:
+        source.sparkSession.sql(merge_statement(table, view, keys, source.columns, insert_only, order_by))
+    finally:
+        source.sparkSession.catalog.dropTempView(view)

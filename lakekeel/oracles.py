@@ -214,6 +214,16 @@ _NOTIFICATION = """SELECT {key} a.employee_id,
   round(a.distance_m / CAST(1000 AS DOUBLE), 1) AS distance_km, a.name AS activity_name
 FROM {source} a LEFT JOIN employees e ON e.id = a.employee_id AND e.id % 6 <> 0"""
 
+_ANSWERED = f"""
+        SELECT * EXCLUDE (last_updated) FROM distances
+        UNION ALL BY NAME
+        SELECT a.* FROM ({_ADDED_ANSWERS}) a
+        WHERE a.origin_address IN (SELECT adresse_complete FROM commute)"""
+
+_LOADED = """SELECT b.*, w.nb_activities_year,
+          CAST(CASE WHEN w.nb_activities_year >= 15 THEN 5 WHEN w.nb_activities_year IS NOT NULL THEN 0 END AS INTEGER) AS extra_days
+        FROM bonus b LEFT JOIN wellbeing w USING (employee_id)"""
+
 _DQ_SILVER = """, checks AS (
           SELECT 'silver.employee' AS table_name, 'volume' AS check_name, count(*) AS measured, count(*) >= 1 AS passed FROM employee
           UNION ALL SELECT 'silver.employee', 'birth date in the past', count(*) FILTER (WHERE NOT date_naissance < DATE '2024-06-30'),
@@ -304,6 +314,19 @@ _BATCH_QUERIES = {
           UNION ALL SELECT 'nom', 'not_nullable', NULL, prenom FROM employees WHERE id % 10 = 4
           UNION ALL SELECT 'salaire_brut', 'greater_than(0)', '0', prenom FROM employees WHERE id % 10 = 5
           UNION ALL SELECT 'nb_conges_payes', 'in_range(0, 100)', '101', prenom FROM employees WHERE id % 10 = 7)""",
+    "pruned_lookup": """SELECT o_orderkey,
+          CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+          CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+          CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '2030-01-01' ELSE o_orderdate END AS created_at
+        FROM orders WHERE o_orderkey % 21 <> 0 AND o_orderkey IN (SELECT c_custkey * 5 FROM customer)""",
+    "change_feed": """SELECT activity_id, CASE WHEN activity_id % 9 <> 4 THEN employee_id END AS employee_before,
+          CAST(CASE WHEN activity_id % 15 = 0 THEN employee_id
+               WHEN activity_id % 6 = 0 THEN employee_id + 1
+               WHEN activity_id % 9 = 4 AND activity_id % 10 = 1 THEN -1 ELSE employee_id END AS INTEGER) AS employee_after,
+          activity_id % 15 = 0 AS removed, activity_date AS day
+        FROM activity WHERE activity_id % 6 = 0 OR activity_id % 15 = 0 OR activity_id % 9 = 4""",
+    "landing_key_conflicts": """SELECT id, CASE WHEN id % 30 = 0 THEN 'repeated' ELSE 'present' END AS problem FROM employees WHERE id % 6 = 0
+        UNION ALL SELECT DISTINCT CAST(NULL AS INTEGER), 'missing' FROM employees WHERE id % 50 = 1""",
     "dq_incremental": """, parents AS (
           SELECT id FROM employees
           UNION ALL SELECT id FROM employees WHERE id % 4 <> 1 AND id % 7 = 2 AND id % 14 <> 2
@@ -368,17 +391,18 @@ _BATCH_QUERIES = {
     "stream_wellbeing_update": "SELECT * FROM wellbeing",
     "stream_notifications_once": _NOTIFICATION.format(key="", source="activities"),
     "stream_restart": _NOTIFICATION.format(key="", source="activities"),
-    "stream_distance_answers": f"""
-        SELECT * EXCLUDE (last_updated) FROM distances
-        UNION ALL BY NAME
-        SELECT a.* FROM ({_ADDED_ANSWERS}) a
-        WHERE a.origin_address IN (SELECT adresse_complete FROM commute)""",
+    "stream_distance_answers": _ANSWERED,
+    "stream_late_answers": _ANSWERED,
+    "stream_distance_requests_all": f"""
+        SELECT {_PAIR} FROM (SELECT DISTINCT adresse_complete FROM employee_log) c
+        WHERE adresse_complete IS NOT NULL AND NOT EXISTS (
+          SELECT 1 FROM distances d WHERE d.origin_address = c.adresse_complete
+          AND d.destination_address = '1 Place du Marché, 34000 Montpellier')""",
     "stream_notifications": _NOTIFICATION.format(
         key="", source="(SELECT * FROM activities UNION ALL SELECT * FROM activities WHERE activity_id % 9 = 0)"
     ),
-    "full_load_gold": """SELECT b.*, w.nb_activities_year,
-          CAST(CASE WHEN w.nb_activities_year >= 15 THEN 5 WHEN w.nb_activities_year IS NOT NULL THEN 0 END AS INTEGER) AS extra_days
-        FROM bonus b LEFT JOIN wellbeing w USING (employee_id)""",
+    "full_load_gold": _LOADED,
+    "full_load_landed_twice": _LOADED,
 }
 
 _CURRENT_QUERIES = {

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -25,6 +26,7 @@ from lakekeel.sources.versions import VersionedSnapshots
 from lakekeel.streaming.cycle import (
     IncrementalCycle, drain, notified_log, run_notifications, run_wellbeing_totals, run_wellbeing_updates,
 )
+from lakekeel.streaming.deltas import SignedCounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -443,6 +445,16 @@ def dq_observed(spark, sf):
     ])
 
 
+@query
+def landing_key_conflicts(spark, sf):
+    """New employees against stored ones: some are there already, some come twice, some have no number."""
+    people = s.employees(spark, sf)
+    new = people.filter("id % 3 = 0").unionByName(people.filter("id % 30 = 0")).unionByName(
+        people.filter("id % 50 = 1").withColumn("id", F.lit(None).cast("int"))
+    )
+    return quality.key_conflicts(new, people.filter("id % 2 = 0"), ["id"])
+
+
 @query
 def dq_incremental(spark, sf):
     """Employees and activities in three batches: late parents, a parent twice, children moved and taken away."""
@@ -472,6 +484,39 @@ def schema_change(spark, sf):
     return table.read().drop("_version")
 
 
+@query
+def pruned_lookup(spark, sf):
+    """Some keys of a stored table with pending changes; only the partitions they can lie in are read."""
+    target, source = _order_versions(spark, sf)
+    schema = "o_orderkey bigint, o_orderstatus string, o_totalprice double, created_at timestamp_ntz"
+    table = LakeTable(spark, f"{workspace(spark, 'pruned')}/orders", schema, ["o_orderkey"], hash_by="o_orderkey")
+    table.replace(target)
+    table.apply(source.withColumn("_seq", F.lit(2)), "a", resolved=True)
+    table.apply(source.filter("o_orderkey % 7 = 0").withColumns({"_seq": F.lit(3), "_deleted": F.lit(True)}), "b", resolved=True)
+    wanted = s.table(spark, sf, "customer").select((F.col("c_custkey") * 5).alias("o_orderkey"))
+    return table.snapshot(within=wanted)
+
+
+@query
+def change_feed(spark, sf):
+    """What changed activities counted for before and after a batch of moves, late old rows, deletes and new ones."""
+    rows = silver.activity(s.activities(spark, sf))
+    counts = SignedCounts(spark, f"{workspace(spark, 'feed')}/counts")
+    counts.seed(rows.filter("activity_id % 9 <> 4").withColumn("_seq", F.lit(5)))
+    key = F.col("activity_id")
+    batch = [
+        rows.filter(key % 6 == 0).withColumns({"employee_id": F.col("employee_id") + 1, "_seq": F.lit(6), "_deleted": F.lit(False)}),
+        rows.filter(key % 10 == 1).withColumns({"employee_id": F.lit(-1), "_seq": F.lit(4), "_deleted": F.lit(False)}),
+        rows.filter(key % 9 == 4).withColumns({"_seq": F.lit(1), "_deleted": F.lit(False)}),
+        rows.filter(key % 15 == 0).withColumns({"_seq": F.lit(7), "_deleted": F.lit(True)}),
+    ]
+    feed = counts.feed(reduce(DataFrame.unionByName, batch), 1)
+    return feed.select(
+        "activity_id", F.col("before.employee_id").alias("employee_before"), F.col("after.employee_id").alias("employee_after"),
+        F.col("after._deleted").alias("removed"), F.col("after.day").alias("day"),
+    )
+
+
 # Streams
 
 
@@ -583,6 +628,34 @@ def stream_distance_requests(spark, sf):
     return distance.parse_requests(cycle.requests.read(spark)).join(current, "origin_address", "left_semi")
 
 
+@query
+def stream_distance_requests_all(spark, sf):
+    """All requests sent, in two rounds: first reads, then moves and late old rows; also those for addresses people have left."""
+    cycle = _cycle(spark, sf, "distances")
+    messages = s.employee_messages(spark, sf)
+    first = F.coalesce(F.get_json_object("value", "$.op"), F.get_json_object("value", "$.payload.op")).eqNullSafe("r")
+    for name, rows in (("first", messages.filter(first)), ("later", messages.filter(~first))):
+        cycle.employees.send(rows, name)
+        cycle.process_employees()
+    return distance.parse_requests(cycle.requests.read(spark))
+
+
+@query
+def stream_late_answers(spark, sf):
+    """A provider that answers a third of the requests, then none, then all: what stays open is asked again."""
+    cycle = _cycle(spark, sf, "distances")
+    wanted = distance.missing_requests(silver.commute(s.employees(spark, sf)), s.distances(spark, sf), s.DESTINATION)
+    cycle.requests.send(distance.request_messages(wanted), "once")
+    whole = cycle.provider
+    cycle.provider = lambda asked: whole(asked).filter("pmod(xxhash64(origin_address), 3) = 0")
+    cycle.process_requests()
+    cycle.provider = lambda asked: whole(asked).filter("false")
+    cycle.process_open_requests()
+    cycle.provider = whole
+    cycle.process_open_requests()
+    return cycle.lake.distances.snapshot().drop("last_updated")
+
+
 @query
 def stream_distance_answers(spark, sf):
     cycle = _cycle(spark, sf, "distances")
@@ -641,15 +714,30 @@ def stream_restart(spark, sf):
 # Whole load
 
 
-@query
-def full_load_gold(spark, sf):
+def _loaded_gold(spark, sf, times: int) -> DataFrame:
     lake = Lake(spark, f"{workspace(spark, 'load')}/lake")
     sources = {
         "rh_employees": s.employees, "sport_activities": s.sports,
         "strava_activities": s.activities, "distance_cache": s.distances,
     }
-    full_load(lake, lambda name: sources[name](spark, sf), s.DESTINATION, s.AS_OF)
+
+    def landed(name: str) -> DataFrame:
+        rows = sources[name](spark, sf)
+        return reduce(DataFrame.unionByName, [rows] * times)
+
+    full_load(lake, landed, s.DESTINATION, s.AS_OF)
     counts = gold.wellbeing_days(lake.wellbeing_of(s.AS_OF)).select(
         "employee_id", "nb_activities_year", "extra_days"
     )
     return gold.bonus(lake.bonus_input.snapshot()).join(counts, "employee_id", "left")
+
+
+@query
+def full_load_gold(spark, sf):
+    return _loaded_gold(spark, sf, 1)
+
+
+@query
+def full_load_landed_twice(spark, sf):
+    """Every table holds each of its rows twice, as after landing all files twice."""
+    return _loaded_gold(spark, sf, 2)

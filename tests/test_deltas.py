@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from collections import Counter
 
@@ -12,6 +13,8 @@ from lakekeel.operators.incremental import KeyChecks, key_counts
 from lakekeel.plans.lake import Lake
 from lakekeel.sources.hashed import HashedLog
 from lakekeel.sources.tables import LakeTable
+from lakekeel.sources.topics import FolderTopic
+from lakekeel.streaming.cycle import IncrementalCycle
 from lakekeel.streaming.deltas import SignedCounts, counted_whole
 
 ACTIVITY = "activity_id bigint, employee_id int, activity_year int, activity_date date, _seq bigint, _deleted boolean"
@@ -137,6 +140,28 @@ def test_table_without_hash_folders_is_still_read(spark, folder):
     assert [r.v for r in new.snapshot(within=spark.createDataFrame([(2,)], "k int")).collect()] == ["b"]
 
 
+def test_moves_do_not_read_the_other_activities(spark, folder, monkeypatch):
+    """After the first build neither base nor history of the activities is read for the counts."""
+    topics = {n: FolderTopic(f"{folder}/topics/{n}") for n in ("employees", "sports", "activities", "requests")}
+    run = IncrementalCycle(Lake(spark, f"{folder}/lake", parts=2), f"{folder}/checkpoints", "D", as_of="2024-06-30", apply_deletes=True, **topics)
+
+    def send(name, *changes):
+        rows = [(json.dumps({"op": op, ("before" if op == "d" else "after"): {"activity_id": i, "employee_id": who, "start_date_utc": day}, "source": {"lsn": lsn}}),) for op, i, who, day, lsn in changes]
+        run.activities.send(spark.createDataFrame(rows, "value string"), name)
+        run.process_activities()
+        run.process_wellbeing()
+        return {r.employee_id: (r.nb_activities_year, str(r.first_activity_date), str(r.last_activity_date)) for r in run.lake.wellbeing_of("2024-06-30").collect()}
+
+    assert send("a", *(("c", i, 1 + i % 2, f"2024-01-{10 + i}T00:00:00Z", i) for i in range(6))) == {1: (3, "2024-01-10", "2024-01-14"), 2: (3, "2024-01-11", "2024-01-15")}
+    def refuse(*_, **__):
+        raise AssertionError("read the activities")
+
+    for name in ("snapshot", "versioned", "history"):
+        monkeypatch.setattr(run.lake.activity, name, refuse)
+    assert send("b", ("u", 0, 2, "2024-01-10T00:00:00Z", 20), ("u", 5, 2, "2023-01-15T00:00:00Z", 21)) == {1: (2, "2024-01-12", "2024-01-14"), 2: (3, "2024-01-10", "2024-01-13")}
+    assert send("c", ("d", 4, 1, None, 30), ("u", 5, 1, "2024-03-01T00:00:00Z", 5)) == {1: (1, "2024-01-12", "2024-01-12"), 2: (3, "2024-01-10", "2024-01-13")}
+
+
 def test_residents_of_a_lake_from_before(spark, folder):
     lake = Lake(spark, folder)
     assert not lake.known_residents().exists()

@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 
 from lakekeel import schemas
 from lakekeel.operators.changes import BY_BATCH, BY_LOG, BY_OFFSET, BY_TIME, accepted, order_vector, parse_changes, rejected
-from lakekeel.operators.quality import RowCheck
+from lakekeel.jobs import main
+from lakekeel.operators.quality import RowCheck, key_conflicts, require_new_keys
 from lakekeel.plans.lake import Lake, checked_replace
-from lakekeel.sources.files import children
+from lakekeel.sources.files import children, preview
 from lakekeel.sources.relational import hash_predicates, quantile_query, range_predicates
 from lakekeel.sources.tables import LakeTable
 from lakekeel.sources.topics import FolderTopic
@@ -169,6 +170,33 @@ def test_staged_rows_count_only_once_published(spark, folder):
     assert table.snapshot().count() == 1
 
 
+def test_refused_keys(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e"), (3, "f")], "k int, v string")
+    found = key_conflicts(rows, rows.filter("k = 2").unionByName(rows.filter("k = 2")), ["k"])
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, "repeated"), (2, "present"), (None, "missing")]
+    require_new_keys(rows.filter("k = 3"), None, ["k"], "t")
+    with pytest.raises(ValueError, match="keys of t refused: 3 present"):
+        require_new_keys(rows.filter("k = 3"), rows.filter("k = 3"), ["k"], "t")
+
+
+def test_landing_twice_is_refused(spark, folder):
+    rows = ",".join(schemas.SPORT_HEADERS) + "\n1,Judo\n"
+    people = ",".join(schemas.EMPLOYEE_HEADERS) + '\n1,N,P,6/7/1990,B,14/12/2020,30000,CDI,25,"1 Rue, 34000 X",Marche/running\n'
+    spark.createDataFrame([(rows,)], "value string").coalesce(1).write.text(f"{folder}/sport")
+    spark.createDataFrame([(people,)], "value string").coalesce(1).write.text(f"{folder}/rh")
+    arguments = ["land", "--root", f"{folder}/root", "--tables", f"{folder}/tables", "--employee-csv", f"{folder}/rh", "--sport-csv", f"{folder}/sport"]
+    main(arguments, spark)
+    with pytest.raises(ValueError, match="keys of rh_employees refused: 1 present"):
+        main(arguments, spark)
+    assert spark.read.parquet(f"{folder}/tables/rh_employees").count() == spark.read.parquet(f"{folder}/tables/sport_activities").count() == 1
+
+
+def test_preview(spark, capsys):
+    preview(spark.range(7), 2)
+    shown = capsys.readouterr().out
+    assert "id: long" in shown and "only showing top 2 rows" in shown
+
+
 @pytest.mark.parametrize("predicates", [
     lambda c: range_predicates("k", [r[0] for r in c.execute(quantile_query("t", "k", 8)).fetchall()]), lambda c: range_predicates("k", []),
     lambda c: range_predicates("k", [5, 5, 1]), lambda c: hash_predicates(["s", "k"], 7, "hash({})"), lambda c: hash_predicates(["s"], 1),

@@ -69,6 +69,12 @@ def test_merge_statement_parses(spark):
     assert "t.`born`" not in sql.split("WHEN NOT MATCHED")[0]
 
 
+def test_merge_statement_honours_the_order(spark):
+    sql = merge_statement("lake.t", "s", ["k"], ["k", "v", "a", "b"], order_by=["a", "b"])
+    assert "MergeIntoTable" in spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+    assert "WHEN MATCHED AND struct(s.`a`, s.`b`) >= struct(t.`a`, t.`b`) THEN UPDATE" in sql
+
+
 def reference_state(log):
     """Brute force: newest row per key, first ``born`` per key, deleted keys gone."""
     state = {}
