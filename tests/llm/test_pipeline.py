@@ -38,4 +38,35 @@ def test_stages_in_order(spark, tmp_path):
 
 
 def test_registered():
-    assert {int(name[2:].split("_")[0]) for name in llm_queries()} == {*range(1, 11)} and set(llm_oracles()) <= set(llm_queries())
+    assert {int(name[2:].split("_")[0]) for name in llm_queries()} == {*range(1, 14)} and set(llm_oracles()) <= set(llm_queries())
+
+
+def stages(spark, folder, docs):
+    """The rows that each stage keeps, as ids."""
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+    docs, kept = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder)
+        docs.write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        kept[name] = sorted((r.doc_id for r in docs.collect()), key=str)
+    return kept
+
+
+def test_stages_without_rows(spark, tmp_path):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    assert set(map(tuple, stages(spark, str(tmp_path), none).values())) == {()}
+
+
+def test_stages_with_awkward_rows(spark, tmp_path):
+    """Other columns of every name the stages use inside, repeated ids and rows, texts of a megabyte."""
+    pick = random.Random(4)
+    long = " ".join(f"w{pick.randrange(10**6)}" for _ in range(150_000))
+    rows = [(1, long), (1, "another text under a known id, and its own words"), (2, long), (3, "short"), (3, "short"), (None, None), (None, None), (4, "")]
+    names = ("_id", "_digest", "_key", "score", "digest", "block", "rank", "before", "nth", "piece", "length", "vertex", "n", "own")
+    docs = spark.createDataFrame([(i, t, None, None, 0, *["x"] * len(names)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in names))
+    kept = stages(spark, str(tmp_path), docs)
+    assert kept["toxicity"] == sorted((i for i, _ in rows), key=str)
+    assert kept["exact_dedup"] == kept["ngram_jaccard"] == kept["suffix_array_dedup"] == [1, 2, 3, 4]
+    assert sorted(set(kept["best_fit_packing"])) == [1, 2, 3, 4]
