@@ -168,8 +168,11 @@ def _sides(versions: DataFrame, kinds: list[tuple[int, str, list[tuple[int, str]
 
 def _fingerprints(versions: DataFrame, sizes: DataFrame) -> DataFrame:
     """Each sketch as text: cells of a sub-table, then the non-empty cells in order (4 bytes place, 4 number, 8 XOR of digests, 4 of checks)."""
-    both = _sides(versions, [(OWN, "0", [(1, "own")]), (EDITED, "0", [(1, "edited")])]).where("size(keys) > 0").drop("size")
-    rows = both.join(sizes.select("range", "row", "kind", "size"), ["range", "row", "kind"]).selectExpr(*_BY, "sign", "explode(keys) AS key")
+    # Joined by row alone, so that cells and strings stay where the digests are.
+    size_of = [F.max(F.when(F.col("kind") == k, F.col("size"))).alias(c) for k, c in ((OWN, "own_size"), (EDITED, "edited_size"))]
+    sized = versions.select("range", "row", "own", "edited").join(sizes.groupBy("range", "row").agg(*size_of), ["range", "row"])
+    both = _sides(sized, [(OWN, "own_size", [(1, "own")]), (EDITED, "edited_size", [(1, "edited")])]).where("size(keys) > 0")
+    rows = both.selectExpr(*_BY, "sign", "explode(keys) AS key")
     record = "concat(lpad(hex(cell), 8, '0'), lpad(hex(n), 8, '0'), lpad(hex(key), 16, '0'), substring(lpad(hex(check), 16, '0'), 9, 8))"
     cells = sketched(rows).selectExpr(*_BY, f"{record} AS record").groupBy(*_BY).agg(F.sort_array(F.collect_list("record")).alias("records"))
     text = "concat(size, ':', replace(base64(unhex(array_join(records, ''))), '\\r\\n', ''))"
