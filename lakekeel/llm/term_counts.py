@@ -24,7 +24,7 @@ from lakekeel.llm.payload import PAYLOAD, PAYLOAD_SCHEMA, mix
 from lakekeel.llm.shared import Tables, power_of_two, stored, text_bytes
 
 #: Text bytes for each part of the terms, and entries that a task adds up at a time.
-PART_BYTES, ENTRIES = 4 << 20, 1_000_000
+PART_BYTES, ENTRIES = 4 << 20, 500_000
 #: Terms and sources that are compared at a time.
 BLOCK_TERMS, TILE_SOURCES = 4096, 256
 #: A term counts if so many documents of its language have it; probabilities are in parts of SCALE.
