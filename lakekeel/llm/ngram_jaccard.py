@@ -35,14 +35,14 @@ BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 1 << 16
 #: N-grams that one fragment counts at a time; the number of fragments follows from the data.
 FRAGMENT_NGRAMS = 2_000_000
 #: Fragments into which overlaps are split for counting.
-OVERLAP_FRAGMENTS = 4
+OVERLAP_FRAGMENTS = 2
 #: Ranges of the n-gram order for which a document keeps how many of its n-grams lie there.
 RANGES = 64
 #: Pairs for each open row at which all pairs are compared at once, and the share of pairs that a round of centres must
 #: leave for there to be another; neither changes the result.
 PAIRS_A_ROW, SHRINKS = 4, 0.9
 #: Centres that a document is compared with in a round, after one in the first.
-CENTRES = 2
+CENTRES = 4
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _VERTICES = "vertex long, n long, doc_ids array<long>, prefix array<long>, held array<int>, segments array<array<long>>"
