@@ -40,9 +40,9 @@ OVERLAP_FRAGMENTS = 2
 RANGES = 64
 #: Pairs for each open row at which all pairs are compared at once, and the share of pairs that a round of centres must
 #: leave for there to be another; neither changes the result.
-PAIRS_A_ROW, SHRINKS = 4, 0.9
+PAIRS_A_ROW, SHRINKS = 2, 0.9
 #: Centres that a document is compared with in a round, after one in the first.
-CENTRES = 4
+CENTRES = 2
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _VERTICES = "vertex long, n long, doc_ids array<long>, prefix array<long>, held array<int>, segments array<array<long>>"
