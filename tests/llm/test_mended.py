@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from lakekeel.llm import language, queries
 from lakekeel.llm.best_fit import pack, pack_pieces
-from lakekeel.llm.bwt_dedup import bwt_dedup
+from lakekeel.llm.bwt_dedup import Windows, bwt_dedup
 from lakekeel.llm.html_text import visible_text
 from lakekeel.llm.iblt import iblt_fingerprints
 from lakekeel.llm.ngram_jaccard import ngram_jaccard
@@ -219,3 +219,10 @@ def test_op_queries_have_their_columns(spark):
         words = re.split("[\x20\x09-\x0d]+", texts[r.doc_id].encode().lower().decode().strip(" \t\n\v\f\r"))
         words = [w for w in words if w]
         assert r.n_shingles == (len({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}) if words else 0)
+
+
+def test_anchors_fall_evenly_on_parts():
+    text = np.random.default_rng(7).integers(97, 123, 400_000).astype(np.uint8)
+    keys = np.unique(Windows(text, np.full(400, 1_000)).key)
+    sizes = np.bincount((keys >> np.uint64(60)).astype(np.int64), minlength=16)
+    assert sizes.min() > 0 and sizes.max() < 1.5 * sizes.mean()
