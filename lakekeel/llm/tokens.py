@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +19,9 @@ from lakekeel.llm.shared import whole_texts
 REMEMBERED = 400_000
 #: The split before the merges, with Unicode's own white space.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: White space beside white space; elsewhere a text can be cut before any blank and around any line end.
-_RUN = re.compile(r"\s[ \n]|[ \n]\s")
+#: White space beside white space; elsewhere a text can be cut before any blank and around any line end. Other white
+#: space at an end of a word counts as such too.
+_RUNS = ("  ", "\n\n", " \n", "\n ")
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -30,16 +32,21 @@ def _byte_of_char() -> dict[str, int]:
 
 
 class _Words(dict):
-    """Text between blanks to its ids as little-endian 32-bit bytes, with a blank before it or without."""
+    """Text between blanks to its ids as little-endian 32-bit bytes, with a blank before it or without.
+
+    A word with white space at an end is a KeyError, since it can't be taken alone.
+    """
 
     def __init__(self, encoding: tiktoken.Encoding, before: str):
         self.encoding, self.before = encoding, before
 
     def __missing__(self, word: str) -> bytes:
+        if word[:1].isspace() or word[-1:].isspace():
+            raise KeyError(word)
         if len(self) >= REMEMBERED:
             self.clear()
-        ids = np.array(self.encoding.encode_ordinary(self.before + word), "<u4").tobytes()
-        self[word] = ids
+        found = self.encoding.encode_ordinary(self.before + word)
+        self[word] = ids = struct.pack(f"<{len(found)}I", *found)
         return ids
 
 
@@ -50,25 +57,26 @@ def _content(path: str) -> dict:
 
 
 @functools.cache
-def _vocabulary(path: str) -> tuple[tiktoken.Encoding, _Words, _Words]:
+def _vocabulary(path: str) -> tuple[tiktoken.Encoding, _Words, _Words, bytes]:
     content = _content(path)
     added = {x["content"] for x in content.get("added_tokens", [])}
     byte = _byte_of_char()
     ranks = {bytes(byte[c] for c in word): i for word, i in content["model"]["vocab"].items() if word not in added}
     encoding = tiktoken.Encoding("words", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
-    return encoding, _Words(encoding, ""), _Words(encoding, " ")
+    line_end = np.array(encoding.encode_ordinary("\n"), "<u4").tobytes()
+    return encoding, _Words(encoding, ""), _Words(encoding, " "), line_end
 
 
 def encode(text: str, path: str) -> bytes:
     """Ids of a text as little-endian 32-bit bytes, without special tokens; their strings are ordinary text."""
-    encoding, first, later = _vocabulary(path)
-    if _RUN.search(text):
-        return np.array(encoding.encode_ordinary(text), "<u4").tobytes()
-    out = []
-    for line in text.split("\n"):
-        words = line.split(" ")
-        out.append(first[words[0]] + b"".join(map(later.__getitem__, words[1:])))
-    return first["\n"].join(out)
+    encoding, first, later, line_end = _vocabulary(path)
+    if not any(run in text for run in _RUNS):
+        try:
+            lines = (line.split(" ") for line in text.split("\n"))
+            return line_end.join([first[words[0]] + b"".join(map(later.__getitem__, words[1:])) for words in lines])
+        except KeyError:
+            pass
+    return np.array(encoding.encode_ordinary(text), "<u4").tobytes()
 
 
 @functools.cache
@@ -86,8 +94,10 @@ def _added(path: str) -> tuple[re.Pattern | None, dict[str, bytes]]:
 def encode_added(text: str, path: str) -> bytes:
     """Ids of a text as the library gives them by default: strings of added tokens are their ids, whatever lies between is ordinary text."""
     pattern, ids = _added(path)
+    if not any(token in text for token in ids):
+        return encode(text, path)
     out, at = [], 0
-    for token in pattern.finditer(text) if pattern else ():
+    for token in pattern.finditer(text):
         out += [encode(text[at : token.start()], path) if token.start() > at else b"", ids[token[token.lastindex]]]
         at = token.end()
     if not at:

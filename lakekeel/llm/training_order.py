@@ -73,18 +73,31 @@ def narrowed(ids: bytes, width: int) -> bytes:
     return found.astype(f"<u{width}").tobytes()
 
 
+def _body(column: pa.BinaryArray) -> tuple[np.ndarray, memoryview]:
+    """Where the values of a column without NULLs begin and end, and their bytes, one after the other."""
+    _, offsets, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(len(column) + 1, np.int64), memoryview(b"")
+    ends = np.frombuffer(offsets, np.int32, len(column) + 1, 4 * column.offset).astype(np.int64)
+    return ends - ends[0], memoryview(data)[ends[0] : ends[-1]]
+
+
+def _column(ends: np.ndarray, data: bytes) -> pa.BinaryArray:
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
 def _records(width: int):
     """Number the pieces of a task and pack their ids in ``width`` bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, nth = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = [narrowed(i, width) for i in batch.column("ids").to_pylist()]
+            rows, (ends, ids) = batch.num_rows, _body(batch.column("ids"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([task] * len(ids), pa.int64()), pa.array(np.arange(nth, nth + len(ids))), *(batch.column(c) for c in ("doc_id", "piece", "length")), pa.array(ids, pa.binary())],
+                [pa.array(np.full(rows, task, np.int64)), pa.array(np.arange(nth, nth + rows)), *(batch.column(c) for c in ("doc_id", "piece", "length")), _column(ends // 4 * width, narrowed(ids, width))],
                 names=["task", "nth", "doc_id", "piece", "length", "ids"],
             )
-            nth += len(ids)
+            nth += rows
 
     return run
 
@@ -128,14 +141,15 @@ def training_order(
         for batch in batches:
             out = np.full((batch.num_rows, tokens), pad(width), f"<u{width}")
             head = np.empty(batch.num_rows, HEADER)
+            ends, ids = _body(batch.column("ids"))
+            out[np.arange(tokens) < (np.diff(ends) // width)[:, None]] = np.frombuffer(ids, f"<u{width}")
             head["doc_id"], head["piece"] = batch.column("doc_id").fill_null(-1), batch.column("piece")
             head["length"] = batch.column("length").to_numpy() | (WIDE if width == 4 else 0)
-            for row, ids in zip(out, batch.column("ids").to_pylist(), strict=True):
-                row[: len(ids) // width] = np.frombuffer(ids, f"<u{width}")
-            records = [h.tobytes() + r.tobytes() for h, r in zip(head, out, strict=True)]
+            size = stride(tokens, width) - len(MARK)
+            records = np.concatenate([head.view(np.uint8).reshape(-1, HEADER.itemsize), out.view(np.uint8).reshape(-1, width * tokens)], axis=1).tobytes()
             slot = batch.column("slot").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("slot"), pa.array(slot // shard_records), pa.array(slot % shard_records), *(batch.column(c) for c in ("doc_id", "piece", "length")), pa.array(records, pa.binary())],
+                [batch.column("slot"), pa.array(slot // shard_records), pa.array(slot % shard_records), *(batch.column(c) for c in ("doc_id", "piece", "length")), _column(np.arange(batch.num_rows + 1) * size, records)],
                 names=["slot", "shard", "position", "doc_id", "piece", "length", "record"],
             )
 

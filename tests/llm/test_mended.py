@@ -226,3 +226,25 @@ def test_anchors_fall_evenly_on_parts():
     keys = np.unique(Windows(text, np.full(400, 1_000)).key)
     sizes = np.bincount((keys >> np.uint64(60)).astype(np.int64), minlength=16)
     assert sizes.min() > 0 and sizes.max() < 1.5 * sizes.mean()
+
+
+def test_records_are_packed_from_whole_columns():
+    """Ids are narrowed a column at a time, also where the column is a slice of a larger one."""
+    from lakekeel.llm.training_order import _body, _column
+
+    ids = [np.array(v, "<u4").tobytes() for v in ([1, 2], [], [3, 70, 500], [9])]
+    ends, data = _body(pa.array(ids, pa.binary())[1:])
+    packed = _column(ends // 4 * 2, narrowed(data, 2))
+    assert [np.frombuffer(v, "<u2").tolist() for v in packed.to_pylist()] == [[], [3, 70, 500], [9]]
+
+
+def test_words_with_white_space_at_an_end_are_not_taken_alone():
+    from tokenizers import Tokenizer
+
+    from lakekeel.llm.tokens import _vocabulary, encode_added
+
+    library = Tokenizer.from_file(BPE)
+    for text in ("\ta b", "a\t b", "a \tb", "a\r\nb", "a\n", " a ", "a b\tc", "a  b"):
+        assert np.frombuffer(encode_added(text, BPE), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    with pytest.raises(KeyError):
+        _vocabulary(BPE)[2]["a\t"]
