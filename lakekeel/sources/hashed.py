@@ -85,6 +85,14 @@ class HashedLog:
             rows = rows.filter(F.col(PART).isin([r[0] for r in found])).join(keys.select(*self.key), self.key, "left_semi")
         return rows
 
+    def beside(self, rows: DataFrame, before: int | None = None) -> DataFrame:
+        """Rows of the parts in which the keys of ``rows`` lie: a superset of theirs, for callers that join or group by key anyway."""
+        found = self.read(before=before)
+        if not self.exists():
+            return found
+        parts = self._placed(rows.select(*self.key)).select(PART).distinct().collect()  # at most as many as there are parts
+        return found.filter(F.col(PART).isin([r[0] for r in parts]))
+
     def fold(self, summary: Callable[[DataFrame], DataFrame], after: int = 16) -> bool:
         """Once there are more than ``after`` batches, write what ``summary`` makes of all but the last as one batch.
 

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakekeel import schemas
 from lakekeel.functions.temporal import reference_day
-from lakekeel.operators.changes import BY_BATCH, DELETED, SEQ, accepted, inserts, order_vector, parse_changes, rejected
+from lakekeel.operators.changes import BY_BATCH, DELETED, OP, SEQ, accepted, inserts, order_vector, parse_changes, rejected
 from lakekeel.operators.upsert import latest_per_key
 from lakekeel.plans import distance, gold, silver
 from lakekeel.plans.lake import Lake, residents
@@ -303,15 +303,22 @@ def run_notifications(
         name = batch_name(batch, "notifications", batch_id)
         keys = ["activity_id"] if notified else []
         created = inserts(parse_changes(batch, NOTIFIED, keys, ordered=bool(notified)))
-        if notified:
-            number = named_number(name)
-            created = latest_per_key(created, keys, [SEQ])
-            earlier = notified.read(created.select(*keys).distinct()).filter(F.col(BATCH) != number)
-            created = created.join(earlier.select(*keys), keys, "left_anti")
-        payloads = notifications(created, employees())
-        outbox.send(notification_messages(payloads), name)
-        if notified:
-            notified.append(created.select(*keys), number)
+        if not notified:
+            outbox.send(notification_messages(notifications(created, employees())), name)
+            return
+        number = named_number(name)
+        # Parsed and told apart once; the look-up, the outbox and the log all read that.
+        created = latest_per_key(created.drop(OP, DELETED), keys, [SEQ]).drop(SEQ).persist()
+        fresh = created
+        try:
+            if notified.exists():
+                earlier = notified.beside(created).filter(F.col(BATCH) != number)
+                fresh = created.join(earlier.select(*keys), keys, "left_anti").persist()
+            outbox.send(notification_messages(notifications(fresh, employees())), name)
+            notified.append(fresh.select(*keys), number)
+        finally:
+            fresh.unpersist()
+            created.unpersist()
 
     drain(topic.stream(spark), send, checkpoint)
 

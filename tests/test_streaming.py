@@ -310,3 +310,38 @@ def test_a_new_checkpoint_does_not_replace_or_drop_batches(spark, tmp_path):
         if compact:
             lake.sports.compact()
     assert sorted(r.id for r in lake.sports.snapshot().collect()) == [1, 2, 9]
+
+
+def test_a_batch_of_activities_is_parsed_once(spark, folder, monkeypatch):
+    """The topic's files are read for the bronze rows; the messages set aside come from the same parse."""
+    from lakekeel.streaming import cycle as module
+
+    kept = []
+    aside = module.rejected
+
+    def seen(parsed):
+        kept.append(parsed.is_cached)
+        return aside(parsed)
+
+    monkeypatch.setattr(module, "rejected", seen)
+    from lakekeel import registry
+
+    registry.all_queries()["stream_wellbeing_recompute"](spark, "/root/testdata/sf0.001").count()
+    assert kept and all(kept)
+
+
+def test_activities_told_of_are_parsed_once(spark, folder, monkeypatch):
+    from lakekeel.streaming import cycle as module
+
+    kept = []
+    payloads = module.notifications
+
+    def seen(activities, employees):
+        kept.append(activities.is_cached)
+        return payloads(activities, employees)
+
+    monkeypatch.setattr(module, "notifications", seen)
+    from lakekeel import registry
+
+    registry.all_queries()["stream_restart"](spark, "/root/testdata/sf0.001").count()
+    assert kept and all(kept)
