@@ -583,8 +583,7 @@ def stream_wellbeing_delta(spark, sf):
     """Creations; then moves and late old rows; then deletes, and the moves once more: counts kept by signed changes."""
     cycle = _cycle(spark, sf)
     cycle.apply_deletes = True
-    messages = s.activity_messages(spark, sf).withColumn("op", F.coalesce(F.get_json_object("value", "$.op"), F.get_json_object("value", "$.payload.op")))
-    created, moved = messages.filter("op = 'c'").select("value"), messages.filter("op = 'u'").select("value")
+    created, moved = s.activity_messages(spark, sf, "c"), s.activity_messages(spark, sf, "u")
     for name, sent in (("created", created), ("moved", moved), ("again", moved.unionByName(s.activity_removals(spark, sf)))):
         cycle.activities.send(sent, name)
         cycle.process_activities()

@@ -223,9 +223,10 @@ def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({"op": F.lit("c"), "seq": seq}).unionByName(changed).unionByName(moved).unionByName(old)
 
 
-def activity_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Instants travel as epoch microseconds or as ISO text; some are neither."""
+def activity_messages(spark: SparkSession, sf_dir: str, op: str | None = None) -> DataFrame:
+    """Instants travel as epoch microseconds or as ISO text; some are neither. ``op`` leaves out other operations."""
     log = activity_log(spark, sf_dir)
+    log = log.filter(F.col("op") == op) if op else log
     columns = [c for c in log.columns if c not in ("op", "seq")]
     key = F.col("activity_id")
 

@@ -112,7 +112,7 @@ class IncrementalCycle:
         return self._start(self.activities, "strava_activities", self._apply_activities)
 
     def start_requests(self) -> StreamingQuery:
-        return self._start(self.requests, "distance_requests", self._apply_answers)
+        return self._start(self.requests, "distance_requests", self._apply_answers, held=True)
 
     def start_wellbeing(self) -> StreamingQuery | None:
         if not self.lake.activity.exists():
@@ -142,10 +142,11 @@ class IncrementalCycle:
         finish(self.start_wellbeing())
 
     def _start(
-        self, topic: Topic, name: str, apply: Callable[[DataFrame, str], None]
+        self, topic: Topic, name: str, apply: Callable[[DataFrame, str], None], held: bool = False
     ) -> StreamingQuery:
+        """``held`` keeps a batch's messages for a handler that reads them more than once."""
         def handler(batch: DataFrame, batch_id: int) -> None:
-            batch = batch.persist()
+            batch = batch.persist() if held else batch
             try:
                 if not batch.isEmpty():
                     apply(batch, batch_name(batch, name, batch_id))
@@ -161,11 +162,14 @@ class IncrementalCycle:
         """
         parsed = parse_changes(batch, schema, table.keys, ordered=True, deletes=self.apply_deletes)
         parsed = parsed.withColumn(SEQ, F.coalesce(SEQ, order_vector(BY_BATCH, F.lit(table.generation(name)))))
-        aside = rejected(parsed).write.mode("overwrite")
-        return together(
-            partial(table.apply, accepted(parsed, self.apply_deletes), name),
-            partial(aside.json, f"{self.lake.root}/quarantine/{name}"),
-        )[0]
+        # Parsed once for both; the text of a message is kept only where it is set aside.
+        parsed = parsed.withColumn("_value", F.when(F.col("_reason").isNotNull(), F.col("_value"))).persist()
+        try:
+            rows = table.apply(accepted(parsed, self.apply_deletes), name)
+            rejected(parsed).write.mode("overwrite").json(f"{self.lake.root}/quarantine/{name}")
+            return rows
+        finally:
+            parsed.unpersist()
 
     def _apply_employees(self, batch: DataFrame, name: str) -> None:
         lake = self.lake
@@ -235,8 +239,10 @@ class IncrementalCycle:
         name = batch_name(batch, "wellbeing", batch_id)
         number = lake.wellbeing.generation(name)
         if not lake.signed.exists():
-            lake.wellbeing.replace(counted_whole(lake.activity.snapshot()))
-            lake.signed.seed(lake.activity.versioned())
+            # The days come last: without them the first build is taken up again.
+            lake.signed.seed_images(lake.activity.versioned())
+            lake.wellbeing.replace(counted_whole(lake.signed.imaged_activities()))
+            lake.signed.seed_days()
             return
         touched = lake.signed.apply(batch, number)
         recounted = touched.join(lake.signed.counts(touched), ["_who", "year"], "left").withColumns(

@@ -48,9 +48,19 @@ class SignedCounts:
 
     def seed(self, activities: DataFrame) -> None:
         """Start from current activities, one row per id."""
-        images = self._imaged(activities)
-        self.days.replace(_netted(images.withColumn("sign", F.lit(1))))
-        self.images.replace(images)
+        self.seed_images(activities)
+        self.seed_days()
+
+    def seed_images(self, activities: DataFrame) -> None:
+        """The first half: merged once, the activities are read as images from then on."""
+        self.images.replace(self._imaged(activities))
+
+    def imaged_activities(self) -> DataFrame:
+        """What was seeded, as activities again: of each what a count depends on."""
+        return self.images.read().select("activity_id", "employee_id", F.col("year").alias("activity_year"), F.col("day").alias("activity_date"))
+
+    def seed_days(self) -> None:
+        self.days.replace(_netted(self.images.read().withColumn("sign", F.lit(1))))
 
     def feed(self, activities: DataFrame, batch: int) -> DataFrame:
         """``activity_id, before, after``: what each changed activity counted for before the batch, and after it.
@@ -58,11 +68,11 @@ class SignedCounts:
         Of several rows of an activity the newest counts, and a row older than the known image changes nothing.
         """
         new = self._imaged(activities)
-        known = self.images.read(new.select("activity_id").distinct(), before=batch).select(*new.columns)
+        known = self.images.beside(new, before=batch).select(*new.columns)
         both = known.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
         image = F.struct(SEQ, DELETED, "_who", "employee_id", "year", "day")
-        found = both.groupBy("activity_id").agg(F.max(F.when(~F.col("_new"), image)).alias("before"), F.max(image).alias("after"))
-        return found.filter(~F.col("before").eqNullSafe(F.col("after")))
+        found = both.groupBy("activity_id").agg(F.max(F.when(~F.col("_new"), image)).alias("before"), F.max(image).alias("after"), F.max("_new").alias("_new"))
+        return found.filter("_new").drop("_new").filter(~F.col("before").eqNullSafe(F.col("after")))
 
     def apply(self, activities: DataFrame, batch: int) -> DataFrame:
         """Log a batch; returns ``_who, year`` of every group whose count it changed."""
