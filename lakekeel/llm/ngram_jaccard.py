@@ -38,11 +38,11 @@ FRAGMENT_NGRAMS = 2_000_000
 OVERLAP_FRAGMENTS = 2
 #: Ranges of the n-gram order for which a document keeps how many of its n-grams lie there.
 RANGES = 64
-#: Pairs for each open row at which all pairs are compared at once, and the share of pairs that a round of centres must
-#: leave for there to be another; neither changes the result.
-PAIRS_A_ROW, SHRINKS = 2, 0.9
-#: Centres that a document is compared with in a round, after one in the first.
-CENTRES = 2
+#: Pairs for each open row at which all pairs are compared at once, and the share of a round's comparisons that must
+#: connect something for there to be another; neither changes the result.
+PAIRS_A_ROW, FEW = 2, 0.02
+#: Centres that a document is compared with in a round, after one in the first, and the weight of an n-gram of one document.
+CENTRES, WEIGHT = 2, 1 << 30
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _VERTICES = "vertex long, n long, doc_ids array<long>, prefix array<long>, held array<int>, segments array<array<long>>"
@@ -247,42 +247,54 @@ def ngram_jaccard(
 
     # A round compares labels, not documents: ``label`` is the component so far, ``of`` its number of vertices, and
     # ``after`` how many of a document's shared n-grams come no earlier in the order than this one.
-    def spread(named: DataFrame) -> DataFrame:
-        grams = named.select("vertex", "n", "label", "of", "shared", F.posexplode("prefix").alias("at", "gram"))
-        return tables.keep(grams.withColumn("after", F.col("shared") - F.col("at")).drop("shared", "at").coalesce(tasks))
+    grams = heads.select("vertex", "n", "shared", F.posexplode("prefix").alias("at", "gram"))
+    grams = grams.withColumns({"after": F.col("shared") - F.col("at"), "label": F.col("vertex"), "of": F.lit(1).cast("long")})
+    labelled = tables.keep(grams.drop("shared", "at").coalesce(tasks))
 
     # Rounds of centres: each n-gram names documents of its largest component so far, and a document of
-    # another component is compared with those that most of its rare n-grams name.
+    # another component is compared with those that most of its rare n-grams name. An n-gram whose documents
+    # are all connected is done, and its rows are left out from then on.
     fits = f"100 * least(nu, nv) >= {percent} * greatest(nu, nv) AND {100 + percent} * least(au, av) >= {percent} * (nu + nv)"
     names = heads.select("vertex", F.col("vertex").alias("label"))
-    labelled = spread(heads.withColumns({"label": F.col("vertex"), "of": F.lit(1).cast("long")}))
-    turn, before = 0, float("inf")
+    turn, hits, tried = 0, True, []
     while True:
         centres = CENTRES if turn else 1
-        ends = labelled.groupBy("gram").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("documents"),
-            F.array(*(
-                F.min(F.struct((-F.col("of")).alias("of"), F.xxhash64("vertex", F.lit(turn), F.lit(i)).alias("h"), "vertex", "n", "after", "label"))
-                for i in range(centres)
-            )).alias("centres"),
+        first = [
+            F.min(F.struct((-F.col("of")).alias("of"), F.xxhash64("vertex", F.lit(turn), F.lit(i)).alias("h"), "vertex", "n", "after", "label")).alias(f"c{i}")
+            for i in range(centres)
+        ]
+        in_label = labelled.groupBy("gram", "label").agg(F.count("*").alias("own"), *first) if turn else labelled.withColumns(
+            {"own": F.lit(1).cast("long"), "c0": F.struct((-F.col("of")).alias("of"), F.xxhash64("vertex", F.lit(0), F.lit(0)).alias("h"), "vertex", "n", "after", "label")}
         )
-        open_grams = tables.keep(ends.where("low <> high").select("gram", "documents", "centres").coalesce(tasks))
-        size = open_grams.agg(F.sum(F.col("documents") * F.col("documents")).alias("pairs"), F.sum("documents").alias("rows")).first()
-        if (size.pairs or 0) <= PAIRS_A_ROW * (size.rows or 0) or turn > 1 and size.pairs > SHRINKS * before:
+        ends = in_label.groupBy("gram").agg(
+            F.count("*").alias("labels"), F.sum("own").alias("documents"), F.sum(F.col("own") * F.col("own")).alias("inner"),
+            F.array(*(F.min(f"c{i}") for i in range(centres))).alias("centres"),
+        )
+        open_grams = tables.keep(ends.where("labels > 1").drop("labels").coalesce(tasks))
+        size = open_grams.agg(F.sum(F.col("documents") * F.col("documents") - F.col("inner")).alias("pairs"), F.sum("documents").alias("rows")).first()
+        if (size.pairs or 0) <= PAIRS_A_ROW * (size.rows or 0) or turn > 1 and not hits:
             break
-        turn, before = turn + 1, size.pairs
-        votes = labelled.join(open_grams.select("gram", F.explode("centres").alias("c")), "gram").select(
+        turn += 1
+        weighed = open_grams.select("gram", "centres", F.floor(F.lit(WEIGHT) / F.col("documents")).alias("weight"))
+        opened = tables.keep(labelled.join(weighed, "gram").coalesce(tasks))
+        votes = opened.select("vertex", "n", "after", "label", "weight", F.explode("centres").alias("c")).select(
+            "weight",
             F.col("vertex").alias("u"), F.col("n").alias("nu"), F.col("after").alias("au"), F.col("label").alias("lu"),
             F.col("c.vertex").alias("v"), F.col("c.n").alias("nv"), F.col("c.after").alias("av"), F.col("c.label").alias("lv"),
         ).where("lu <> lv").where(fits)
-        # Dealt once by u for counting, ranking and the join that follows; a document's votes are bounded by its n-grams.
-        most = Window.partitionBy("u").orderBy(F.col("count").desc(), "v")
-        counted = votes.select("u", "v", "lu", "lv").repartition("u").groupBy("u", "v", "lu", "lv").count()
-        chosen = counted.withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= centres).drop("count", "nth")
+        # Dealt once by u for weighing, ranking and the join that follows; a document's votes are bounded by its n-grams.
+        # The rarer an n-gram, the more it says of who else is similar. No pair is compared twice.
+        most = Window.partitionBy("u").orderBy(F.col("weight").desc(), "v")
+        counted = votes.select("u", "v", "lu", "lv", "weight").repartition("u").groupBy("u", "v", "lu", "lv").agg(F.sum("weight").alias("weight"))
+        for earlier in tried:
+            counted = counted.join(earlier, ["u", "v"], "left_anti")
+        chosen = tables.keep(counted.withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= centres).drop("weight", "nth").coalesce(tasks))
+        tried.append(chosen.select("u", "v"))
         found = tables.keep(_linked(_possible(chosen, heads, percent), able, percent).distinct().coalesce(tasks))
+        hits = found.count() > FEW * chosen.count()
         names = tables.keep(_merged(spark, names, found, tasks).coalesce(tasks))
         sized = names.join(names.groupBy("label").agg(F.count("*").alias("of")), "label")
-        labelled = spread(heads.join(sized, "vertex"))
+        labelled = tables.keep(opened.drop("centres", "weight", "label", "of").join(sized, "vertex").coalesce(tasks))
 
     # Then all pairs under a common rare n-gram that are not connected yet. At a similar pair's
     # first common n-gram both sides have enough n-grams left for the overlap it takes.
