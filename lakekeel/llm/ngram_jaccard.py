@@ -8,10 +8,12 @@ document whose shared n-grams are too few for the threshold is out. The rest
 are candidates through the rarest of their shared n-grams. A candidate pair's
 overlap is counted fragment by fragment and summed per pair.
 
-Copies are one vertex per block of documents, and a candidate is first compared
+Documents with equal sets are one vertex, and a candidate is first compared
 with a few centres of its n-grams at a time, so a group of m near copies costs
-some m comparisons a round. All pairs that share a rare n-gram and are not connected
-yet follow, so no link between unconnected documents is lost.
+some m comparisons a round. Centres are documents whose n-grams many others have.
+All pairs that share a rare n-gram and are not connected yet follow, so no link
+between unconnected documents is lost; where many are left, each side's overlap
+with a pivot, the centre of the n-gram's largest component, bounds theirs.
 """
 
 from __future__ import annotations
@@ -43,9 +45,11 @@ RANGES = 64
 PAIRS_A_ROW, FEW = 2, 0.02
 #: Centres that a document is compared with in a round, after one in the first, and the weight of an n-gram of one document.
 CENTRES, WEIGHT = 2, 1 << 30
+#: A later round's centre is the best of a part of its component's documents, so that rounds differ.
+PARTS = 4
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_VERTICES = "vertex long, n long, doc_ids array<long>, prefix array<long>, held array<int>, segments array<array<long>>"
+_VERTICES = "vertex long, n long, common int, digest binary, doc_ids array<long>, prefix array<long>, held array<int>, segments array<array<long>>"
 
 
 def ngram_hashes(text: bytes, size: int) -> np.ndarray:
@@ -70,20 +74,23 @@ def _postings(size: int, bits: int):
     """Batches of documents to one header and one posting list per fragment for each block."""
     shift = np.uint64(64 - bits - KEY_BITS)
 
-    def block_rows(block: int, ids: list, sets: list) -> Iterator[dict]:
-        digests: dict[bytes, int] = {}
-        vertex = np.array([digests.setdefault(s.tobytes(), len(digests)) for s in sets], np.int64)
-        distinct = [np.frombuffer(k, np.uint64) for k in digests]
+    def block_rows(block: int, ids: list, names: list, sets: dict[bytes, np.ndarray]) -> Iterator[dict]:
+        place = {name: i for i, name in enumerate(sets)}
+        vertex = np.array([place[name] for name in names], np.int64)
+        distinct = list(sets.values())
         counts = np.array([len(s) for s in distinct], np.int64)
         header = pa.BufferOutputStream()
-        table = pa.table({"doc_id": pa.array(ids, pa.int64()), "vertex": vertex, "n": counts[vertex]})
+        table = pa.table({"doc_id": pa.array(ids, pa.int64()), "vertex": vertex, "n": counts[vertex], "digest": pa.array(names, pa.binary())})
         with pa.ipc.new_stream(header, table.schema) as out:
             out.write_table(table)
         yield {"part": -1 - block, "block": block, "payload": header.getvalue().to_pybytes()}
-        keys = np.concatenate(distinct) >> shift if distinct else np.empty(0, np.uint64)
-        owner = np.repeat(np.arange(len(distinct), dtype=np.uint16), counts)
+        keys = np.concatenate(distinct) if distinct else np.empty(0, np.uint64)
+        del distinct
+        sets.clear()
+        keys >>= shift
         order = np.argsort(keys, kind="stable")
-        keys, owner = keys[order], owner[order]
+        keys, owner = keys[order], np.repeat(np.arange(len(counts), dtype=np.uint16), counts)[order]
+        del order
         ends = np.searchsorted(keys, np.arange(1, (1 << bits) + 1, dtype=np.uint64) << np.uint64(KEY_BITS))
         start = 0
         for part, end in enumerate(ends.tolist()):
@@ -93,19 +100,21 @@ def _postings(size: int, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 16
-        block, held, ids, sets = 0, 0, [], []
+        block, held, ids, names, sets = 0, 0, [], [], {}
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py()
+                found = ngram_hashes(text, size)
                 ids.append(doc_id)
-                sets.append(ngram_hashes(text, size))
+                names.append(xxhash.xxh3_128_digest(found.tobytes()))
+                sets.setdefault(names[-1], found)
                 held += len(text)
                 if held >= BLOCK_BYTES or len(ids) == BLOCK_DOCS:
-                    for row in block_rows(first + block, ids, sets):
+                    for row in block_rows(first + block, ids, names, sets):
                         yield pa.RecordBatch.from_pylist([row], PAYLOAD_SCHEMA)
-                    block, held, ids, sets = block + 1, 0, [], []
+                    block, held, ids, names, sets = block + 1, 0, [], [], {}
         if ids:
-            for row in block_rows(first + block, ids, sets):
+            for row in block_rows(first + block, ids, names, sets):
                 yield pa.RecordBatch.from_pylist([row], PAYLOAD_SCHEMA)
 
     return run
@@ -165,6 +174,7 @@ def _vertices(percent: int, fragments: int, bits: int):
         n = np.zeros(size, np.int64)
         n[vertex] = counts
         shared = np.bincount(owner, minlength=size)
+        common = 1000 * np.bincount(owner, weights=np.log2(df), minlength=size) / np.maximum(n, 1)
         alive = (n > 0) & (shared >= need(n, percent))
         kept = alive[owner]
         keys, owner, df = keys[kept], owner[kept], df[kept]
@@ -182,9 +192,11 @@ def _vertices(percent: int, fragments: int, bits: int):
         ranges = owner * RANGES + (keys >> np.uint64(bits + KEY_BITS - (RANGES.bit_length() - 1))).astype(np.int64)
         held = _lists(np.bincount(ranges, minlength=size * RANGES).astype(np.int32), np.full(size, RANGES))
         order = np.argsort(vertex, kind="stable")
-        ids = _lists(header.column("doc_id").combine_chunks().take(pa.array(order)), np.bincount(vertex, minlength=size))
+        members = np.bincount(vertex, minlength=size)
+        ids = _lists(header.column("doc_id").combine_chunks().take(pa.array(order)), members)
+        digest = header.column("digest").combine_chunks().take(pa.array(order[np.cumsum(members) - members]))
         return pa.table({
-            "vertex": (block << 20) + np.arange(size), "n": n, "doc_ids": ids, "prefix": prefix, "held": held,
+            "vertex": (block << 20) + np.arange(size), "n": n, "common": common.astype(np.int32), "digest": digest, "doc_ids": ids, "prefix": prefix, "held": held,
             "segments": pa.ListArray.from_arrays(outer, inner),
         })
 
@@ -201,16 +213,38 @@ def _possible(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     return bounded.select("u", "v", "lu", "lv")
 
 
-def _linked(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
-    """Labels (lu, lv) of the pairs (u, v) that are similar enough: overlaps counted in each fragment, then summed per pair."""
+def _overlaps(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Pairs (u, v) with the sizes of both sets and what they have in common, if anything: counted in each fragment, then summed."""
     cells = vertices.select("vertex", "n", F.posexplode("segments").alias("fragment", "grams")).where("size(grams) > 0")
     left = pairs.join(cells.withColumnRenamed("vertex", "u"), "u")
     right = cells.select(F.col("vertex").alias("v"), F.col("n").alias("nv"), "fragment", F.col("grams").alias("other"))
     part = left.join(right, ["v", "fragment"]).select(
-        "u", "v", "lu", "lv", "n", "nv", F.size(F.array_intersect("grams", "other")).alias("overlap")
+        *pairs.columns, "n", "nv", F.size(F.array_intersect("grams", "other")).alias("overlap")
     )
-    total = part.groupBy("u", "v", "lu", "lv", "n", "nv").agg(F.sum("overlap").alias("overlap"))
-    return total.where(F.expr(f"100 * overlap >= {percent} * (n + nv - overlap)")).select("lu", "lv")
+    return part.groupBy(*pairs.columns, "n", "nv").agg(F.sum("overlap").alias("overlap"))
+
+
+def _linked(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+    """Labels (lu, lv) of the pairs (u, v) that are similar enough."""
+    return _overlaps(pairs, vertices).where(F.expr(f"100 * overlap >= {percent} * (n + nv - overlap)")).select("lu", "lv")
+
+
+def _with_pivots(rows: DataFrame, heads: DataFrame, names: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Rows of n-grams with how many n-grams their document shares with the n-gram's pivot (``inside``) and with others only.
+
+    The pivot is the centre of the largest component that has the n-gram, so a
+    document has some one pivot for each large component it is to be compared with.
+    """
+    best = F.max(F.struct("common", "vertex"))["vertex"].alias("pivot")
+    hubs = heads.select("vertex", "common").join(names, "vertex").groupBy("label").agg(best)
+    largest = rows.groupBy("gram").agg(F.max(F.struct("of", "label"))["label"].alias("label"))
+    pivots = largest.join(hubs, "label").select("gram", "pivot")
+    held = rows.drop("inside", "beside").join(pivots, "gram")
+    asked = held.select(F.col("vertex").alias("u"), F.col("pivot").alias("v")).distinct()
+    known = _overlaps(asked, vertices).select(F.col("u").alias("vertex"), F.col("v").alias("pivot"), F.col("overlap").alias("inside"))
+    found = held.join(known, ["vertex", "pivot"], "left").join(heads.select("vertex", "shared"), "vertex")
+    inside = F.coalesce("inside", F.lit(0).cast("long"))
+    return found.select(*rows.drop("inside", "beside").columns, inside.alias("inside"), (F.col("shared") - inside).alias("beside"))
 
 
 def _merged(spark: SparkSession, names: DataFrame, links: DataFrame, tasks: int) -> DataFrame:
@@ -242,12 +276,16 @@ def ngram_jaccard(
     tables = Tables(spark, "ngram")
     vertices = tables.keep(counted)
     able = vertices.where("size(prefix) > 0")
-    heads = tables.keep(able.select("vertex", "n", F.size(F.flatten("segments")).alias("shared"), "prefix", "held"))
+    # Equal sets of several blocks are one vertex from here on: the least stands for its copies.
+    firsts = able.groupBy("digest").agg(F.min("vertex").alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    copies = tables.keep(able.select("vertex", "digest").join(firsts, "digest").where("vertex <> first").select("vertex", "first"))
+    single = able.join(copies.select("vertex"), "vertex", "left_anti")
+    heads = tables.keep(single.select("vertex", "n", "common", F.size(F.flatten("segments")).alias("shared"), "prefix", "held"))
     tasks = enough_tasks(spark, heads.agg(F.sum(F.size("prefix"))).first()[0] or 0)
 
     # A round compares labels, not documents: ``label`` is the component so far, ``of`` its number of vertices, and
     # ``after`` how many of a document's shared n-grams come no earlier in the order than this one.
-    grams = heads.select("vertex", "n", "shared", F.posexplode("prefix").alias("at", "gram"))
+    grams = heads.select("vertex", "n", "common", "shared", F.posexplode("prefix").alias("at", "gram"))
     grams = grams.withColumns({"after": F.col("shared") - F.col("at"), "label": F.col("vertex"), "of": F.lit(1).cast("long")})
     labelled = tables.keep(grams.drop("shared", "at").coalesce(tasks))
 
@@ -259,12 +297,16 @@ def ngram_jaccard(
     turn, hits, tried = 0, True, []
     while True:
         centres = CENTRES if turn else 1
-        first = [
-            F.min(F.struct((-F.col("of")).alias("of"), F.xxhash64("vertex", F.lit(turn), F.lit(i)).alias("h"), "vertex", "n", "after", "label")).alias(f"c{i}")
+        ranked = [
+            F.struct(
+                (-F.col("of")).alias("of"), F.pmod(F.xxhash64("vertex", F.lit(turn), F.lit(i)), F.lit(PARTS if turn else 1)).alias("h"),
+                (-F.col("common")).alias("common"), "vertex", "n", "after", "label",
+            )
             for i in range(centres)
         ]
+        first = [F.min(c).alias(f"c{i}") for i, c in enumerate(ranked)]
         in_label = labelled.groupBy("gram", "label").agg(F.count("*").alias("own"), *first) if turn else labelled.withColumns(
-            {"own": F.lit(1).cast("long"), "c0": F.struct((-F.col("of")).alias("of"), F.xxhash64("vertex", F.lit(0), F.lit(0)).alias("h"), "vertex", "n", "after", "label")}
+            {"own": F.lit(1).cast("long"), "c0": ranked[0]}
         )
         ends = in_label.groupBy("gram").agg(
             F.count("*").alias("labels"), F.sum("own").alias("documents"), F.sum(F.col("own") * F.col("own")).alias("inner"),
@@ -298,14 +340,20 @@ def ngram_jaccard(
 
     # Then all pairs under a common rare n-gram that are not connected yet. At a similar pair's
     # first common n-gram both sides have enough n-grams left for the overlap it takes.
-    open_rows = labelled.join(open_grams.select("gram"), "gram")
+    # Two sets have no more in common than the less of what each has of a pivot, and the less of what each has beside it.
+    open_rows = labelled.join(open_grams.select("gram"), "gram").withColumns({"inside": F.lit(0).cast("long"), "beside": F.col("n")})
+    if (size.pairs or 0) > PAIRS_A_ROW * (size.rows or 0):
+        open_rows = tables.keep(_with_pivots(open_rows, heads, names, able).coalesce(tasks))
     left, right = (
-        open_rows.select("gram", F.col("vertex").alias(x), F.col("n").alias(f"n{x}"), F.col("after").alias(f"a{x}"), F.col("label").alias(f"l{x}"))
+        open_rows.select("gram", *(F.col(c).alias(f"{a}{x}") for c, a in (("vertex", ""), ("n", "n"), ("after", "a"), ("label", "l"), ("inside", "i"), ("beside", "b"))))
         for x in "uv"
     )
-    pairs = left.join(right, "gram").where("lu < lv").where(fits).select("u", "v", "lu", "lv").distinct()
+    bound = f"{100 + percent} * (least(iu, iv) + least(bu, bv)) >= {percent} * (nu + nv)"
+    pairs = left.join(right, "gram").where("lu < lv").where(fits).where(bound).select("u", "v", "lu", "lv").distinct()
     late = tables.keep(_linked(_possible(pairs, heads, percent), able, percent).distinct().coalesce(tasks))
     final = _merged(spark, names, late, tasks)
+    of_copies = copies.join(final.withColumnRenamed("vertex", "first"), "first").select("vertex", "label")
+    final = final.select("vertex", "label").union(of_copies)
 
     named_rows = vertices.join(final, "vertex", "left").select(
         F.coalesce("label", "vertex").alias("component"), "n", "doc_ids"

@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lakekeel.llm import language, queries
+from lakekeel.llm import ngram_jaccard as similarity
 from lakekeel.llm.best_fit import pack, pack_pieces
 from lakekeel.llm.bwt_dedup import Windows, bwt_dedup
 from lakekeel.llm.html_text import visible_text
@@ -169,6 +170,58 @@ def test_alike_but_below_the_threshold(spark):
     found = {r.doc_id: r.component_id for r in ngram_jaccard(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == {i: i if i < 200 else 200 for i, _ in rows}
 
+def least_reachable(rows: list[tuple[int, str]], percent: int = 75) -> dict[int, int]:
+    """Component names by comparing all pairs."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for _, t in rows)]
+    name = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if name[i] != name[j] and 100 * len(a & b) >= percent * len(a | b):
+                low, high = sorted((name[i], name[j]))
+                name = [low if x == high else x for x in name]
+    return {rows[i][0]: rows[x][0] for i, x in enumerate(name)}
+
+
+def outskirts(members: int, outsiders: int) -> list[tuple[int, str]]:
+    """A base, documents without one run of its words, and documents without two, which are similar to the base and few others."""
+    pick = random.Random(12)
+    words = [f"w{i}" for i in range(300)]
+
+    def without(runs, length):
+        gone = {at + i for at in (pick.randrange(300 - length) for _ in range(runs)) for i in range(length)}
+        return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+    texts = [without(1, 20) for _ in range(members)] + [without(2, 28) for _ in range(outsiders)] + [" ".join(words)]
+    return [(i, t) for i, t in enumerate(pick.sample(texts, len(texts)))]
+
+
+def test_outsiders_are_not_compared_with_all_members(spark, monkeypatch):
+    rows, compared, possible = outskirts(300, 100), [], similarity._possible
+
+    def counting(pairs, heads, percent):
+        compared.append(pairs.count())
+        return possible(pairs, heads, percent)
+
+    monkeypatch.setattr(similarity, "_possible", counting)
+    found = {r.doc_id: r.component_id for r in ngram_jaccard(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == least_reachable(rows)
+    assert sum(compared) < 6 * len(rows)
+
+
+def test_copies_in_other_blocks_are_one_vertex(spark, monkeypatch):
+    """The same few texts again and again, a block each: no more pairs than for one block."""
+    rows, compared, possible = outskirts(20, 0), [], similarity._possible
+    rows = [(len(rows) * k + i, t) for k in range(16) for i, t in rows]
+
+    def counting(pairs, heads, percent):
+        compared.append(pairs.count())
+        return possible(pairs, heads, percent)
+
+    monkeypatch.setattr(similarity, "_possible", counting)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16, "doc_id")
+    found = {r.doc_id: r.component_id for r in ngram_jaccard(spark, docs).collect()}
+    assert found == least_reachable(rows)
+    assert sum(compared) < len(rows)
 
 def test_hot_passage(spark):
     """One passage in a third of all rows, and one anchor's windows of many contents."""
