@@ -33,9 +33,11 @@ from lakekeel.llm.payload import KEY_BITS, PAYLOAD, PAYLOAD_SCHEMA, mix, packed,
 from lakekeel.llm.shared import Tables, enough_tasks, power_of_two, stored, text_bytes, whole_texts
 
 #: Text bytes and documents that a task gathers into one block of postings.
-BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 1 << 16
+BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 16
+#: Documents that a task is handed at a time.
+BATCH_ROWS = 1_000
 #: N-grams that one fragment counts at a time; the number of fragments follows from the data.
-FRAGMENT_NGRAMS = 2_000_000
+FRAGMENT_NGRAMS = 1_000_000
 #: Fragments into which overlaps are split for counting.
 OVERLAP_FRAGMENTS = 2
 #: Ranges of the n-gram order for which a document keeps how many of its n-grams lie there.
@@ -50,6 +52,7 @@ PARTS = 4
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _VERTICES = "vertex long, n long, common int, digest binary, doc_ids array<long>, prefix array<long>, held array<int>, segments array<array<long>>"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ngram_hashes(text: bytes, size: int) -> np.ndarray:
@@ -274,7 +277,12 @@ def ngram_jaccard(
         .groupBy("block").applyInArrow(_vertices(percent, OVERLAP_FRAGMENTS, bits), _VERTICES)
     )
     tables = Tables(spark, "ngram")
-    vertices = tables.keep(counted)
+    rows_before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(BATCH_ROWS, int(rows_before)) if int(rows_before) > 0 else BATCH_ROWS))
+    try:
+        vertices = tables.keep(counted)
+    finally:
+        spark.conf.set(_BATCH, rows_before)
     able = vertices.where("size(prefix) > 0")
     # Equal sets of several blocks are one vertex from here on: the least stands for its copies.
     firsts = able.groupBy("digest").agg(F.min("vertex").alias("first"), F.count("*").alias("copies")).where("copies > 1")

@@ -8,7 +8,9 @@ import random
 import re
 import struct
 import time
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -223,6 +225,23 @@ def test_copies_in_other_blocks_are_one_vertex(spark, monkeypatch):
     assert found == least_reachable(rows)
     assert sum(compared) < len(rows)
 
+def test_postings_are_made_in_little_memory(monkeypatch):
+    """17 MB of texts, each of other words: what a task holds at a time doesn't follow from them."""
+    monkeypatch.setattr(similarity, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+
+    def batches():
+        for i in range(17):
+            yield pa.RecordBatch.from_pydict({"doc_id": [i], "text": [b" ".join(b"%d" % (i * 10**6 + j * 7) for j in range(120_000)).ljust(10**6)]})
+
+    tracemalloc.start()
+    try:
+        rows = sum(batch.num_rows for batch in similarity._postings(5, 4)(batches()))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows % 17 == 0 and peak < 80 << 20
+
+
 def test_hot_passage(spark):
     """One passage in a third of all rows, and one anchor's windows of many contents."""
     pick = random.Random(6)
